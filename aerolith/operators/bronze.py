@@ -87,17 +87,21 @@ def append_batches(
             F.col("year").alias("batch_year"), F.col("month").alias("batch_month")
         )
         fresh = batched.join(done, list(BATCH_COLUMNS), "left_anti")
-        load_id = tables.write_load(fresh, path, BATCH_COLUMNS)
-        written = tables.load_batches(spark, path, load_id, BATCH_COLUMNS)
+        schema = source_schema = fresh.drop(*BATCH_COLUMNS).schema
         first_ever = reset or tables.latest_version(spark, path) is None
-        tables.commit(
+        if not first_ever:
+            current = tables.table_schema(spark, path)
+            fresh = tables.fit_schema(fresh, current)
+            schema = tables.widened_schema(current, source_schema)
+        load_id = tables.write_load(fresh, path, BATCH_COLUMNS)
+        written = tables.commit(
             spark,
             path,
-            written,
+            tables.load_batches(spark, path, load_id, BATCH_COLUMNS),
             mode=tables.APPEND,
             first_mode=tables.OVERWRITE if first_ever else None,
             load_id=load_id,
-            schema=fresh.drop(*BATCH_COLUMNS).schema,
+            schema=schema,
             partition_by=BATCH_COLUMNS,
             version_per_batch=True,
         )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators.batches import only_batch
 from aerolith.operators.silver import PARTITIONS, UNKNOWN
+from aerolith.session import materialise
 from aerolith.sources import tables
 
 # The dimension behind each kind of metric.
@@ -133,18 +134,18 @@ def feature_frame(
 
 def write_analytics(spark: SparkSession, silver_path: str, path: str) -> DataFrame:
     """Rebuild the analytics mart. One row: rows, version."""
-    version = tables.overwrite_table(analytics(tables.read_table(spark, silver_path)), path)
-    return _written(spark, path, version)
+    mart = analytics(tables.read_table(spark, silver_path))
+    return _rows_and_version(tables.overwrite_table(mart, path))
 
 
 def write_features(spark: SparkSession, silver_path: str, path: str) -> DataFrame:
     """Rebuild the feature table, by year and month. One row: rows, version."""
     features = feature_frame(tables.read_table(spark, silver_path))
     load_id = tables.write_load(features, path, PARTITIONS)
-    batches = tables.load_batches(spark, path, load_id, PARTITIONS)
+    batches = materialise(tables.load_batches(spark, path, load_id, PARTITIONS))
     if batches.isEmpty():
         raise ValueError("The feature table is empty; nothing was written.")
-    tables.commit(
+    written = tables.commit(
         spark,
         path,
         batches,
@@ -153,12 +154,8 @@ def write_features(spark: SparkSession, silver_path: str, path: str) -> DataFram
         schema=features.schema,
         partition_by=PARTITIONS,
     )
-    return _written(spark, path, tables.latest_version(spark, path))
+    return _rows_and_version(written)
 
 
-def _written(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return (
-        tables.live_entries(spark, path)
-        .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
-        .select("rows", F.lit(version).cast("int").alias("version"))
-    )
+def _rows_and_version(written: DataFrame) -> DataFrame:
+    return written.agg(F.sum("rows").alias("rows"), F.max("commit_version").alias("version"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -232,6 +232,7 @@ def upsert(
     if touched.isEmpty():
         return touched
     target = tables.read_table(spark, path, batches=touched)
+    schema = tables.table_schema(spark, path)
     merged = merge_rows(target, source, [*PARTITIONS, *keys])
     load_id = tables.write_load(merged, path, PARTITIONS)
     tables.commit(
@@ -240,7 +241,7 @@ def upsert(
         tables.load_batches(spark, path, load_id, PARTITIONS),
         mode=tables.MERGE,
         load_id=load_id,
-        schema=merged.schema,
+        schema=schema,
         partition_by=PARTITIONS,
         version_per_batch=True,
     )
@@ -250,22 +251,23 @@ def upsert(
 def append_new_batches(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Add batches the table does not have: the first write creates it. Returns rows per batch."""
     exists = tables.latest_version(spark, path) is not None
+    schema = rows.schema
     if exists:
-        rows = tables.fit_schema(rows, tables.table_schema(spark, path))
+        current = tables.table_schema(spark, path)
+        rows = tables.fit_schema(rows, current)
+        schema = tables.widened_schema(current, schema)
     load_id = tables.write_load(rows, path, PARTITIONS)
-    added = tables.load_batches(spark, path, load_id, PARTITIONS)
-    tables.commit(
+    return tables.commit(
         spark,
         path,
-        added,
+        tables.load_batches(spark, path, load_id, PARTITIONS),
         mode=tables.APPEND,
         first_mode=None if exists else tables.OVERWRITE,
         load_id=load_id,
-        schema=rows.schema,
+        schema=schema,
         partition_by=PARTITIONS,
         version_per_batch=True,
     )
-    return added
 
 
 def build_silver(
@@ -285,38 +287,47 @@ def build_silver(
     source = tables.live_batches(spark, bronze_path)
     if max_year is not None:
         source = source.filter(F.col("year") <= int(max_year))
-    known = tables.live_batches(spark, silver_path)
+    known = tables.live_batches(spark, silver_path).select(*PARTITIONS, F.lit(True).alias("known"))
+    todo = materialise(source.join(known, list(PARTITIONS), "left"))
+    planned = todo.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("known").isNull()).alias("new"),
+        F.count("known").alias("known"),
+    ).first()
     existed = tables.latest_version(spark, silver_path) is not None
 
     def silver_of(batches: DataFrame) -> DataFrame:
         raw = tables.read_table(spark, bronze_path, batches=batches)
         return silver_frame(raw, order_by=order_by, null_safe_key=null_safe_key)
 
-    new = source.join(known, list(PARTITIONS), "left_anti")
-    old = source.join(known, list(PARTITIONS), "left_semi")
+    def written(entries: DataFrame) -> Row:
+        return entries.agg(
+            F.count("*").alias("batches"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
+        ).first()
+
     output_rows, modes = 0, set()
-    for batches, write in ((new, "append"), (old, "merge")):
-        if batches.isEmpty():
-            continue
-        if write == "merge":
-            staged, folder = stage(silver_of(batches))
-            written = upsert(spark, silver_path, staged)
-            delete_path(spark, folder)
-        else:
-            written = append_new_batches(spark, silver_path, silver_of(batches))
-        counted = written.agg(F.count("*").alias("batches"), F.sum("rows").alias("rows")).first()
-        if counted.batches:
-            output_rows += counted.rows
-            first = write == "append" and not existed
-            modes |= ({"overwrite"} if first else {write}) | (
-                {"append"} if first and counted.batches > 1 else set()
-            )
+    if planned.new:
+        added = written(
+            append_new_batches(spark, silver_path, silver_of(todo.filter(F.col("known").isNull())))
+        )
+        output_rows += added.rows
+        if added.batches and not existed:
+            modes.add("overwrite")
+        if added.batches > (0 if existed else 1):
+            modes.add("append")
+    if planned.known:
+        staged, folder = stage(silver_of(todo.filter(F.col("known"))))
+        merged = written(upsert(spark, silver_path, staged))
+        delete_path(spark, folder)
+        output_rows += merged.rows
+        if merged.batches:
+            modes.add("merge")
     version = tables.latest_version(spark, silver_path)
     if not modes and version is None:
         raise ValueError("Silver output is empty; nothing was written.")
     mode = next((m for m in ("merge", "append", "overwrite") if m in modes), "skip")
-    return source.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("input_rows"),
+    return spark.range(1).select(
+        F.lit(planned.rows).cast("bigint").alias("input_rows"),
         F.lit(output_rows).cast("bigint").alias("output_rows"),
         F.lit(mode).alias("written_mode"),
         F.lit(version).cast("int").alias("version"),

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -92,29 +93,58 @@ def with_supersession(history: DataFrame) -> DataFrame:
     )
 
 
-def live_entries(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Commit rows whose batches make up the table at a version (the newest by default)."""
-    history = commits(spark, path)
-    if version is not None:
-        history = history.filter(F.col("commit_version") <= version)
-    return with_supersession(history).filter(F.col("superseded_version").isNull())
+@dataclass(frozen=True)
+class Snapshot:
+    """A table at a version: its schema and the commit rows whose batches make it up."""
+
+    version: int
+    schema: T.StructType
+    entries: DataFrame
 
 
-def table_schema(spark: SparkSession, path: str, version: int | None = None) -> T.StructType:
-    """Schema at a version, the newest by default; an error when there is no such version."""
+def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
+    """The table at a version, the newest by default; an error when there is no such version."""
     history = commits(spark, path)
-    wanted = F.lit(True) if version is None else F.col("commit_version") <= version
-    found = history.agg(
+    upto = F.lit(True) if version is None else F.col("commit_version") <= version
+
+    def at(value: str, condition: Column = upto) -> Column:
+        return F.when(condition, F.col(value))
+
+    head = history.agg(
         F.max("commit_version").alias("newest"),
-        F.max_by(F.when(wanted, F.col("schema_json")), F.when(wanted, F.col("commit_version"))).alias(
-            "schema_json"
-        ),
+        F.max(at("commit_version", upto & (F.col("mode") == OVERWRITE))).alias("base"),
+        F.max_by(at("schema_json"), at("commit_version")).alias("schema_json"),
     ).first()
-    if found.newest is None:
+    if head.newest is None:
         raise ValueError(f"No table at {path}")
-    if version is not None and not 0 <= version <= found.newest:
-        raise ValueError(f"The table at {path} has versions 0 to {found.newest}, not {version}")
-    return T.StructType.fromJson(json.loads(found.schema_json))
+    if version is not None and not 0 <= version <= head.newest:
+        raise ValueError(f"The table at {path} has versions 0 to {head.newest}, not {version}")
+    replaced = F.max(at("commit_version", F.col("mode").isin(*_BATCH_REPLACING))).over(
+        W.partitionBy("year", "month")
+    )
+    entries = (
+        history.filter(upto & (F.col("commit_version") >= (head.base or 0)))
+        .filter(F.col("mode") != EVOLVE)
+        .withColumn("_replaced", replaced)
+        .filter(F.col("_replaced").isNull() | (F.col("commit_version") >= F.col("_replaced")))
+        .drop("_replaced")
+    )
+    return Snapshot(
+        head.newest if version is None else version,
+        T.StructType.fromJson(json.loads(head.schema_json)),
+        entries,
+    )
+
+
+def live_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Commit rows that make up the newest version; none when there is no table."""
+    if latest_version(spark, path) is None:
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return snapshot(spark, path).entries
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    return snapshot(spark, path).schema
 
 
 def entry_folder() -> Column:
@@ -150,11 +180,11 @@ def read_table(
     spark: SparkSession, path: str, version: int | None = None, batches: DataFrame | None = None
 ) -> DataFrame:
     """A table at a version, or only those of its (year, month) batches that `batches` lists."""
-    schema = table_schema(spark, path, version)
-    entries = live_entries(spark, path, version)
+    found = snapshot(spark, path, version)
+    entries = found.entries
     if batches is not None:
         entries = entries.join(batches.select("year", "month"), ["year", "month"], "left_semi")
-    return read_entries(spark, path, entries, schema).select(*schema.names)
+    return read_entries(spark, path, entries, found.schema).select(*found.schema.names)
 
 
 def live_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -214,12 +244,12 @@ def commit(
     partition_by: Sequence[str] = (),
     version_per_batch: bool = False,
     first_mode: str | None = None,
-) -> None:
+) -> DataFrame:
     """Record batches (`year`, `month`, `rows`) of a load.
 
     They share the next version, or get one each in calendar order with `version_per_batch`.
     `first_mode` replaces the mode of the first one. The rows are written as one file, so the whole
-    commit becomes visible at once.
+    commit becomes visible at once. Returns the recorded rows.
     """
     last = latest_version(spark, path)
     start = 0 if last is None else last + 1
@@ -242,15 +272,16 @@ def commit(
         .write.mode("append")
         .parquet(f"{path}/commits")
     )
+    return commits(spark, path).filter(F.col("commit_version") >= start)
 
 
 def overwrite_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), *, keep_layout: bool = False
-) -> int:
-    """Replace the contents of a table in one version, which is returned."""
+) -> DataFrame:
+    """Replace the contents of a table in one version. Returns the commit rows."""
     spark = df.sparkSession
     load_id = write_load(df, path, partition_by, keep_layout=keep_layout)
-    commit(
+    return commit(
         spark,
         path,
         load_batches(spark, path, load_id, partition_by),
@@ -259,23 +290,34 @@ def overwrite_table(
         schema=df.schema,
         partition_by=partition_by,
     )
-    return latest_version(spark, path)
 
 
-def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Add rows to a table in one version, which is returned."""
+def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Add rows to a table in one version. Returns the commit rows."""
     spark = df.sparkSession
+    schema = df.schema
+    if latest_version(spark, path) is not None:
+        current = table_schema(spark, path)
+        df = fit_schema(df, current)
+        schema = widened_schema(current, schema)
     load_id = write_load(df, path, partition_by)
-    commit(
+    return commit(
         spark,
         path,
         load_batches(spark, path, load_id, partition_by),
         mode=APPEND,
         load_id=load_id,
-        schema=df.schema,
+        schema=schema,
         partition_by=partition_by,
     )
-    return latest_version(spark, path)
+
+
+def widened_schema(current: T.StructType, added: T.StructType) -> T.StructType:
+    """The table's own fields, unchanged, and behind them the new ones."""
+    known = {field.name.lower() for field in current}
+    return T.StructType(
+        [*current.fields, *[field for field in added if field.name.lower() not in known]]
+    )
 
 
 def fit_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
