@@ -21,10 +21,16 @@ LEARNING_RATE = 0.1
 LOGISTIC_ITERATIONS = 200
 HISTOGRAM_BINS = 255
 MIN_LEAF_ROWS = 20
+TINY_PENALTY = 1e-5
 
 
 def linear_regression(train_rows: int, rounds: int):
-    return LinearRegression(labelCol=DELAY_TARGET, solver="normal", regParam=0.0)
+    """Least squares. One-hot columns of a feature sum to one, which leaves the weights open; the
+    tiny penalty picks the smallest ones and is too small to move predictions.
+    """
+    return LinearRegression(
+        labelCol=DELAY_TARGET, solver="normal", regParam=TINY_PENALTY, standardization=False
+    )
 
 
 def boosted_regressor(train_rows: int, rounds: int):

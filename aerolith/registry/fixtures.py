@@ -16,16 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per shipment: ship date as flight date, days since the order as arrival delay."""
     nation = table(spark, sf_dir, "nation")
-    origins = (
-        table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.lower("n_name").alias("origin"))
-    )
-    destinations = (
-        table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.lower("n_name").alias("to_nation"))
+    origins = nation.select(F.col("n_nationkey").alias("from_key"), F.lower("n_name").alias("origin"))
+    destinations = nation.select(
+        F.col("n_nationkey").alias("to_key"), F.lower("n_name").alias("to_nation")
     )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     quantity = F.col("l_quantity").cast("int")
@@ -33,8 +29,10 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(origins, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(destinations, F.col("o_custkey") == F.col("c_custkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(origins, F.col("s_nationkey") == F.col("from_key"))
+        .join(destinations, F.col("c_nationkey") == F.col("to_key"))
     )
     return shipped.select(
         F.year("l_shipdate").alias("Year"),

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.session import scratch_path
+
 # Where a run without an input path looks, and the rows a CSV schema is read from.
 DEFAULT_INPUTS = ("data/Flight_Delay.csv", "data/Flight_Delay.parquet")
 SCHEMA_SAMPLE_ROWS = 10_000
@@ -48,13 +50,10 @@ def resolve_input(
 
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
     """Column types seen in the first 10,000 rows; dates and times stay text."""
-    head = spark.read.text(path).limit(SCHEMA_SAMPLE_ROWS + 1)
-    inferred = (
-        spark.read.option("header", True)
-        .option("inferSchema", True)
-        .csv(head.rdd.map(lambda row: row.value))
-        .schema
-    )
+    sample = scratch_path(spark, "csv-head")
+    spark.read.text(path).limit(SCHEMA_SAMPLE_ROWS + 1).write.text(sample)
+    inferred = spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
+    delete_path(spark, sample)
     temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
     return T.StructType(
         [
