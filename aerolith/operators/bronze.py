@@ -61,8 +61,10 @@ def append_batches(
     rejected_rows, versions.
     """
     source = up_to_year(source, max_year)
-    no_batches = spark.createDataFrame([], "year int, month int, rows bigint")
-    loaded = no_batches if reset else tables.live_batches(spark, path)
+    current = tables.find_snapshot(spark, path)
+    known = current is not None and not reset
+    no_batches = spark.createDataFrame([], "commit_version int, year int, month int, rows bigint")
+    loaded = tables.batch_totals(current.entries) if known else no_batches
 
     # Two columns of the source are enough to know what will happen to every batch.
     status = batch_status(source, loaded)
@@ -87,32 +89,34 @@ def append_batches(
             F.col("year").alias("batch_year"), F.col("month").alias("batch_month")
         )
         fresh = batched.join(done, list(BATCH_COLUMNS), "left_anti")
-        schema = source_schema = fresh.drop(*BATCH_COLUMNS).schema
-        first_ever = reset or tables.latest_version(spark, path) is None
-        if not first_ever:
-            current = tables.table_schema(spark, path)
-            fresh = tables.fit_schema(fresh, current)
-            schema = tables.widened_schema(current, source_schema)
+        schema = fresh.drop(*BATCH_COLUMNS).schema
+        if known:
+            fresh = tables.fit_schema(fresh, current.schema)
+            schema = tables.widened_schema(current.schema, schema)
         load_id = tables.write_load(fresh, path, BATCH_COLUMNS)
         written = tables.commit(
             spark,
             path,
             tables.load_batches(spark, path, load_id, BATCH_COLUMNS),
             mode=tables.APPEND,
-            first_mode=tables.OVERWRITE if first_ever else None,
+            first_mode=None if known else tables.OVERWRITE,
             load_id=load_id,
             schema=schema,
             partition_by=BATCH_COLUMNS,
             version_per_batch=True,
+            after=current,
         )
-    version = tables.latest_version(spark, path)
-    return written.agg(F.sort_array(F.collect_set("year")).alias("years_written")).select(
+    before = 0 if current is None else current.version + 1
+    return written.agg(
+        F.sort_array(F.collect_set("year")).alias("years_written"),
+        F.coalesce(F.max("commit_version") + 1, F.lit(before)).cast("bigint").alias("versions"),
+    ).select(
         "years_written",
         *[
             F.lit(plan[name]).cast("bigint").alias(name)
             for name in ("source_rows", "written_rows", "skipped_rows", "rejected_rows")
         ],
-        F.lit(0 if version is None else version + 1).cast("bigint").alias("versions"),
+        "versions",
     )
 
 

@@ -69,52 +69,37 @@ def with_running_totals(
 def first_rows(
     df: DataFrame, n: int, date: str = "flight_date", key: str = "flight_key"
 ) -> tuple[DataFrame, DataFrame]:
-    """Split into the first `n` rows by (date, key, all columns) and the rest; nulls come first.
+    """Split into the first `n` rows by (date, key, hash of the row) and the rest, nulls first.
 
-    Counts per date tell on which date the cut falls; only the keys of that date are sorted to find
-    the row at the cut. The two parts are then plain filters on the input, so neither is sorted or
-    moved. Whole copies of the row at the cut are dealt out by position.
+    Rows per date tell on which date the cut falls, then rows per key of that date at which key,
+    and so on; as these are counts, a value shared by very many rows is no burden. The parts are
+    plain filters on the input, so nothing is sorted or moved. Only when the cut runs through copies
+    of one row are these copies numbered and dealt out.
     """
     nothing = df.filter(F.lit(False))
     if n <= 0:
         return nothing, df
-    # At most one row per calendar day.
-    upto = W.orderBy(F.col(date).asc_nulls_first())
-    cut_date = (
-        df.groupBy(date)
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_upto", F.sum("_rows").over(upto))
-        .filter(F.col("_upto") >= n)
-        .orderBy("_upto")
-        .first()
-    )
-    if cut_date is None:
-        return df, nothing
-    before_date, on_date = _compare(F.col(date), cut_date[date])
-    if cut_date["_upto"] == n:
-        return df.filter(before_date | on_date), df.filter(~(before_date | on_date))
-
-    place = n - (cut_date["_upto"] - cut_date["_rows"]) - 1
-    row_hash = F.xxhash64(F.struct(*[F.col(c) for c in df.columns]))
-    keys = df.filter(on_date).select(F.col(key).alias("_key"), row_hash.alias("_hash"))
-    order = [F.col("_key").asc_nulls_first(), F.col("_hash")]
-    positioned = with_position(keys, order)
-    cut = positioned.filter(F.col("position") == place).first()
-
-    before_key, same_key = _compare(F.col(key), cut["_key"])
-    before_cut = before_date | (
-        on_date & (before_key | (same_key & (row_hash < F.lit(cut["_hash"]))))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    before_cut, at_cut, wanted = F.lit(False), F.lit(True), n
+    for value in (F.col(date), F.col(key), row_hash):
+        counts = df.filter(at_cut).groupBy(value.alias("value")).agg(F.count("*").alias("rows"))
+        running = with_running_totals(counts, [F.col("value").asc_nulls_first()], ["rows"])
+        cut = running.filter(F.col("total_rows") >= wanted).orderBy("total_rows").first()
+        if cut is None:
+            return df, nothing
+        sorts_before, is_same = _compare(value, cut.value)
+        before_cut = before_cut | (at_cut & sorts_before)
+        at_cut = at_cut & is_same
+        wanted -= cut.total_rows - cut.rows
+        if wanted == cut.rows:
+            head = before_cut | at_cut
+            return df.filter(head), df.filter(~head)
+    copies = with_position(df.filter(at_cut))
+    first = F.col("position") < wanted
+    return (
+        df.filter(before_cut).unionByName(copies.filter(first).drop("position")),
+        df.filter(~(before_cut | at_cut)).unionByName(copies.filter(~first).drop("position")),
     )
-    at_cut = on_date & same_key & (row_hash == F.lit(cut["_hash"]))
-    same = (F.col("_hash") == cut["_hash"]) & _compare(F.col("_key"), cut["_key"])[1]
-    copies = positioned.filter(same).agg(F.min("position"), F.max("position")).first()
-    if copies[1] == place:
-        return df.filter(before_cut | at_cut), df.filter(~(before_cut | at_cut))
-    dealt = with_position(df.filter(at_cut))
-    wanted = F.col("position") <= place - copies[0]
-    head = df.filter(before_cut).unionByName(dealt.filter(wanted).drop("position"))
-    tail = df.filter(~(before_cut | at_cut)).unionByName(dealt.filter(~wanted).drop("position"))
-    return head, tail
 
 
 def _compare(column: Column, value) -> tuple[Column, Column]:

@@ -231,9 +231,10 @@ def upsert(
     touched = materialise(source.groupBy(*PARTITIONS).agg(F.count("*").alias("rows")))
     if touched.isEmpty():
         return touched
-    target = tables.read_table(spark, path, batches=touched)
-    schema = tables.table_schema(spark, path)
-    merged = merge_rows(target, source, [*PARTITIONS, *keys])
+    current = tables.snapshot(spark, path)
+    entries = current.entries.join(touched.select(*PARTITIONS), list(PARTITIONS), "left_semi")
+    target = tables.read_entries(spark, path, entries, current.schema)
+    merged = merge_rows(target.select(*current.schema.names), source, [*PARTITIONS, *keys])
     load_id = tables.write_load(merged, path, PARTITIONS)
     tables.commit(
         spark,
@@ -241,32 +242,33 @@ def upsert(
         tables.load_batches(spark, path, load_id, PARTITIONS),
         mode=tables.MERGE,
         load_id=load_id,
-        schema=schema,
+        schema=current.schema,
         partition_by=PARTITIONS,
         version_per_batch=True,
+        after=current,
     )
     return touched
 
 
 def append_new_batches(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Add batches the table does not have: the first write creates it. Returns rows per batch."""
-    exists = tables.latest_version(spark, path) is not None
+    current = tables.find_snapshot(spark, path)
     schema = rows.schema
-    if exists:
-        current = tables.table_schema(spark, path)
-        rows = tables.fit_schema(rows, current)
-        schema = tables.widened_schema(current, schema)
+    if current is not None:
+        rows = tables.fit_schema(rows, current.schema)
+        schema = tables.widened_schema(current.schema, schema)
     load_id = tables.write_load(rows, path, PARTITIONS)
     return tables.commit(
         spark,
         path,
         tables.load_batches(spark, path, load_id, PARTITIONS),
         mode=tables.APPEND,
-        first_mode=None if exists else tables.OVERWRITE,
+        first_mode=tables.OVERWRITE if current is None else None,
         load_id=load_id,
         schema=schema,
         partition_by=PARTITIONS,
         version_per_batch=True,
+        after=current,
     )
 
 

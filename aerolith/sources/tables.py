@@ -102,8 +102,8 @@ class Snapshot:
     entries: DataFrame
 
 
-def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
-    """The table at a version, the newest by default; an error when there is no such version."""
+def find_snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
+    """The table at a version, the newest by default; None when there is no table."""
     history = commits(spark, path)
     upto = F.lit(True) if version is None else F.col("commit_version") <= version
 
@@ -116,7 +116,7 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
         F.max_by(at("schema_json"), at("commit_version")).alias("schema_json"),
     ).first()
     if head.newest is None:
-        raise ValueError(f"No table at {path}")
+        return None
     if version is not None and not 0 <= version <= head.newest:
         raise ValueError(f"The table at {path} has versions 0 to {head.newest}, not {version}")
     replaced = F.max(at("commit_version", F.col("mode").isin(*_BATCH_REPLACING))).over(
@@ -136,11 +136,18 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
     )
 
 
+def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
+    """Like `find_snapshot`, but it is an error when there is no table."""
+    found = find_snapshot(spark, path, version)
+    if found is None:
+        raise ValueError(f"No table at {path}")
+    return found
+
+
 def live_entries(spark: SparkSession, path: str) -> DataFrame:
     """Commit rows that make up the newest version; none when there is no table."""
-    if latest_version(spark, path) is None:
-        return spark.createDataFrame([], COMMIT_SCHEMA)
-    return snapshot(spark, path).entries
+    found = find_snapshot(spark, path)
+    return spark.createDataFrame([], COMMIT_SCHEMA) if found is None else found.entries
 
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -189,9 +196,13 @@ def read_table(
 
 def live_batches(spark: SparkSession, path: str) -> DataFrame:
     """Rows per (year, month) batch of a table, from its commits alone."""
+    return batch_totals(live_entries(spark, path))
+
+
+def batch_totals(entries: DataFrame) -> DataFrame:
+    """Rows per (year, month) of commit entries."""
     return (
-        live_entries(spark, path)
-        .filter(F.col("year").isNotNull())
+        entries.filter(F.col("year").isNotNull())
         .groupBy("year", "month")
         .agg(F.sum("rows").alias("rows"))
     )
@@ -244,14 +255,16 @@ def commit(
     partition_by: Sequence[str] = (),
     version_per_batch: bool = False,
     first_mode: str | None = None,
+    after: Snapshot | None = None,
 ) -> DataFrame:
     """Record batches (`year`, `month`, `rows`) of a load.
 
     They share the next version, or get one each in calendar order with `version_per_batch`.
-    `first_mode` replaces the mode of the first one. The rows are written as one file, so the whole
+    `first_mode` replaces the mode of the first one. `after` is the newest snapshot, where the
+    caller has it at hand. The rows are written as one file, so the whole
     commit becomes visible at once. Returns the recorded rows.
     """
-    last = latest_version(spark, path)
+    last = latest_version(spark, path) if after is None else after.version
     start = 0 if last is None else last + 1
     offset = F.monotonically_increasing_id() if version_per_batch else F.lit(0)
     (
@@ -296,10 +309,10 @@ def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     """Add rows to a table in one version. Returns the commit rows."""
     spark = df.sparkSession
     schema = df.schema
-    if latest_version(spark, path) is not None:
-        current = table_schema(spark, path)
-        df = fit_schema(df, current)
-        schema = widened_schema(current, schema)
+    current = find_snapshot(spark, path)
+    if current is not None:
+        df = fit_schema(df, current.schema)
+        schema = widened_schema(current.schema, schema)
     load_id = write_load(df, path, partition_by)
     return commit(
         spark,
@@ -309,6 +322,7 @@ def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
         load_id=load_id,
         schema=schema,
         partition_by=partition_by,
+        after=current,
     )
 
 
