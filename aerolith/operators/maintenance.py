@@ -42,32 +42,28 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _live_files(spark: SparkSession, path: str) -> DataFrame:
-    live = tables.live_entries(spark, path).select(
-        "year", "month", "rows", "load_id", "partition_by", tables.entry_folder().alias("folder")
-    )
+def _live_files(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame:
+    live = entries.select("year", "month", tables.entry_folder().alias("folder"))
     return data_files(spark, path).join(live, "folder")
 
 
-def _partition_by(spark: SparkSession, path: str) -> list[str]:
-    first = tables.live_entries(spark, path).select("partition_by").first()
-    return list(first[0]) if first is not None else []
+def _all_columns(current: tables.Snapshot) -> list[str]:
+    """Columns of the table and those it is partitioned by."""
+    return list(dict.fromkeys([*current.schema.names, *current.partition_by]))
 
 
-def _rewrite(
-    spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, *, keep_layout: bool
-) -> None:
-    """Commit the same rows in a new layout: supersedes exactly the batches they are in."""
-    partition_by = _partition_by(spark, path)
-    load_id = tables.write_load(rows, path, partition_by, keep_layout=keep_layout)
-    tables.commit(
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, current: tables.Snapshot) -> DataFrame:
+    """Commit rows that are laid out anew: supersedes exactly the batches they are in."""
+    load_id = tables.write_load(rows, path, current.partition_by, keep_layout=True)
+    return tables.commit(
         spark,
         path,
-        tables.load_batches(spark, path, load_id, partition_by),
+        tables.load_batches(spark, path, load_id, current.partition_by),
         mode=tables.REWRITE,
         load_id=load_id,
-        schema=schema,
-        partition_by=partition_by,
+        schema=current.schema,
+        partition_by=current.partition_by,
+        after=current,
     )
 
 
@@ -99,32 +95,35 @@ def compact(
 
     One row: method, batches_rewritten, files_before, files_after, rows, version.
     """
-    schema = tables.table_schema(spark, path)
-    partition_by = _partition_by(spark, path)
-    files = _live_files(spark, path)
-    crowded = materialise(
-        files.groupBy("year", "month")
+    current = tables.snapshot(spark, path)
+    batch_files = materialise(
+        _live_files(spark, path, current.entries)
+        .groupBy("year", "month")
         .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
         .withColumn("wanted", F.ceil(F.col("bytes") / target_bytes))
-        .filter(F.col("files") > F.col("wanted"))
     )
-    before = files.count()
-    batches = crowded.count()
-    if batches:
-        todo = tables.live_entries(spark, path)
-        if partition_by:
+    crowded = batch_files.filter(F.col("files") > F.col("wanted"))
+    found = batch_files.agg(
+        F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+        F.count_if(F.col("files") > F.col("wanted")).alias("crowded"),
+    ).first()
+    files_after = found.files
+    if found.crowded:
+        todo = current.entries
+        if current.partition_by:
             todo = todo.join(crowded.select("year", "month"), ["year", "month"], "left_semi")
-        rows = tables.read_entries(spark, path, todo, schema)
-        names = list(dict.fromkeys([*schema.names, *partition_by]))
-        rows = _into_files(rows.select(*names), crowded, partition_by)
-        _rewrite(spark, path, rows, schema, keep_layout=True)
-    return tables.live_entries(spark, path).agg(
+        rows = tables.read_entries(spark, path, todo, current.schema)
+        rows = _into_files(rows.select(*_all_columns(current)), crowded, current.partition_by)
+        _rewrite(spark, path, rows, current)
+        current = tables.snapshot(spark, path)
+        files_after = _live_files(spark, path, current.entries).count()
+    return current.entries.agg(
         F.lit("compact").alias("method"),
-        F.lit(batches).cast("bigint").alias("batches_rewritten"),
-        F.lit(before).cast("bigint").alias("files_before"),
-        F.lit(_live_files(spark, path).count()).cast("bigint").alias("files_after"),
+        F.lit(found.crowded).cast("bigint").alias("batches_rewritten"),
+        F.lit(found.files).cast("bigint").alias("files_before"),
+        F.lit(files_after).cast("bigint").alias("files_after"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.lit(tables.latest_version(spark, path)).cast("int").alias("version"),
+        F.lit(current.version).cast("int").alias("version"),
     )
 
 
@@ -136,24 +135,21 @@ def z_order(
     Unknown columns are left out. One row: method, columns, rows, version; the method is `skipped`
     when no column is left.
     """
-    schema = tables.table_schema(spark, path)
-    wanted = [name for name in columns if name]
-    existing = [name for name in wanted if name in schema.names]
+    current = tables.snapshot(spark, path)
+    existing = [name for name in columns if name in current.schema.names]
     method = "skipped"
     if existing:
         method = "z_order" if curve else "sort"
-        partition_by = _partition_by(spark, path)
-        names = list(dict.fromkeys([*schema.names, *partition_by]))
-        rows = tables.read_entries(
-            spark, path, tables.live_entries(spark, path), schema
-        ).select(*names)
+        rows = tables.read_entries(spark, path, current.entries, current.schema)
         lay_out = z_order_rows if curve else sort_cluster
-        _rewrite(spark, path, lay_out(rows, existing, partition_by), schema, keep_layout=True)
-    return tables.live_entries(spark, path).agg(
+        rows = lay_out(rows.select(*_all_columns(current)), existing, current.partition_by)
+        _rewrite(spark, path, rows, current)
+        current = tables.snapshot(spark, path)
+    return current.entries.agg(
         F.lit(method).alias("method"),
         F.lit(existing).cast("array<string>").alias("columns"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.lit(tables.latest_version(spark, path)).cast("int").alias("version"),
+        F.lit(current.version).cast("int").alias("version"),
     )
 
 
@@ -204,8 +200,8 @@ def evolve_schema(
     No data is rewritten: the new schema carries the value that readers put in for files without
     the column. One row: changed, version.
     """
-    schema = tables.table_schema(spark, path)
-    present = column.lower() in [name.lower() for name in schema.names]
+    current = tables.snapshot(spark, path)
+    present = column.lower() in [name.lower() for name in current.schema.names]
     if not present:
         literal = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
         field = T.StructField(
@@ -218,10 +214,12 @@ def evolve_schema(
             nothing,
             mode=tables.EVOLVE,
             load_id=None,
-            schema=T.StructType([*schema.fields, field]),
+            schema=T.StructType([*current.schema.fields, field]),
+            after=current,
         )
-    return tables.table_version(spark, path).select(
-        F.lit(not present).alias("changed"), "version"
+    return spark.range(1).select(
+        F.lit(not present).alias("changed"),
+        F.lit(current.version + (not present)).cast("int").alias("version"),
     )
 
 

@@ -1,6 +1,6 @@
 """The stages of a full run, and their command line.
 
-    spark-submit -m aerolith.plans.stages run --input flights.parquet --root s3a://.../lakehouse
+    python -m aerolith.plans.stages run --input flights.parquet --root s3a://.../lakehouse
 """
 
 from __future__ import annotations

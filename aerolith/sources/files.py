@@ -51,7 +51,8 @@ def resolve_input(
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
     """Column types seen in the first 10,000 rows; dates and times stay text."""
     sample = scratch_path(spark, "csv-head")
-    spark.read.text(path).limit(SCHEMA_SAMPLE_ROWS + 1).write.text(sample)
+    head = spark.read.text(path).take(SCHEMA_SAMPLE_ROWS + 1)  # reads on only as far as needed
+    spark.createDataFrame(head, "value string").coalesce(1).write.text(sample)
     inferred = spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
     delete_path(spark, sample)
     temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)

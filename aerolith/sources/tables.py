@@ -95,10 +95,11 @@ def with_supersession(history: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Snapshot:
-    """A table at a version: its schema and the commit rows whose batches make it up."""
+    """A table at a version: its layout and the commit rows whose batches make it up."""
 
     version: int
     schema: T.StructType
+    partition_by: list[str]
     entries: DataFrame
 
 
@@ -106,6 +107,7 @@ def find_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     """The table at a version, the newest by default; None when there is no table."""
     history = commits(spark, path)
     upto = F.lit(True) if version is None else F.col("commit_version") <= version
+    holds_rows = F.col("mode") != EVOLVE
 
     def at(value: str, condition: Column = upto) -> Column:
         return F.when(condition, F.col(value))
@@ -114,6 +116,9 @@ def find_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
         F.max("commit_version").alias("newest"),
         F.max(at("commit_version", upto & (F.col("mode") == OVERWRITE))).alias("base"),
         F.max_by(at("schema_json"), at("commit_version")).alias("schema_json"),
+        F.max_by(
+            at("partition_by", upto & holds_rows), at("commit_version", upto & holds_rows)
+        ).alias("partition_by"),
     ).first()
     if head.newest is None:
         return None
@@ -124,7 +129,7 @@ def find_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     )
     entries = (
         history.filter(upto & (F.col("commit_version") >= (head.base or 0)))
-        .filter(F.col("mode") != EVOLVE)
+        .filter(holds_rows)
         .withColumn("_replaced", replaced)
         .filter(F.col("_replaced").isNull() | (F.col("commit_version") >= F.col("_replaced")))
         .drop("_replaced")
@@ -132,6 +137,7 @@ def find_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     return Snapshot(
         head.newest if version is None else version,
         T.StructType.fromJson(json.loads(head.schema_json)),
+        list(head.partition_by or []),
         entries,
     )
 
