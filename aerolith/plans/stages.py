@@ -19,9 +19,9 @@ from aerolith.operators.gold import write_analytics, write_features
 from aerolith.operators.maintenance import Z_ORDER_COLUMNS, maintenance_report
 from aerolith.operators.silver import build_silver
 from aerolith.plans import inspect
-from aerolith.session import get_spark
+from aerolith.session import get_spark, size_for
 from aerolith.sources import tables
-from aerolith.sources.files import resolve_input, scan_source
+from aerolith.sources.files import folder_bytes, resolve_input, scan_source
 
 # Where the tables of a run lie below its root.
 BRONZE = "bronze/flights"
@@ -40,7 +40,9 @@ def load_bronze(
     max_year: int | None = None,
 ) -> DataFrame:
     """Load a CSV or Parquet source into Bronze, with the source position of every row."""
-    source = scan_source(spark, resolve_input(spark, input_path), ingest_order=True)
+    input_path = resolve_input(spark, input_path)
+    size_for(spark, folder_bytes(spark, input_path))
+    source = scan_source(spark, input_path, ingest_order=True)
     return append_batches(spark, source, bronze_path, max_year=max_year, reset=reset)
 
 
@@ -99,7 +101,9 @@ def full_run(
     spark: SparkSession, root: str, input_path: str | None = None, **options
 ) -> DataFrame:
     """`run_layers` from a source file."""
-    source = scan_source(spark, resolve_input(spark, input_path), ingest_order=True)
+    input_path = resolve_input(spark, input_path)
+    size_for(spark, folder_bytes(spark, input_path))
+    source = scan_source(spark, input_path, ingest_order=True)
     return run_layers(spark, source, root, **options)
 
 
@@ -168,6 +172,7 @@ def _run_stage(spark: SparkSession, args: argparse.Namespace) -> DataFrame | str
         check_load(result)
         return result
     if args.stage == "silver":
+        size_for(spark, folder_bytes(spark, args.bronze or bronze))
         return build_silver(
             spark,
             args.bronze or bronze,
@@ -176,6 +181,8 @@ def _run_stage(spark: SparkSession, args: argparse.Namespace) -> DataFrame | str
             max_year=args.max_year,
             null_safe_key=args.null_safe_key,
         )
+    if args.stage in ("analytics", "features"):
+        size_for(spark, folder_bytes(spark, args.silver or silver))
     if args.stage == "analytics":
         return write_analytics(spark, args.silver or silver, args.output or f"{root}/{GOLD_ANALYTICS}")
     if args.stage == "features":
@@ -193,6 +200,7 @@ def _run_stage(spark: SparkSession, args: argparse.Namespace) -> DataFrame | str
             **options,
         ).drop("model_path")
     if args.stage == "maintain":
+        size_for(spark, folder_bytes(spark, args.table))
         columns = [name.strip() for name in args.zorder_cols.split(",") if name.strip()]
         return maintenance_report(
             spark, args.table, version=args.time_travel_version, columns=columns

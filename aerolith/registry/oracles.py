@@ -457,6 +457,19 @@ FROM scores""",
         / sum((arr_delay - mean) * (arr_delay - mean)), 9) AS r2
 FROM scores, (SELECT avg(arr_delay) AS mean FROM scores)""",
         ),
+        "run_log": with_(
+            SILVER,
+            RULE_SCORES,
+            """measured AS (
+  SELECT avg(abs(arr_delay - predicted)) AS mae,
+         avg((arr_delay - predicted) * (arr_delay - predicted)) AS mse,
+         var_pop(arr_delay) AS spread FROM scores)""",
+            select=" UNION ALL ".join(
+                f"SELECT 'regression_rule' AS run_name, 'arr_delay' AS target, '{name}' AS metric, "
+                f"round({value}, 9) AS value FROM measured"
+                for name, value in (("mae", "mae"), ("rmse", "sqrt(mse)"), ("r2", "1 - mse / spread"))
+            ),
+        ),
         "classification_metrics": with_(
             SILVER,
             RULE_SCORES,

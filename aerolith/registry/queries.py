@@ -791,15 +791,16 @@ def train_classification(spark, sf_dir):
 
 @query
 def run_log(spark, sf_dir):
-    """Metrics of one linear fit, written to the run log and read back."""
-    measured = _quality(spark, sf_dir, "linear_regression").first().asDict()
+    """Metrics of the rule, written to the run log and read back."""
+    scored = _rule_scores(spark, sf_dir)
+    measured = metrics.regression_metrics(scored, actual="arr_delay").first().asDict()
     path = scratch_path(spark, "runs")
     runs.log_run(
         spark,
         path,
         "run-1",
         experiment="check",
-        run_name="regression_linear_regression",
+        run_name="regression_rule",
         params={"target": features.DELAY_TARGET},
         metrics=measured,
         importances={},
@@ -807,7 +808,13 @@ def run_log(spark, sf_dir):
         model_path="",
     )
     logged = runs.read_runs(spark, path)
-    return logged.select("run_name", F.explode("metrics").alias("metric", "value"))
+    listed = logged.select("run_name", "params", F.explode("metrics").alias("metric", "value"))
+    return listed.select(
+        "run_name",
+        F.col("params")["target"].alias("target"),
+        "metric",
+        F.round("value", 9).alias("value"),
+    )
 
 
 @query

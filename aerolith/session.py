@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Beyond these numbers of tasks the driver's book-keeping costs more than larger tasks do.
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 200_000
 
 
 def get_spark(app_name: str = "aerolith", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,9 +35,30 @@ def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
     """Initial shuffle partitions for an input: about 128 MB each, at least one per core.
 
     Adaptive execution merges partitions that turn out small but never splits an ordinary
-    shuffle, so the initial number has to follow the input.
+    shuffle, so the initial number has to follow the input. Past 50,000 the partitions grow
+    instead (2 GB each at 100 TB); sorts and aggregates spill.
     """
-    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    wanted = -(-input_bytes // TARGET_PARTITION_BYTES)
+    return min(max(cores, wanted), max(cores, MAX_SHUFFLE_PARTITIONS))
+
+
+def scan_bytes_for(input_bytes: int) -> int:
+    """Bytes per scan task: 128 MB, more where that would make over 200,000 tasks."""
+    return max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Fit shuffles and scans to the input, except for settings the user has made."""
+    chosen = spark.sparkContext.getConf()
+    sizes = {
+        "spark.sql.shuffle.partitions": shuffle_partitions_for(
+            input_bytes, spark.sparkContext.defaultParallelism
+        ),
+        "spark.sql.files.maxPartitionBytes": scan_bytes_for(input_bytes),
+    }
+    for key, value in sizes.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, str(value))
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -32,6 +32,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(jpath)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a path; 0 when there is nothing."""
+    jpath, file_system = hadoop_path(spark, path)
+    return file_system.getContentSummary(jpath).getLength() if file_system.exists(jpath) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jpath, file_system = hadoop_path(spark, path)
     file_system.delete(jpath, True)

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry_point
 from aerolith.operators import bronze
 from aerolith.plans import inspect, stages
-from aerolith.session import shuffle_partitions_for
+from aerolith.session import scan_bytes_for, shuffle_partitions_for
 from aerolith.sources import tables
 from aerolith.streaming.bronze_stream import stream_bronze
 from tests.conftest import rows_of
@@ -50,7 +50,6 @@ def test_entry_and_names(spark):
         "fit_logistic",
         "fit_gbt_cls",
         "permutation_importance",
-        "run_log",
     }
 
 
@@ -127,4 +126,7 @@ def test_plan_has_no_python_or_cartesian_step(spark, sf_dir):
 
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions_for(10, 8) == 8
-    assert shuffle_partitions_for(100 * 10**12, 1000) == 745059
+    assert shuffle_partitions_for(10**12, 1000) == 7451
+    assert shuffle_partitions_for(100 * 10**12, 1000) == 50_000
+    assert scan_bytes_for(10**12) == 128 * 1024 * 1024
+    assert scan_bytes_for(100 * 10**12) == 500_000_000
