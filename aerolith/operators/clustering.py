@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators.ranking import with_position
 from aerolith.session import materialise
+from aerolith.sources.columns import quoted
 
 MAX_DICTIONARY = 65_536  # distinct values up to which every value gets a code of its own
 RANGE_BITS = 8  # otherwise values fall into 2**RANGE_BITS ranges
@@ -29,8 +30,8 @@ def sort_cluster(df: DataFrame, columns: Sequence[str], within: Sequence[str] =
     keys = [*within, *[c for c in _present(df, columns) if c not in within]]
     if not keys:
         return df
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartitionByRange(*[F.col(c) for c in keys], spread).sortWithinPartitions(*keys)
+    ranges = [*quoted(keys), F.xxhash64(*quoted(df.columns))]
+    return df.repartitionByRange(*ranges).sortWithinPartitions(*quoted(keys))
 
 
 def _range_code(column: Column, bounds: Sequence) -> Column:
@@ -97,10 +98,10 @@ def with_z_value(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for b in range(width):
             bit = F.shiftright(code, b).bitwiseAND(F.lit(1).cast("bigint"))
             z = z.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
-    return coded.select(*order, z.alias("z_value"))
+    return coded.select(*quoted(order), z.alias("z_value"))
 
 
 def z_order_rows(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Rows laid out along the z curve of the columns, inside the partitions given by `within`."""
     order = df.columns
-    return sort_cluster(with_z_value(df, columns), ["z_value"], within).select(*order)
+    return sort_cluster(with_z_value(df, columns), ["z_value"], within).select(*quoted(order))

@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolith.operators.clustering import sort_cluster, z_order_rows
 from aerolith.session import TARGET_PARTITION_BYTES, materialise
 from aerolith.sources import tables
+from aerolith.sources.columns import quoted
 from aerolith.sources.files import delete_path
 
 # Defaults of the maintenance run.
@@ -47,9 +48,9 @@ def _live_files(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame
     return data_files(spark, path).join(live, "folder")
 
 
-def _all_columns(current: tables.Snapshot) -> list[str]:
+def _all_columns(current: tables.Snapshot) -> list[Column]:
     """Columns of the table and those it is partitioned by."""
-    return list(dict.fromkeys([*current.schema.names, *current.partition_by]))
+    return quoted(dict.fromkeys([*current.schema.names, *current.partition_by]))
 
 
 def _rewrite(spark: SparkSession, path: str, rows: DataFrame, current: tables.Snapshot) -> DataFrame:
@@ -77,14 +78,14 @@ def _into_files(rows: DataFrame, plan: DataFrame, partition_by: Sequence[str]) -
     year, month = partition_by
     # One row per batch.
     wanted = plan.select(F.col("year").alias(year), F.col("month").alias(month), "wanted")
-    names = rows.columns
-    spread = F.xxhash64(*[F.col(c) for c in names], F.spark_partition_id())
+    columns = quoted(rows.columns)
+    spread = F.xxhash64(*columns, F.spark_partition_id())
     return (
         rows.withColumn("_spread", spread)
         .join(F.broadcast(wanted), [year, month])
         .withColumn("_file", F.pmod("_spread", "wanted"))
         .repartition(year, month, "_file")
-        .select(*names)
+        .select(*columns)
     )
 
 

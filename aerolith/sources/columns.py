@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Accepted source names per column, the first match wins, case is ignored.
 COLUMN_NAMES = {
     "year": ("year",),
@@ -21,6 +24,11 @@ COLUMN_NAMES = {
 REQUIRED_COLUMNS = ("year", "month", "arr_delay")
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever characters the names contain."""
+    return [F.col(f"`{name}`") for name in names]
+
+
 def find_column(columns: Iterable[str], names: Sequence[str]) -> str | None:
     """The source column that carries the first of `names` present, or None."""
     by_lower = {column.lower(): column for column in columns}

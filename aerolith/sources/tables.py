@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.sources.columns import quoted
 from aerolith.sources.files import path_exists
 
 APPEND = "append"  # adds a batch
@@ -197,7 +198,7 @@ def read_table(
     entries = found.entries
     if batches is not None:
         entries = entries.join(batches.select("year", "month"), ["year", "month"], "left_semi")
-    return read_entries(spark, path, entries, found.schema).select(*found.schema.names)
+    return read_entries(spark, path, entries, found.schema).select(*quoted(found.schema.names))
 
 
 def live_batches(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import pytest
 
-from aerolith.operators import bronze
+from aerolith.operators import bronze, maintenance
 from aerolith.sources import tables
 from tests.conftest import rows_of
 
@@ -92,3 +92,15 @@ def test_uncommitted_load_stays_invisible(spark, flights, folder):
     tables.write_load(stray, path, bronze.BATCH_COLUMNS)
     assert bronze.read_bronze(spark, path).count() == 1
     assert bronze.append_batches(spark, flights({"month": 7}), path).first().written_rows == 1
+
+
+def test_awkward_source_names(spark, flights, folder):
+    path = folder()
+    source = flights({}, {"month": 2}).withColumnsRenamed({"carrier": "op.carrier", "dest": "to city"})
+    bronze.append_batches(spark, source, path)
+    bronze.append_batches(spark, source.withColumn("month", bronze.F.lit(3)), path)
+    before = rows_of(bronze.read_bronze(spark, path))
+    maintenance.z_order(spark, path, ["op.carrier", "origin"], curve=False)
+    maintenance.z_order(spark, path, ["origin", "month"])
+    assert rows_of(bronze.read_bronze(spark, path)) == before
+    assert len(before) == 4
