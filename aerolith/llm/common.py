@@ -52,3 +52,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast a side whose measured size is within the limit; else leave the join to Spark."""
     return F.broadcast(df) if size <= limit else df
+
+
+def row_bitmaps(rows: DataFrame) -> DataFrame:
+    """Row numbers (`row`) as Spark bitmaps of 32,768 rows each: `bucket`, `bits`."""
+    return rows.groupBy(F.bitmap_bucket_number("row").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits")
+    )
+
+
+def with_bit(staged: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Adds `bit`, 1 for rows that are in the bitmaps. `bitmaps` must be stored.
+
+    One bit per row is broadcast while all of them fit in the limit (500 million rows); beyond that
+    rows and bitmaps are joined by shuffle.
+    """
+    position = F.bitmap_bit_position("row")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(position / 8).cast("int") + 1, 1)), 16, 10)
+    bit = F.getbit(byte.cast("int"), (position % 8).cast("int"))
+    return (
+        staged.withColumn("bucket", F.bitmap_bucket_number("row"))
+        .join(broadcast_if_small(bitmaps, 4096 * bitmaps.count()), "bucket", "left")
+        .withColumn("bit", F.coalesce(bit, F.lit(0)))
+        .drop("bucket", "bits")
+    )

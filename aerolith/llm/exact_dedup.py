@@ -23,7 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import broadcast_if_small, column, ship_package, stored, whole_row
+from aerolith.llm.common import (
+    column,
+    row_bitmaps,
+    ship_package,
+    stored,
+    whole_row,
+    with_bit,
+)
 
 ROWS_PER_MESSAGE = 1 << 16
 ROWS_PER_OWNER = 1 << 18
@@ -180,9 +187,7 @@ def marked_rows(rows: DataFrame) -> DataFrame:
         .join(replies, ["sender", "owner"])
         .mapInArrow(_suspects, "row long")
     )
-    return suspects.groupBy(F.bitmap_bucket_number("row").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits")
-    )
+    return row_bitmaps(suspects)
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -201,17 +206,8 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         "staged",
     )
     marks = stored(marked_rows(staged.select("row", "print")), "marks")
-    position = F.bitmap_bit_position("row")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(position / 8).cast("int") + 1, 1)), 16, 10)
-    rows = (
-        staged.withColumn("bucket", F.bitmap_bucket_number("row"))
-        .join(broadcast_if_small(marks, 4096 * marks.count()), "bucket", "left")
-        .select(
-            "doc",
-            "row",
-            F.coalesce(F.col("doc").getField(text), F.lit("")).alias("body"),
-            F.coalesce(F.getbit(byte.cast("int"), (position % 8).cast("int")), F.lit(0)).alias("bit"),
-        )
+    rows = with_bit(staged, marks).select(
+        "doc", "row", "bit", F.coalesce(F.col("doc").getField(text), F.lit("")).alias("body")
     )
     id_of = F.col("doc").getField(key)
     suspects = rows.filter("bit = 1")
