@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import exact_dedup, simhash
+from aerolith.llm import decontamination, exact_dedup, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,16 +15,56 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
 }
 
 ORACLES = {
+    "op2_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+starts AS (
+  SELECT item_id, words, least(len(words), 10) AS n,
+         unnest(range(1, len(words) - least(len(words), 10) + 2)) AS s
+  FROM b WHERE len(words) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[s:s + n - 1], ' ') AS phrase FROM starts),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+doc_starts AS (
+  SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM d, lengths WHERE len(words) >= n),
+doc_windows AS (SELECT r, n, s, array_to_string(words[s:s + n - 1], ' ') AS phrase FROM doc_starts),
+found AS (SELECT r, n, s, item_id FROM doc_windows JOIN item_windows USING (n, phrase)),
+hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(range(s, s + n)) AS p FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found WHERE item_id IS NOT NULL)
+  GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
     "op4_exact_dedup": """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
