@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import decontamination, exact_dedup, language, pieces, simhash
+from aerolith.llm import (
+    decontamination,
+    exact_dedup,
+    language,
+    pieces,
+    simhash,
+    token_counts,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +29,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.report(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -33,12 +45,18 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
@@ -83,4 +101,13 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f""",
 }
