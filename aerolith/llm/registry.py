@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from aerolith.llm import (
     decontamination,
     exact_dedup,
+    html_text,
     language,
     pieces,
     simhash,
     token_counts,
+    urls,
     warc,
 )
 
@@ -37,6 +39,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.report(table(spark, sf_dir, "pages"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
@@ -54,6 +64,8 @@ QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_url_filter": op5_url_filter,
+    "op6_html_text": op6_html_text,
     "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_warc": op10_warc,
