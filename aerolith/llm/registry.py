@@ -9,6 +9,7 @@ from aerolith.llm import (
     exact_dedup,
     html_text,
     language,
+    licences,
     pieces,
     simhash,
     token_counts,
@@ -55,6 +56,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(table(spark, sf_dir, "documents"))
 
 
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op6_html_text": op6_html_text,
     "op7_language_id": op7_language_id,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_licence_scan": op9_licence_scan,
     "op10_warc": op10_warc,
 }
 
