@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from aerolith.llm.common import column, row_bitmaps, ship_package, stored, whole_row, with_bit
+from aerolith.llm.common import broadcast_if_small, column, row_bitmaps, ship_package, stored, whole_row, with_bit
 from aerolith.llm.components import roots
 
 SHINGLE_WORDS = 3
@@ -116,7 +116,9 @@ def links(prints: DataFrame) -> DataFrame:
 
     All pairs of ordinary cells; of crowded cells a spanning set that connects the same fingerprints.
     """
-    cells = stored(pivot_table(prints).select(_cells().alias("cell"), "print", "to"), "cells")
+    # Fingerprints are small but become six rows each: they are dealt to all tasks first.
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "print")
+    cells = stored(pivot_table(spread).select(_cells().alias("cell"), "print", "to"), "cells")
     sizes = cells.groupBy("cell").agg(F.count("*").alias("size")).filter("size > 1")
     shared = stored(cells.join(sizes, "cell"), "shared")
     ordinary = shared.filter(F.col("size") <= CELL_LIMIT)
@@ -176,9 +178,11 @@ def near_duplicates(
     groups = stored(groups, "groups")
     linked = stored(components(groups), "roots")
     merged = linked.join(groups, "print").groupBy("root").agg(F.min("first").alias("first_of_all"))
+    merged = stored(merged, "merged")
+    # A large component is one row here and many on the other side, which therefore stays where it is.
+    linked = linked.join(broadcast_if_small(merged, 64 * merged.count()), "root")
     best = (
         groups.join(linked, "print", "left")
-        .join(merged, "root", "left")
         .select("print", F.coalesce("first_of_all", "first").alias("first"))
         .select("print", F.col("first.id").alias("component_id"), F.col("first.row").alias("keep_row"))
     )
