@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark import SparkFiles
@@ -76,3 +77,26 @@ def with_bit(staged: DataFrame, bitmaps: DataFrame) -> DataFrame:
         .withColumn("bit", F.coalesce(bit, F.lit(0)))
         .drop("bucket", "bits")
     )
+
+
+class Remembered(dict):
+    """Results of a function, the recently used ones kept: about `limit` in two generations."""
+
+    def __init__(self, make: Callable, limit: int, longest: int):
+        super().__init__()
+        self.make, self.limit, self.longest = make, limit, longest
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            self[key] = value
+        return value
+
+    def settle(self) -> None:
+        """Between texts: where this generation is full, forget the one before it."""
+        if len(self) >= self.limit // 2:
+            self.older = dict(self)
+            self.clear()

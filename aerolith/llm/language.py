@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -40,7 +41,8 @@ UNKNOWN = 1e-7  # probability of a character outside the vocabulary, in every la
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"
 SUMMED_LENGTH = 32  # longer words are summed in logarithms, one by one
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 600_000
+BATCH = 256  # texts whose new words are summed together
 MIN_SCORE = 0.5
 
 
@@ -64,17 +66,28 @@ class Vocabulary:
         self.known = {piece for piece in self.pieces if len(piece) == 1}
         self.automaton = ahocorasick.Automaton()
         for number, piece in enumerate(self.pieces):
-            self.automaton.add_word(piece, (len(piece), number))
+            self.automaton.add_word(piece, (number << 16) - (len(piece) << 8))
         self.automaton.make_automaton()
 
-    def matches(self, word: str) -> list[tuple[int, int, int]]:
-        """(end, start, piece) of all pieces inside the marked word."""
+    def matches(self, word: str) -> list[int]:
+        """All pieces inside a short marked word, each as one number: piece, start and end in 16, 8 and 8 bits."""
         word = START + word
-        found = [(end + 1, end + 1 - size, n) for end, (size, n) in self.automaton.iter(word)]
+        found = [code + (end + 1) * 257 for end, code in self.automaton.iter(word)]
         if not self.known.issuperset(word):
-            found += [(i + 1, i, self.unknown) for i, c in enumerate(word) if c not in self.known]
+            own = self.unknown << 16
+            found += [own + (i << 8) + i + 1 for i, c in enumerate(word) if c not in self.known]
         return found
 
+    def long_matches(self, word: str) -> list[tuple[int, int, int]]:
+        """(end, start, piece) of all pieces inside a marked word of any length, by their ends."""
+        word = START + word
+        found = []
+        for end, code in self.automaton.iter(word):
+            piece = -(-code >> 16)
+            found.append((end + 1, end + 1 - (((piece << 16) - code) >> 8), piece))
+        found += [(i + 1, i, self.unknown) for i, c in enumerate(word) if c not in self.known]
+        return sorted(found)
+
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
 
@@ -90,15 +103,15 @@ class _Lattice:
     """The cuts of many short words at once: matches sorted by where they end."""
 
     def __init__(self, vocab: Vocabulary, words: list[str]):
-        flat: list[tuple[int, int, int]] = []
+        flat: list[int] = []
         counts = []
         for word in words:
             found = vocab.matches(word)
             flat += found
             counts.append(len(found))
-        table = np.array(flat, np.int64).reshape(-1, 3)
+        codes = np.array(flat, np.int64)
         self.word = np.repeat(np.arange(len(words)), counts)
-        self.end, self.start, self.piece = table.T
+        self.end, self.start, self.piece = codes & 255, (codes >> 8) & 255, codes >> 16
         self.last = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
         self.size = len(words)
 
@@ -132,7 +145,7 @@ def _long_word(vocab: Vocabulary, word: str, chance: np.ndarray) -> np.ndarray:
     logs = np.log(chance)
     sums = np.full((len(word) + 2, chance.shape[1]), -np.inf)
     sums[0] = 0.0
-    for end, start, piece in sorted(vocab.matches(word)):
+    for end, start, piece in vocab.long_matches(word):
         sums[end] = np.logaddexp(sums[end], sums[start] + logs[piece])
     return sums[-1]
 
@@ -143,43 +156,56 @@ class Model:
     def __init__(self, languages: list[str], chance: np.ndarray, vocabulary_name: str):
         self.languages, self.chance, self.vocabulary_name = languages, chance, vocabulary_name
         self.key = uuid.uuid4().hex
+        # Scores of words met lately, and of those met before them.
         self.places: dict[str, int] = {}
         self.scores = np.zeros((0, len(languages)))
+        self.older: tuple[dict[str, int], np.ndarray] = {}, self.scores
 
     def _learn(self, words: list[str]) -> None:
+        """Put the scores of new words at the end of the table."""
+        places, scores = self.older
+        again = [w for w in words if w in places]
+        rows = [scores[[places[w] for w in again]]]
+        fresh = [w for w in words if w not in places] if again else words
         vocab = vocabulary(self.vocabulary_name)
-        short = [w for w in words if len(w) < SUMMED_LENGTH]
-        rows = []
+        short = [w for w in fresh if len(w) < SUMMED_LENGTH]
         if short:
             lattice = _Lattice(vocab, short)
             sums = lattice.forward(self.chance)
             rows.append(np.log(sums[np.arange(len(short)), lattice.last]))
-        long = [w for w in words if len(w) >= SUMMED_LENGTH]
+        long = [w for w in fresh if len(w) >= SUMMED_LENGTH]
         rows += [_long_word(vocab, w, self.chance)[None] for w in long]
         first = len(self.places)
-        self.places |= {w: first + i for i, w in enumerate(short + long)}
-        self.scores = np.concatenate([self.scores[:first], *rows])
+        self.places |= {w: first + i for i, w in enumerate(again + short + long)}
+        self.scores = np.concatenate([self.scores, *rows])
 
     def likelihoods(self, texts: list[list[str]]) -> np.ndarray:
         """Log-likelihood of each text (as words) in each language."""
-        if len(self.places) > REMEMBERED_WORDS:
+        if len(self.places) > REMEMBERED_WORDS // 2:
+            self.older = self.places, self.scores
             self.places, self.scores = {}, self.scores[:0]
+        counts = [Counter(words) for words in texts]
+        found = [[self.places.get(word) for word in count] for count in counts]
         new: dict[str, None] = {}
-        for words in texts:
-            new |= dict.fromkeys(w for w in words if w not in self.places)
+        for count, where in zip(counts, found, strict=True):
+            if None in where:
+                new |= {word: None for word, i in zip(count, where, strict=True) if i is None}
         if new:
             self._learn(list(new))
-        where = self.places.__getitem__
-        return np.array(
-            [self.scores[np.fromiter(map(where, words), np.int64, len(words))].sum(axis=0) for words in texts]
-        )
+        sums = np.zeros((len(texts), len(self.languages)))
+        for row, (count, where) in enumerate(zip(counts, found, strict=True)):
+            if None in where:
+                where = [self.places[w] if i is None else i for w, i in zip(count, where, strict=True)]
+            if where:
+                sums[row] = np.fromiter(count.values(), np.float64, len(where)) @ self.scores[where]
+        return sums
 
     def predict(self, texts: pd.Series) -> pd.DataFrame:
         labels, scores = [], []
-        for first in range(0, len(texts), 64):  # enough words at once to sum them together
-            words = [words_of(text) for text in texts.iloc[first : first + 64]]
+        for first in range(0, len(texts), BATCH):
+            words = [words_of(text) for text in texts.iloc[first : first + BATCH]]
             if self.languages:
-                logs = self.likelihoods(words).reshape(len(words), -1)
+                logs = self.likelihoods(words)
                 best = logs.argmax(axis=1)
                 sure = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
             for i, found in enumerate(words):

@@ -1,7 +1,8 @@
 """SentencePiece BPE encoding by backtracking, and decoding.
 
-A text is cut where no piece can reach across: before a space mark that follows another character, and at
-characters outside the vocabulary, which become byte pieces. Each part is encoded thus:
+A text is cut where no piece can reach across: between two characters that stand side by side in no piece, as
+before a space mark that follows another character. Characters outside the vocabulary stand alone and
+become byte pieces. Each part is encoded thus:
 
 1. Aho-Corasick gives the pieces that start at every place; the longest is tried first.
 2. A piece may follow its predecessor only if merging the two texts from scratch gives these two
@@ -22,7 +23,6 @@ import hashlib
 import heapq
 import os
 import re
-from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
@@ -31,7 +31,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, ship_package, whole_row
+from aerolith.llm.common import Remembered, column, ship_package, whole_row
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -55,6 +55,8 @@ class PieceBpe:
         bytes_ = {int(model.id_to_piece(i)[1:-1], 16): i for i in ids if model.is_byte(i)}
         self.byte_ids = [bytes_[b] for b in range(256)]
         self.longest = max(map(len, self.id_of))
+        self.characters = frozenset(piece for piece in self.id_of if len(piece) == 1)
+        self.neighbours = frozenset(p[i : i + 2] for p in self.id_of for i in range(len(p) - 1))
         # What each id is when decoded, in UTF-8.
         self.bytes_of = {str(i).encode(): piece.replace(SPACE, " ").encode() for piece, i in self.id_of.items()}
         self.bytes_of |= {str(i).encode(): bytes([b]) for b, i in bytes_.items()}
@@ -67,8 +69,9 @@ class PieceBpe:
                 self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.marked = _Parts(self, SPACE)
-        self.bare = _Parts(self, "")
+        # Ids of texts with a space mark before them, and of texts as they stand.
+        self.marked = Remembered(self._after_space, REMEMBERED_PARTS, REMEMBERED_LENGTH)
+        self.bare = Remembered(self._as_it_stands, REMEMBERED_PARTS, REMEMBERED_LENGTH)
 
     def merge(self, text: str) -> list[str]:
         """Merging from scratch: the best pair first, the leftmost of equal ones."""
@@ -108,38 +111,44 @@ class PieceBpe:
             known = self.pairs[key] = self.merge(left + right) == [left, right]
         return known
 
-    def _starts(self, part: str) -> Iterator[list[int]]:
+    def _starts(self, part: str) -> list[list[int]]:
         """For each place, the lengths of the pieces that start there, the shortest first."""
+        found: list[list[int]] = [[] for _ in part]
         for first in range(0, len(part), MATCH_BLOCK):
-            size = min(MATCH_BLOCK, len(part) - first)
-            found: list[list[int]] = [[] for _ in range(size)]
-            for end, length in self.automaton.iter(part[first : first + size + self.longest]):
+            block = part[first : first + MATCH_BLOCK + self.longest]
+            for end, length in self.automaton.iter(block):
                 start = end + 1 - length
-                if start < size:
-                    found[start].append(length)
-            yield from found
+                if start < MATCH_BLOCK:
+                    found[first + start].append(length)
+        return found
 
     def backtrack(self, part: str) -> list[str]:
         """Pieces of a part that has only characters of the vocabulary and no run of space marks."""
-        if part in self.score and self.merge(part) == [part]:
+        lengths = self._starts(part)
+        size, known, compatible = len(part), self.pairs.get, self.compatible
+        if lengths[0][-1] == size:
             return [part]
-        lengths = list(self._starts(part))
-        failed = bytearray((len(part) >> 3) + 1)
+        failed = bytearray((size >> 3) + 1)
         pieces: list[str] = []
         tried: list[int] = []  # for each piece, how many of the lengths at its start are left
         place, left = 0, len(lengths[0])
-        while place < len(part):
+        while place < size:
+            here = lengths[place]
             while left:
                 left -= 1
-                end = place + lengths[place][left]
+                end = place + here[left]
                 if failed[end >> 3] >> (end & 7) & 1:
                     continue
                 piece = part[place:end]
-                if not pieces or self.compatible(pieces[-1], piece):
-                    pieces.append(piece)
-                    tried.append(left)
-                    place, left = end, len(lengths[end]) if end < len(part) else 0
-                    break
+                if pieces:
+                    fits = known((pieces[-1], piece))
+                    if fits is False or fits is None and not compatible(pieces[-1], piece):
+                        continue
+                pieces.append(piece)
+                tried.append(left)
+                place = end
+                left = len(lengths[end]) if end < size else 0
+                break
             else:
                 failed[place >> 3] |= 1 << (place & 7)
                 place -= len(pieces.pop())
@@ -147,27 +156,39 @@ class PieceBpe:
         return pieces
 
     def encode_part(self, part: str) -> str:
-        """Ids of a part, joined by commas."""
-        ids: list[int] = []
-        for known, run in _runs(part, self.score):
-            if not known:
-                ids += [self.byte_ids[b] for b in run.encode("utf-8", "surrogatepass")]
-            else:
-                pieces = self.merge(run) if SPACE * 2 in run else self.backtrack(run)
-                ids += [self.id_of[p] for p in pieces]
+        """Ids of a part without cuts, joined by commas."""
+        if len(part) == 1 and part not in self.characters:
+            ids = [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
+        else:
+            pieces = self.merge(part) if SPACE * 2 in part else self.backtrack(part)
+            ids = [self.id_of[p] for p in pieces]
         return ",".join(map(str, ids))
 
+    def cut(self, text: str) -> list[str]:
+        """The parts of a text that no piece reaches out of."""
+        neighbours = self.neighbours
+        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in neighbours]
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+
+    def _after_space(self, text: str) -> str:
+        first, *others = self.cut(SPACE + text)
+        if not others:
+            return self.encode_part(first)
+        return ",".join([self.marked[first[1:]], *map(self.bare.__getitem__, others)])
+
+    def _as_it_stands(self, text: str) -> str:
+        parts = self.cut(text)
+        return self.encode_part(text) if len(parts) == 1 else ",".join(map(self.bare.__getitem__, parts))
+
     def encode(self, text: str) -> str:
         """Ids of a text, joined by commas."""
         if not text:
             return ""
-        for cache in (self.marked, self.bare):
-            if len(cache) > REMEMBERED_PARTS:
-                cache.clear()
+        self.marked.settle()
+        self.bare.settle()
         if SPACE in text or "  " in text or text[0] == " " or " \n" in text or text[-1] == " ":
             marked = SPACE + text.replace(" ", SPACE)
-            parts = re.findall(f"{SPACE}+[^{SPACE}]*", marked)
-            found = map(self.encode_part, parts)
+            found = map(self.bare.__getitem__, re.findall(f"{SPACE}+[^{SPACE}]*", marked))
         else:
             # Line ends are byte pieces, so the first word of a line stands by itself.
             lines = text.split("\n")
@@ -193,28 +214,6 @@ class PieceBpe:
         return (start + b"".join(map(self.bytes_of.__getitem__, others))).decode("utf-8", "replace")
 
 
-def _runs(part: str, vocabulary: dict) -> Iterator[tuple[bool, str]]:
-    """Stretches of characters that are pieces themselves, and of others."""
-    start = 0
-    for place in range(1, len(part) + 1):
-        if place == len(part) or (part[place] in vocabulary) != (part[start] in vocabulary):
-            yield part[start] in vocabulary, part[start:place]
-            start = place
-
-
-class _Parts(dict):
-    """Ids of parts that came before; `prefix` stands before each."""
-
-    def __init__(self, model: PieceBpe, prefix: str):
-        self.model, self.prefix = model, prefix
-
-    def __missing__(self, part: str) -> str:
-        ids = self.model.encode_part(self.prefix + part)
-        if len(part) <= REMEMBERED_LENGTH:
-            self[part] = ids
-        return ids
-
-
 _LOADED: dict[str, PieceBpe] = {}
 
 

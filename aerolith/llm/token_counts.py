@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, ship_package, whole_row
+from aerolith.llm.common import Remembered, column, ship_package, whole_row
 
 MODEL = "word_bpe_49k.json"
 HUGE = 1 << 15  # characters
@@ -89,30 +89,26 @@ def count_huge(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP)
     return total + len(left.ids) - left.before(done)
 
 
-class Words(dict):
-    """Token counts of words (in bytes, without white space) met so far."""
+class Words:
+    """Token counts of words (in bytes, without white space), with those met before remembered."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.known = Remembered(self._count_word, REMEMBERED_WORDS, REMEMBERED_LENGTH)
 
-    def __missing__(self, word: bytes) -> int:
+    def _count_word(self, word: bytes) -> int:
         # A letter and a full stop or comma after it are never one token.
         if len(word) > 1 and word[-1:] in (b".", b",") and word[-2] in LETTERS:
-            count = self[word[:-1]] + self[word[-1:]]
-        else:
-            text = word.decode("utf-8", "surrogatepass")
-            count = len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(word) <= REMEMBERED_LENGTH:
-            self[word] = count
-        return count
+            return self.known[word[:-1]] + self.known[word[-1:]]
+        text = word.decode("utf-8", "surrogatepass")
+        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def count(self, text: str) -> int:
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
+        self.known.settle()
         raw = text.encode("utf-8", "surrogatepass")
         # The tokenizer takes lower case, except that special strings are matched as they stand.
         words = raw.split() if b"<|" in raw else raw.lower().split()
-        return sum(map(self.__getitem__, words))
+        return sum(map(self.known.__getitem__, words))
 
 
 _LOADED: dict[str, tuple] = {}
