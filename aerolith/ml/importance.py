@@ -2,82 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.ml.features import DELAY_TARGET, FEATURES
 from aerolith.ml.metrics import accuracy, r_squared
-from aerolith.ml.models import SEED, DelayModel
 from aerolith.session import materialise
 
-# Rows sampled from the test part and shuffles per feature.
-SAMPLE_ROWS = 3_000
-REPEATS = 5
+REPEATS = 5  # fixed value: shuffles per feature
+BLOCK_ROWS = 4_096  # rows that are shuffled among themselves, at most on average
 
 
-def seeded_sample(df: DataFrame, rows: int, seed: int = SEED, key: str = "flight_key") -> DataFrame:
-    """`rows` rows (all, if there are fewer), picked by a seeded hash of the key and the row.
+def ticket(target: str) -> Column:
+    """A number for each row that has nothing to do with its values: the MD5 of its text."""
+    return F.md5(F.concat_ws("|", "flight_key", *[F.col(c).cast("string") for c in (*FEATURES, target)]))
 
-    The hash is uniform, so a bar set at four times the wanted share leaves few rows to rank; should
-    it ever leave too few, all rows are ranked.
-    """
-    ticket = F.xxhash64(F.lit(seed), F.col(key), *[F.col(c) for c in df.columns if c != key])
-    drawn = df.withColumn("_ticket", ticket)
-    total = df.count()
-    if total > 4 * rows:
-        bar = int(-(2**63) + 2**64 * (4.0 * rows / total))
-        near = drawn.filter(F.col("_ticket") < F.lit(bar))
-        if near.limit(rows).count() == rows:
-            drawn = near
-    return drawn.orderBy("_ticket", key).limit(rows).drop("_ticket")
+
+def block_digits(rows: int) -> int:
+    """How many leading digits of the ticket name a block."""
+    digits = 0
+    while rows > BLOCK_ROWS << (4 * digits):
+        digits += 1
+    return digits
 
 
 def permutation_importance(
-    model: DelayModel, test: DataFrame, rows: int = SAMPLE_ROWS, repeats: int = REPEATS
+    score: Callable[[DataFrame], DataFrame], test: DataFrame, target: str, repeats: int = REPEATS
 ) -> DataFrame:
-    """Mean loss of score when one feature is shuffled: `feature`, `importance`, largest first.
+    """Mean loss of quality when one feature is shuffled: `feature`, `importance`, largest first.
 
-    The score is R2 for delays and accuracy for the late flag. All shuffles are scored in one job:
-    each sampled row appears once per (feature, repeat), with the value of that feature taken from
-    the row a seeded shuffle puts in its place. Everything here is bounded by the sample size.
+    `score` adds `predicted`; quality is R2 for delays and accuracy for the late flag. All rows of the test
+    part are shuffled and scored, for all features in one job. A shuffle stays inside blocks of rows named by
+    the first digits of their tickets, so no task holds more than a block: within a block, in order of
+    tickets, each row takes the feature's value of the row a fixed number of places further on.
     """
-    target = model.target
-    sample = seeded_sample(test.select("flight_key", *FEATURES, target), rows)
-    sample = materialise(
-        sample.select(*FEATURES, target, F.row_number().over(W.orderBy("flight_key", *FEATURES)).alias("row"))
+    rows = test.select(*FEATURES, F.col(target).alias(target), ticket(target).alias("ticket"))
+    digits = block_digits(test.count())
+    member = F.struct("ticket", *FEATURES, target)
+    blocks = rows.groupBy(F.substring("ticket", 1, digits).alias("block")).agg(
+        F.sort_array(F.collect_list(member)).alias("members")
     )
-    trials = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("repeat"))] + [
-        F.struct(F.lit(name).alias("feature"), F.lit(i).alias("repeat"))
-        for name in FEATURES
-        for i in range(repeats)
+    trials = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("places"))] + [
+        F.struct(F.lit(name).alias("feature"), F.lit(1 + i * repeats + k).alias("places"))
+        for i, name in enumerate(FEATURES)
+        for k in range(repeats)
     ]
-    trial = W.partitionBy("feature", "repeat").orderBy(
-        F.xxhash64(F.lit(SEED), "feature", "repeat", "row"), "row"
+    tried = blocks.select("members", F.explode(F.array(*trials)).alias("trial"))
+    # The rows of a trial beside themselves moved on by its number of places, round the end of the block.
+    places = F.col("trial.places") % F.size("members")
+    moved = F.concat(
+        F.slice("members", places + 1, F.size("members")), F.slice("members", F.lit(1), places)
     )
-    donors = sample.select(F.col("row").alias("donor"), F.struct(*FEATURES).alias("given"))
-    shuffled = (
-        sample.withColumn("trial", F.explode(F.array(*trials)))
-        .select("*", "trial.feature", "trial.repeat")
-        .withColumn("donor", F.row_number().over(trial))
-        .join(donors, "donor")
-        .withColumns(
-            {
-                name: F.when(F.col("feature") == name, F.col(f"given.{name}")).otherwise(F.col(name))
-                for name in FEATURES
-            }
-        )
-        .select("feature", "repeat", *FEATURES, target)
+    paired = tried.select("trial", F.explode(F.arrays_zip(F.col("members").alias("own"), moved.alias("other"))).alias("pair"))
+    shuffled = paired.select(
+        "trial.feature",
+        "trial.places",
+        *[
+            F.when(F.col("trial.feature") == name, F.col(f"pair.other.{name}"))
+            .otherwise(F.col(f"pair.own.{name}"))
+            .alias(name)
+            for name in FEATURES
+        ],
+        F.col(f"pair.own.{target}").alias(target),
     )
     actual, predicted = F.col(target).cast("double"), F.col("predicted").cast("double")
     quality = r_squared if target == DELAY_TARGET else accuracy
     scores = materialise(
-        model.score(shuffled).groupBy("feature", "repeat").agg(quality(actual, predicted).alias("score"))
+        score(shuffled).groupBy("feature", "places").agg(quality(actual, predicted).alias("score"))
     )
-    baseline = scores.filter("feature = ''").first().score
+    baseline = scores.filter("feature = ''").first()
     return (
         scores.filter("feature <> ''")
         .groupBy("feature")
-        .agg((F.lit(baseline) - F.avg("score")).alias("importance"))
+        .agg((F.lit(baseline.score if baseline else None).cast("double") - F.avg("score")).alias("importance"))
         .orderBy(F.abs("importance").desc(), "feature")
     )

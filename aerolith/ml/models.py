@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from aerolith.ml.encoding import FeatureEncoder
 from aerolith.ml.features import DELAY_TARGET, FEATURES, LATE_TARGET
+from aerolith.session import scratch_path
+from aerolith.sources.files import delete_path
 
 # Seed and the settings that the compared models are used with.
 SEED = 42
@@ -22,6 +24,9 @@ LOGISTIC_ITERATIONS = 200
 HISTOGRAM_BINS = 255
 MIN_LEAF_ROWS = 20
 TINY_PENALTY = 1e-5
+EARLY_STOP_ROWS = 10_000
+EARLY_STOP_GAIN = 1e-7
+WATCHING = "_watching"
 
 
 def linear_regression(train_rows: int, rounds: int):
@@ -34,6 +39,10 @@ def linear_regression(train_rows: int, rounds: int):
 
 
 def boosted_regressor(train_rows: int, rounds: int):
+    """Beyond EARLY_STOP_ROWS a tenth of the rows watches over the rounds and ends them when it gains no more."""
+    watched = {}
+    if train_rows > EARLY_STOP_ROWS:
+        watched = {"validationIndicatorCol": WATCHING, "validationTol": EARLY_STOP_GAIN}
     return GBTRegressor(
         labelCol=DELAY_TARGET,
         maxIter=rounds,
@@ -42,6 +51,7 @@ def boosted_regressor(train_rows: int, rounds: int):
         maxBins=HISTOGRAM_BINS,
         minInstancesPerNode=MIN_LEAF_ROWS,
         seed=SEED,
+        **watched,
     )
 
 
@@ -88,8 +98,18 @@ class DelayModel:
         estimator = (REGRESSORS | CLASSIFIERS)[name](train_rows, rounds)
         pipeline = Pipeline(stages=[*encoder.vector_stages(), estimator])
         columns = [c for c in prepared.columns if c in FEATURES or c.endswith("_slot")]
-        data = prepared.select(*columns, F.col(target).cast("double").alias(target))
-        return cls(target, encoder, pipeline.fit(data))
+        watching = F.pmod(F.xxhash64(F.lit(SEED), *FEATURES, target), F.lit(10)) == 0
+        data = prepared.select(
+            *columns, F.col(target).cast("double").alias(target), watching.alias(WATCHING)
+        )
+        fitted = pipeline.fit(data)
+        if name == "logistic_regression":
+            # Its training summary holds the session, which cannot be sent to tasks; a loaded model has none.
+            path = scratch_path(prepared.sparkSession, "fitted")
+            fitted.write().save(path)
+            fitted = PipelineModel.load(path)
+            delete_path(prepared.sparkSession, path)
+        return cls(target, encoder, fitted)
 
     def score_prepared(self, prepared: DataFrame) -> DataFrame:
         """Add `predicted` (a delay or a 0/1 label), and `probability` for a classifier."""

@@ -58,6 +58,6 @@ def feature_lineage(spark: SparkSession, runs_path: str, features_path: str) ->
     )
     return (
         read_runs(spark, runs_path)
-        .select("run_id", "experiment", "run_name", "feature_table_version", "logged_at")
+        .select("run_id", "experiment", "run_name", "feature_table_version", "params", "logged_at")
         .join(made, "feature_table_version", "left")
     )

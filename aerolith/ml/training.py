@@ -1,4 +1,4 @@
-"""Training runs: cap, split, encode, fit, score, log."""
+"""Training runs: split, encode, fit, score, log."""
 
 from __future__ import annotations
 
@@ -16,12 +16,11 @@ from aerolith.ml.features import (
     FEATURES,
     LATE_TARGET,
     load_features,
-    training_row_cap,
 )
 from aerolith.ml.importance import permutation_importance
 from aerolith.ml.metrics import classification_metrics, regression_metrics
 from aerolith.ml.models import BOOSTING_ROUNDS, CLASSIFIERS, REGRESSORS, DelayModel
-from aerolith.operators.ranking import time_split
+from aerolith.operators.ranking import row_cap, time_split
 from aerolith.operators.silver import LATE_MINUTES
 from aerolith.sources import tables
 
@@ -43,13 +42,16 @@ def train(
 ) -> DataFrame:
     """Fit the named models of one kind on the feature table and log a run for each.
 
-    Returns the logged runs of this call.
+    All rows take part. `max_rows` is an optional bound on the rows that classifiers learn from: the first
+    ones of the training part by date and key. Regression, and the test part of either kind, stay
+    whole. Returns the logged runs of this call.
     """
     version = feature_table_version
     if version is None or version < 0:
         version = tables.latest_version(spark, features_path)
-    cap = training_row_cap(max_rows)
-    train_part, test_part = time_split(load_features(spark, features_path, cap))
+    train_part, test_part = time_split(load_features(spark, features_path, version))
+    bound = max_rows if max_rows and max_rows > 0 and not set(models) & set(REGRESSORS) else None
+    train_part = row_cap(train_part, bound)
     columns = ["flight_key", *FEATURES, DELAY_TARGET, LATE_TARGET]
     encoder = FeatureEncoder.fit(train_part)
 
@@ -64,17 +66,18 @@ def train(
             kind = "regression" if name in REGRESSORS else "classification"
             scored = model.score_prepared(test).withColumn("actual", F.col(model.target))
             measure = regression_metrics if name in REGRESSORS else classification_metrics
+            # Names under which the run log keeps these.
             params = {
                 "model_name": name,
                 "target": model.target,
                 "gold_feature_table_version": version,
-                "ml_max_rows": "all" if cap is None else cap,
+                "ml_max_rows": "all" if bound is None else bound,
                 "train_rows": train_rows,
                 "test_rows": test_rows,
             }
             if kind == "classification":
                 params["threshold_minutes"] = int(LATE_MINUTES)
-            importances = permutation_importance(model, test_part).collect()  # one row per feature
+            importances = permutation_importance(model.score, test, model.target).collect()  # one row per feature
             run_id = uuid.uuid4().hex
             model_path = f"{runs_path}/models/{run_id}"
             model.save(model_path)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith.functions import as_int
 from aerolith.operators.batches import up_to_year
 from aerolith.sources import tables
-from aerolith.sources.columns import require_column
+from aerolith.sources.columns import quoted, require_column
+from aerolith.sources.files import delete_path
 
 BATCH_COLUMNS = ("batch_year", "batch_month")
 
@@ -53,68 +55,111 @@ def append_batches(
     *,
     max_year: int | None = None,
     reset: bool = False,
+    late_rows: bool = False,
+    load_id: str | None = None,
 ) -> DataFrame:
     """Append the batches a Bronze table does not have yet; one version per batch, one write.
 
-    Batches already loaded are skipped as a whole, late rows included. `reset` supersedes whatever
-    the table held. Returns one row: years_written, source_rows, written_rows, skipped_rows,
-    rejected_rows, versions.
+    Batches already loaded are skipped as a whole, late rows included; with `late_rows` nothing is skipped,
+    for sources that never repeat a row. `reset` supersedes whatever the table held. A
+    `load_id` that is committed already makes the call a repetition, which writes nothing.
+
+    The source is read once: what becomes of its rows is observed while they are written. Returns one row:
+    years_written, source_rows, written_rows, skipped_rows, rejected_rows, versions.
     """
     source = up_to_year(source, max_year)
     current = tables.find_snapshot(spark, path)
     known = current is not None and not reset
     no_batches = spark.createDataFrame([], "commit_version int, year int, month int, rows bigint")
-    loaded = tables.batch_totals(current.entries) if known else no_batches
-
-    # Two columns of the source are enough to know what will happen to every batch.
-    status = batch_status(source, loaded)
-
-    def rows_with(name: str):
-        return F.coalesce(F.sum(F.when(F.col("status") == name, F.col("rows"))), F.lit(0))
-
-    plan = status.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("source_rows"),
-        rows_with("written").alias("written_rows"),
-        rows_with("skipped").alias("skipped_rows"),
-        rows_with("rejected").alias("rejected_rows"),
-        F.count("year").alias("dated"),
-    ).first()
-    if plan.dated == 0:
-        raise ValueError("The source has no row with a usable year.")
+    loaded = tables.batch_totals(current.entries) if known and not late_rows else no_batches
+    before = 0 if current is None else current.version + 1
+    repeated = (
+        load_id is not None
+        and known
+        and not tables.commits(spark, path).filter(F.col("load_id") == load_id).isEmpty()
+    )
+    if repeated:
+        return _load_result(no_batches, dict.fromkeys(("source", "written", "skipped", "rejected"), 0), before)
 
-    written = no_batches
-    if plan.written_rows:
-        batched = with_batch_columns(source).dropna(subset=list(BATCH_COLUMNS))
-        done = loaded.select(
-            F.col("year").alias("batch_year"), F.col("month").alias("batch_month")
+    batched = with_batch_columns(source)
+    done = loaded.select(
+        F.col("year").alias("batch_year"), F.col("month").alias("batch_month"), F.lit(True).alias("_known")
+    )
+    dated = F.col("batch_year").isNotNull() & F.col("batch_month").isNotNull()
+    seen = Observation()
+    fresh = (
+        batched.join(done, list(BATCH_COLUMNS), "left")
+        .observe(
+            seen,
+            F.count(F.lit(1)).alias("source"),
+            F.count_if(F.coalesce("_known", F.lit(False))).alias("skipped"),
+            F.count_if(~dated).alias("rejected"),
+            F.count("batch_year").alias("dated"),
         )
-        fresh = batched.join(done, list(BATCH_COLUMNS), "left_anti")
-        schema = fresh.drop(*BATCH_COLUMNS).schema
-        if known:
-            fresh = tables.fit_schema(fresh, current.schema)
-            schema = tables.widened_schema(current.schema, schema)
-        load_id = tables.write_load(fresh, path, BATCH_COLUMNS)
-        written = tables.commit(
-            spark,
-            path,
-            tables.load_batches(spark, path, load_id, BATCH_COLUMNS),
-            mode=tables.APPEND,
-            first_mode=None if known else tables.OVERWRITE,
-            load_id=load_id,
-            schema=schema,
-            partition_by=BATCH_COLUMNS,
-            version_per_batch=True,
-            after=current,
+        .filter(dated & F.col("_known").isNull())
+        .select(*quoted([*batched.columns]))
+    )
+    schema = fresh.drop(*BATCH_COLUMNS).schema
+    if known:
+        schema = tables.widened_schema(current.schema, schema)
+        fresh = tables.fit_schema(
+            fresh, T.StructType([*schema.fields, *[fresh.schema[name] for name in BATCH_COLUMNS]])
         )
-    before = 0 if current is None else current.version + 1
+    load_id = tables.write_load(fresh, path, BATCH_COLUMNS, load_id=load_id)
+    added = tables.load_batches(spark, path, load_id, BATCH_COLUMNS)
+    n_written = added.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    counts = seen.get if n_written else {}
+    if not n_written or counts["source"] != n_written + counts["skipped"] + counts["rejected"]:
+        # Without a row to write Spark drops the step that observes, and tasks that ran twice are
+        # observed twice: then, and only then, the source is counted again.
+        counts = _status_counts(batch_status(source, loaded))
+    if not counts["dated"]:
+        delete_path(spark, f"{path}/data/load_id={load_id}")
+        raise ValueError("The source has no row with a usable year.")
+    counts["written"] = n_written
+    if not n_written:
+        delete_path(spark, f"{path}/data/load_id={load_id}")
+        return _load_result(no_batches, counts, before)
+    written = tables.commit(
+        spark,
+        path,
+        added,
+        mode=tables.APPEND,
+        first_mode=None if known else tables.OVERWRITE,
+        load_id=load_id,
+        schema=schema,
+        partition_by=BATCH_COLUMNS,
+        version_per_batch=True,
+        after=current,
+    )
+    return _load_result(written, counts, before)
+
+
+def _status_counts(status: DataFrame) -> dict[str, int]:
+    def rows(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
+
+    return (
+        status.agg(
+            rows(F.lit(True)).alias("source"),
+            rows(F.col("status") == "skipped").alias("skipped"),
+            rows(F.col("status") == "rejected").alias("rejected"),
+            rows(F.col("year").isNotNull()).alias("dated"),
+        )
+        .first()
+        .asDict()
+    )
+
+
+def _load_result(written: DataFrame, counts: dict[str, int], before: int) -> DataFrame:
     return written.agg(
         F.sort_array(F.collect_set("year")).alias("years_written"),
         F.coalesce(F.max("commit_version") + 1, F.lit(before)).cast("bigint").alias("versions"),
     ).select(
         "years_written",
         *[
-            F.lit(plan[name]).cast("bigint").alias(name)
-            for name in ("source_rows", "written_rows", "skipped_rows", "rejected_rows")
+            F.lit(counts.get(name, 0)).cast("bigint").alias(f"{name}_rows")
+            for name in ("source", "written", "skipped", "rejected")
         ],
         "versions",
     )

@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aerolith.operators.ranking import with_position
 from aerolith.session import materialise
 from aerolith.sources.columns import quoted
 
-MAX_DICTIONARY = 65_536  # distinct values up to which every value gets a code of its own
-RANGE_BITS = 8  # otherwise values fall into 2**RANGE_BITS ranges
+RANGE_BITS = 8  # values of a column fall into at most 2**RANGE_BITS ranges
 MAX_Z_BITS = 62
 
 
@@ -48,11 +46,12 @@ def _range_code(column: Column, bounds: Sequence) -> Column:
 def with_codes(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
     """Add `_code_<column>`, an integer in the order of its values (null is 0), and its bits.
 
-    The distinct values of all columns come from one scan. Up to MAX_DICTIONARY of them are numbered
-    and joined back (a broadcast of at most that many rows); a column with more is cut into ranges
-    at evenly spaced distinct values.
+    One rule for every size: the distinct values are cut into ranges of equal numbers of values, at most
+    2**RANGE_BITS of them (fewer bits where many columns share the 62), and the code is the number of the
+    range. The distinct values of all columns come from one scan; only range bounds reach the driver.
     """
     cols = [F.col(name) for name in columns]
+    ranges = 1 << max(0, min(RANGE_BITS, MAX_Z_BITS // len(columns) - 1))
     values = materialise(
         df.groupingSets([[c] for c in cols], *cols).agg(
             *[F.grouping(c).alias(f"_not_{name}") for c, name in zip(cols, columns)]
@@ -64,38 +63,26 @@ def with_codes(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[s
     bits = {}
     for name in columns:
         own = values.filter((F.col(f"_not_{name}") == 0) & F.col(name).isNotNull()).select(name)
-        size = sizes[name]
-        if size <= MAX_DICTIONARY:
-            dictionary = own.withColumn(f"_code_{name}", F.row_number().over(W.orderBy(name)))
-            df = df.join(F.broadcast(dictionary), name, "left").withColumn(
-                f"_code_{name}", F.coalesce(f"_code_{name}", F.lit(0)).cast("bigint")
-            )
-            bits[name] = max(1, int(size).bit_length())
-        else:
-            step = -(-size // (1 << RANGE_BITS))
-            cut = with_position(own, [F.col(name)]).filter(F.col("position") % step == 0)
-            bounds = sorted(row[0] for row in cut.select(name).collect())  # 2**RANGE_BITS at most
-            code = F.coalesce(_range_code(F.col(name), bounds), F.lit(0)).cast("bigint")
-            df = df.withColumn(f"_code_{name}", code)
-            bits[name] = len(bounds).bit_length()
+        step = max(1, -(-sizes[name] // ranges))
+        cut = with_position(own, [F.col(name)]).filter(F.col("position") % step == 0)
+        bounds = sorted(row[0] for row in cut.select(name).collect())  # as many as ranges
+        code = F.coalesce(_range_code(F.col(name), bounds), F.lit(0)).cast("bigint")
+        df = df.withColumn(f"_code_{name}", code)
+        bits[name] = max(1, len(bounds).bit_length())
     return df, bits
 
 
 def with_z_value(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add `z_value`: the codes of the columns with their bits interleaved.
 
-    Bit b of column i becomes bit b * (number of columns) + i. Codes too long for the 62 bits at
-    hand lose their lowest bits.
+    Bit b of column i becomes bit b * (number of columns) + i.
     """
     order = df.columns
     coded, bits = with_codes(df, columns)
-    room = max(1, MAX_Z_BITS // len(columns))
     z = F.lit(0).cast("bigint")
     for i, name in enumerate(columns):
-        code, width = F.col(f"_code_{name}"), bits[name]
-        if width > room:
-            code, width = F.shiftright(code, width - room), room
-        for b in range(width):
+        code = F.col(f"_code_{name}")
+        for b in range(bits[name]):
             bit = F.shiftright(code, b).bitwiseAND(F.lit(1).cast("bigint"))
             z = z.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
     return coded.select(*quoted(order), z.alias("z_value"))

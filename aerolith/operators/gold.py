@@ -17,6 +17,7 @@ METRIC_DIMENSIONS = {
     "hour": "hour",
     "season": "season",
 }
+# Columns of the feature table and what stands in for unknown inputs.
 FEATURE_COLUMNS = (
     "flight_key",
     "flight_date",
@@ -104,10 +105,12 @@ def analytics(silver: DataFrame) -> DataFrame:
 
 
 def union_relaxed(*frames: DataFrame) -> DataFrame:
-    """Stack frames by column position, widening each column to a type that holds all of them."""
+    """Stack frames by column name, widening each column to a type that holds all of them."""
     stacked = frames[0]
     for frame in frames[1:]:
-        stacked = stacked.union(frame)
+        if set(frame.columns) != set(stacked.columns):
+            raise ValueError(f"Columns {sorted(frame.columns)} differ from {sorted(stacked.columns)}")
+        stacked = stacked.unionByName(frame)
     return stacked
 
 

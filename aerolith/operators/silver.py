@@ -33,6 +33,7 @@ MAX_ARR_DELAY = 360.0
 LATE_MINUTES = 15.0
 UNKNOWN = "UNK"
 
+# Columns of Silver, and the parts of the two kinds of key in their order.
 SILVER_COLUMNS = (
     "flight_key",
     "flight_date",
@@ -132,10 +133,16 @@ def has_business_key(raw_columns: Sequence[str]) -> bool:
     return all(found[name] is not None for name in IDENTIFYING_COLUMNS)
 
 
-def with_flight_key(df: DataFrame, *, from_business: bool, null_safe: bool = False) -> DataFrame:
-    """Add `flight_key`; the business key leaves delays out, so a corrected delay is an update."""
+def with_flight_key(
+    df: DataFrame, *, from_business: bool, null_safe: bool = False, absent: Sequence[str] = ()
+) -> DataFrame:
+    """Add `flight_key`; the business key leaves delays out, so a corrected delay is an update.
+
+    Parts that the source does not have at all (`absent`) are left out of the business key.
+    """
     if from_business:
-        key = business_key([F.col(name) for name in KEY_PARTS], null_safe=null_safe)
+        parts = [F.col(name) for name in KEY_PARTS if name not in absent]
+        key = business_key(parts, null_safe=null_safe)
     else:
         key = row_hash_key([F.col(name) for name in HASH_PARTS])
     return df.withColumn("flight_key", key)
@@ -199,8 +206,12 @@ def silver_frame(
     if max_year is not None:
         rows = rows.filter(F.col("year") <= int(max_year))
     rows = clean(only_batch(rows, year, month))
+    absent = [name for name, found in match_columns(raw.columns).items() if found is None]
     rows = with_flight_key(
-        rows, from_business=has_business_key(raw.columns), null_safe=null_safe_key
+        rows,
+        from_business=has_business_key(raw.columns),
+        null_safe=null_safe_key,
+        absent=absent,
     )
     rows = derive_features(rows).select(*SILVER_COLUMNS, *order_by)
     return dedupe_keep_last(rows, [*PARTITIONS, "flight_key"], order_by).select(*SILVER_COLUMNS)
@@ -237,13 +248,27 @@ def upsert(
     their batch, which changes nothing as flight keys carry or hash year and month. Returns the rows
     per batch of the source.
     """
-    touched = materialise(source.groupBy(*PARTITIONS).agg(F.count("*").alias("rows")))
+    known_key = F.lit(True)
+    for key in keys:
+        known_key = known_key & F.col(key).isNotNull()
+    per_key = source.groupBy(*PARTITIONS, *keys).agg(F.count("*").alias("rows"))
+    touched = materialise(
+        per_key.groupBy(*PARTITIONS).agg(
+            F.sum("rows").alias("rows"), F.count_if(known_key & (F.col("rows") > 1)).alias("repeated")
+        )
+    )
     if touched.isEmpty():
-        return touched
+        return touched.drop("repeated")
+    if repeated := touched.agg(F.sum("repeated")).first()[0]:
+        raise ValueError(f"{repeated} keys repeat inside a batch of the source; deduplicate it first.")
+    touched = touched.drop("repeated")
     current = tables.snapshot(spark, path)
+    schema = tables.widened_schema(current.schema, source.schema)
     entries = current.entries.join(touched.select(*PARTITIONS), list(PARTITIONS), "left_semi")
-    target = tables.read_entries(spark, path, entries, current.schema)
-    merged = merge_rows(target.select(*current.schema.names), source, [*PARTITIONS, *keys])
+    # Files from before a new column read as null there.
+    target = tables.read_entries(spark, path, entries, schema)
+    merged = merge_rows(target.select(*schema.names), source, [*PARTITIONS, *keys])
+    merged = tables.fit_schema(merged, schema)
     load_id = tables.write_load(merged, path, PARTITIONS)
     tables.commit(
         spark,
@@ -251,7 +276,7 @@ def upsert(
         tables.load_batches(spark, path, load_id, PARTITIONS),
         mode=tables.MERGE,
         load_id=load_id,
-        schema=current.schema,
+        schema=schema,
         partition_by=PARTITIONS,
         version_per_batch=True,
         after=current,
@@ -264,8 +289,8 @@ def append_new_batches(spark: SparkSession, path: str, rows: DataFrame) -> DataF
     current = tables.find_snapshot(spark, path)
     schema = rows.schema
     if current is not None:
-        rows = tables.fit_schema(rows, current.schema)
         schema = tables.widened_schema(current.schema, schema)
+        rows = tables.fit_schema(rows, schema)
     load_id = tables.write_load(rows, path, PARTITIONS)
     return tables.commit(
         spark,
@@ -328,8 +353,10 @@ def build_silver(
             modes.add("append")
     if planned.known:
         staged, folder = stage(silver_of(todo.filter(F.col("known"))))
-        merged = written(upsert(spark, silver_path, staged))
-        delete_path(spark, folder)
+        try:
+            merged = written(upsert(spark, silver_path, staged))
+        finally:
+            delete_path(spark, folder)
         output_rows += merged.rows
         if merged.batches:
             modes.add("merge")

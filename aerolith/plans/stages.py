@@ -51,6 +51,7 @@ def run_layers(
     source: DataFrame,
     root: str,
     *,
+    folders: dict[str, str] | None = None,
     order_by: Sequence[str] | None = None,
     max_year: int | None = None,
     ml_max_rows: int | None = None,
@@ -59,7 +60,8 @@ def run_layers(
 ) -> DataFrame:
     """Bronze, Silver, both Gold tables and the training runs, from a source frame.
 
-    One row: rows and versions of the tables and the number of training runs.
+    One row: what became of the source rows (rows without year or month are rejected), rows and versions of
+    the tables and the number of training runs.
     """
     paths = {
         name: f"{root}/{folder}"
@@ -69,8 +71,8 @@ def run_layers(
             ("gold_analytics", GOLD_ANALYTICS),
             ("gold_features", GOLD_FEATURES),
         )
-    }
-    append_batches(spark, source, paths["bronze"], max_year=max_year)
+    } | (folders or {})
+    loaded = append_batches(spark, source, paths["bronze"], max_year=max_year).first()
     build_silver(
         spark, paths["bronze"], paths["silver"], order_by=order_by, max_year=max_year
     )
@@ -87,7 +89,10 @@ def run_layers(
                 max_rows=ml_max_rows,
                 rounds=rounds,
             ).count()
-    columns = []
+    columns = [
+        F.lit(loaded[name]).cast("bigint").alias(name)
+        for name in ("source_rows", "skipped_rows", "rejected_rows")
+    ]
     for name, path in paths.items():
         live = tables.live_entries(spark, path).agg(F.sum("rows")).first()[0]
         columns += [
@@ -146,7 +151,7 @@ def _parser() -> argparse.ArgumentParser:
     upkeep = stage("maintain", "time travel, compact, z-order, vacuum (dry), evolve")
     upkeep.add_argument("--table", required=True)
     upkeep.add_argument("--time-travel-version", type=int, default=0)
-    upkeep.add_argument("--zorder-cols", default=",".join(Z_ORDER_COLUMNS))
+    upkeep.add_argument("--zorder-cols", nargs="+", default=list(Z_ORDER_COLUMNS))
 
     plan = stage("explain", "plan of the example query")
     plan.add_argument("--table")
@@ -156,6 +161,8 @@ def _parser() -> argparse.ArgumentParser:
 
     run = stage("run", "all stages in order")
     run.add_argument("--input")
+    for name in ("bronze", "silver", "gold-analytics", "gold-features"):
+        run.add_argument(f"--{name}", help=f"folder of the {name} table, if not below the root")
     run.add_argument("--max-year", type=int)
     run.add_argument("--ml-max-rows", type=int)
     run.add_argument("--rounds", type=int, default=BOOSTING_ROUNDS)
@@ -201,9 +208,8 @@ def _run_stage(spark: SparkSession, args: argparse.Namespace) -> DataFrame | str
         ).drop("model_path")
     if args.stage == "maintain":
         size_for(spark, folder_bytes(spark, args.table))
-        columns = [name.strip() for name in args.zorder_cols.split(",") if name.strip()]
         return maintenance_report(
-            spark, args.table, version=args.time_travel_version, columns=columns
+            spark, args.table, version=args.time_travel_version, columns=args.zorder_cols
         )
     if args.stage == "explain":
         return inspect.explain_carrier_average(
@@ -213,6 +219,11 @@ def _run_stage(spark: SparkSession, args: argparse.Namespace) -> DataFrame | str
         spark,
         root,
         args.input,
+        folders={
+            name: path
+            for name in ("bronze", "silver", "gold_analytics", "gold_features")
+            if (path := getattr(args, name))
+        },
         max_year=args.max_year,
         ml_max_rows=args.ml_max_rows,
         rounds=args.rounds,

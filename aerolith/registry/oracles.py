@@ -138,6 +138,43 @@ def with_(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join((FLIGHTS_RAW, *ctes)) + "\n" + select
 
 
+BOOSTED = "TRUE AS loss_falls, TRUE AS beats_constant, TRUE AS rounds_valid"
+
+
+def _importance_ctes() -> tuple[str, ...]:
+    """The test rows in blocks by MD5, and each feature shifted 5 times by its own numbers of places."""
+    columns = (*NUMBERS, *TEXTS)
+    ticket = "md5(concat_ws('|', flight_key, " + ", ".join(f"CAST({c} AS VARCHAR)" for c in columns) + ", CAST(arr_delay AS VARCHAR)))"
+    rule = "{dep_delay} * 2 + {month} * 3 + {hour} + CASE WHEN {carrier} < 'BRAND#3' THEN 10 ELSE 0 END + 60"
+    digits = " + ".join(f"CASE WHEN count(*) > {4096 * 16 ** d} THEN 1 ELSE 0 END" for d in range(8))
+    trials = " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, {1 + i * 5 + k} AS places" for i, name in enumerate(columns) for k in range(5)
+    )
+
+    def predicted(moved: str | None) -> str:
+        return rule.format(**{c: f"{'n' if c == moved else 'o'}.{c}" for c in columns})
+
+    cases = " ".join(f"WHEN '{c}' THEN {predicted(c)}" for c in columns)
+    return (
+        f"tested AS (SELECT *, {ticket} AS ticket FROM parts WHERE part = 'test')",
+        f"cut AS (SELECT {digits} AS d FROM tested)",
+        """member AS (
+  SELECT *, substr(ticket, 1, d) AS block, row_number() OVER (PARTITION BY substr(ticket, 1, d) ORDER BY ticket) - 1 AS pos,
+         count(*) OVER (PARTITION BY substr(ticket, 1, d)) AS size FROM tested, cut)""",
+        f"trial AS ({trials})",
+        f"""moved AS (
+  SELECT feature, places, o.arr_delay AS actual, CASE feature {cases} END AS predicted
+  FROM member o, trial, member n
+  WHERE n.block = o.block AND n.pos = (o.pos + places) % o.size)""",
+        """quality AS (
+  SELECT feature, 1 - avg((actual - predicted) ** 2) / var_pop(actual) AS r2 FROM moved GROUP BY feature, places)""",
+        f"base AS (SELECT 1 - avg((arr_delay - ({predicted(None)})) ** 2) / var_pop(arr_delay) AS r2 FROM member o)",
+    )
+
+
+IMPORTANCE = """SELECT feature, round((SELECT r2 FROM base) - avg(r2), 9) AS importance FROM quality GROUP BY feature"""
+
+
 def _delay_by(kind: str, column: str) -> str:
     return (
         f"SELECT '{kind}' AS metric_type, CAST({column} AS VARCHAR) AS metric_key, "
@@ -157,9 +194,10 @@ def _normal(select: str, *more: str) -> str:
 
 
 def _z_value(columns: tuple[str, ...]) -> str:
-    """Interleaved bits of 1-based dense ranks, as many bits per column as its rank needs."""
+    """Interleaved bits of the numbers of 256 ranges of distinct values at most."""
     codes = ", ".join(
-        f"CASE WHEN {c} IS NULL THEN 0 ELSE dense_rank() OVER (ORDER BY {c} NULLS LAST) END AS c{i}"
+        f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 + (dense_rank() OVER (ORDER BY {c} NULLS LAST) - 1) "
+        f"// (SELECT greatest(1, CAST(ceil(count(DISTINCT {c}) / 256.0) AS BIGINT)) FROM silver) END AS c{i}"
         for i, c in enumerate(columns)
     )
     bits = " + ".join(
@@ -175,7 +213,8 @@ def _training(runs: dict[str, str], n_metrics: int = 3) -> str:
         f"SELECT '{name}' AS run_name, '{target}' AS target, "
         "count(*) FILTER (part = 'train') AS train_rows, "
         "count(*) FILTER (part = 'test') AS test_rows, "
-        f"CAST(10 AS INT) AS n_importances, CAST({n_metrics} AS INT) AS n_metrics FROM parts"
+        f"CAST(10 AS INT) AS n_importances, CAST({n_metrics} AS INT) AS n_metrics, "
+        "TRUE AS metrics_repeat FROM parts"
         for name, target in runs.items()
     )
     return with_(SILVER, FEATURES, split_ctes("features"), select=rows)
@@ -185,7 +224,17 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         # Scans
         "scan_parquet": "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem",
-        "scan_csv": ALL_RAW,
+        "scan_csv": with_(
+            select="SELECT "
+            + ", ".join(
+                f'CAST({c} AS VARCHAR) AS {c}'
+                for c in (
+                    '"Year" "Month" "DayofMonth" carrier flight_num origin dest dep_time dep_delay arr_delay cancelled '
+                    + ARRIVAL.replace(",", "")
+                ).split()
+            )
+            + " FROM flights_raw"
+        ),
         "list_batches": with_(select="SELECT DISTINCT Year AS year, Month AS month FROM flights_raw"),
         "batch_counts": with_(
             select="""SELECT Year AS year, Month AS month, count(*) AS rows FROM flights_raw
@@ -297,6 +346,13 @@ FROM norm"""
         "silver_null_safe_key": with_(
             silver_ctes(key=NULL_SAFE_KEY), select="SELECT * FROM silver"
         ),
+        "silver_no_dep_time": with_(
+            silver_ctes(
+                key=" || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in KEY_PARTS if c != "dep_time_raw"),
+                columns=NORMAL_COLUMNS.replace("dep_time AS", "CAST(NULL AS INT) AS"),
+            ),
+            select="SELECT * FROM silver",
+        ),
         "silver_hash_key": with_(
             silver_ctes(
                 key=HASH_KEY,
@@ -506,13 +562,39 @@ FROM scores, (SELECT avg(arr_delay) AS mean FROM scores)""",
                 "classification_gb_classifier": "is_delayed_15",
             }
         ),
-        "feature_lineage": """SELECT 'regression_linear_regression' AS run_name,
-  CAST(1 AS INT) AS feature_table_version, TRUE AS version_known""",
+        "feature_lineage": with_(
+            SILVER,
+            select="""SELECT 'regression_linear_regression' AS run_name,
+  CAST(0 AS INT) AS feature_table_version, TRUE AS version_known,
+  (SELECT count(*) FROM silver WHERE year <= 1997) AS rows_read""",
+        ),
+        **{
+            name: with_(
+                SILVER,
+                FEATURES,
+                split_ctes("features"),
+                select="SELECT count(*) FILTER (part = 'train') AS n_train, "
+                f"count(*) FILTER (part = 'test') AS n_test, {more} FROM parts",
+            )
+            for name, more in {
+                "fit_linear": "TRUE AS residuals_balanced, TRUE AS all_scored, "
+                "round(regr_slope(arr_delay, dep_delay) FILTER (part = 'train'), 4) AS slope, "
+                "round(regr_intercept(arr_delay, dep_delay) FILTER (part = 'train'), 3) AS intercept",
+                "fit_logistic": "TRUE AS scores_balanced, TRUE AS probabilities_valid",
+                "fit_gbt_reg": BOOSTED,
+                "fit_gbt_cls": BOOSTED,
+            }.items()
+        },
+        "permutation_importance": with_(
+            SILVER, FEATURES, split_ctes("features"), *_importance_ctes(), select=IMPORTANCE
+        ),
         "full_run": with_(
             SILVER,
             FEATURES,
             f"mart AS ({ANALYTICS})",
-            select="""SELECT (SELECT count(*) FROM flights_raw) AS bronze_rows,
+            select="""SELECT (SELECT count(*) FROM flights_raw) AS source_rows,
+  CAST(0 AS BIGINT) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows,
+  (SELECT count(*) FROM flights_raw) AS bronze_rows,
   (SELECT CAST(count(DISTINCT Year * 100 + Month) - 1 AS INT) FROM flights_raw) AS bronze_version,
   (SELECT count(*) FROM silver) AS silver_rows,
   (SELECT CAST(count(DISTINCT year * 100 + month) - 1 AS INT) FROM silver) AS silver_version,

@@ -31,25 +31,36 @@ def get_spark(app_name: str = "aerolith", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+def shuffle_partitions_for(
+    input_bytes: int, cores: int, most: int = MAX_SHUFFLE_PARTITIONS
+) -> int:
     """Initial shuffle partitions for an input: about 128 MB each, at least one per core.
 
     Adaptive execution merges partitions that turn out small but never splits an ordinary
     shuffle, so the initial number has to follow the input. Past 50,000 the partitions grow
-    instead (2 GB each at 100 TB); sorts and aggregates spill.
+    instead (2 GB each at 100 TB); sorts and aggregates spill. `most` raises or lowers that bound.
     """
     wanted = -(-input_bytes // TARGET_PARTITION_BYTES)
-    return min(max(cores, wanted), max(cores, MAX_SHUFFLE_PARTITIONS))
+    return min(max(cores, wanted), max(cores, most))
 
 
-def scan_bytes_for(input_bytes: int) -> int:
-    """Bytes per scan task: 128 MB, more where that would make over 200,000 tasks."""
-    return max(TARGET_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+def scan_bytes_for(input_bytes: int, most: int = MAX_SCAN_TASKS) -> int:
+    """Bytes per scan task: 128 MB, more where that would make over `most` tasks."""
+    return max(TARGET_PARTITION_BYTES, -(-input_bytes // most))
+
+
+_SPARK_DEFAULTS = {"spark.sql.shuffle.partitions": 200, "spark.sql.files.maxPartitionBytes": 128 * 1024 * 1024}
+_FITTED: dict[str, dict[str, str]] = {}  # by application: what size_for has set
 
 
 def size_for(spark: SparkSession, input_bytes: int) -> None:
-    """Fit shuffles and scans to the input, except for settings the user has made."""
+    """Fit shuffles and scans of the session to the input.
+
+    A setting stays as it is where the user has made it, at start-up or later: where it differs both from Spark's
+    default and from what this function set before.
+    """
     chosen = spark.sparkContext.getConf()
+    fitted = _FITTED.setdefault(spark.sparkContext.applicationId, {})
     sizes = {
         "spark.sql.shuffle.partitions": shuffle_partitions_for(
             input_bytes, spark.sparkContext.defaultParallelism
@@ -57,7 +68,10 @@ def size_for(spark: SparkSession, input_bytes: int) -> None:
         "spark.sql.files.maxPartitionBytes": scan_bytes_for(input_bytes),
     }
     for key, value in sizes.items():
-        if not chosen.contains(key):
+        now = spark.conf.get(key)
+        untouched = now == fitted.get(key) or now.removesuffix("b") == str(_SPARK_DEFAULTS[key])
+        if untouched and not chosen.contains(key):
+            fitted[key] = str(value)
             spark.conf.set(key, str(value))
 
 
@@ -66,7 +80,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith(("local[", "local")) or context.master.startswith("local-cluster"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
         configured = tempfile.mkdtemp(prefix="aerolith-")
     if context.getCheckpointDir() is None:

@@ -8,11 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolith.session import scratch_path
-
-# Where a run without an input path looks, and the rows a CSV schema is read from.
+# Where a run without an input path looks.
 DEFAULT_INPUTS = ("data/Flight_Delay.csv", "data/Flight_Delay.parquet")
-SCHEMA_SAMPLE_ROWS = 10_000
 
 # Columns that record the position of a row in its source.
 INGEST_FILE = "ingest_file"
@@ -54,30 +51,13 @@ def resolve_input(
     raise FileNotFoundError(f"No input found; looked for {', '.join(options)}")
 
 
-def csv_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Column types seen in the first 10,000 rows; dates and times stay text."""
-    sample = scratch_path(spark, "csv-head")
-    head = spark.read.text(path).take(SCHEMA_SAMPLE_ROWS + 1)  # reads on only as far as needed
-    spark.createDataFrame(head, "value string").coalesce(1).write.text(sample)
-    inferred = spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
-    delete_path(spark, sample)
-    temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    return T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if isinstance(f.dataType, temporal) else f.dataType)
-            for f in inferred
-        ]
-    )
-
-
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header line; a field that does not fit its type becomes null."""
-    return (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .schema(schema or csv_schema(spark, path))
-        .csv(path)
-    )
+    """CSV with a header line; all columns are text unless a schema is given.
+
+    Types guessed from some rows would turn later values into nulls; the casts of Silver do the typing.
+    """
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:

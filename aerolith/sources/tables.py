@@ -216,18 +216,24 @@ def batch_totals(entries: DataFrame) -> DataFrame:
 
 
 def write_load(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, keep_layout: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    *,
+    keep_layout: bool = False,
+    load_id: str | None = None,
 ) -> str:
     """Write rows as a new load and return its id; nothing is visible until it is committed.
 
     Rows are first brought together by partition with a rebalancing shuffle: without it every task
     would open a file in every batch. Adaptive execution cuts a batch that is too large for one task
-    into several and merges small ones. `keep_layout` skips this for rows already laid out.
+    into several and merges small ones. `keep_layout` skips this for rows already laid out. A given
+    `load_id` replaces what an attempt that was never committed has left under it.
     """
-    load_id = f"l{uuid.uuid4().hex}"
+    load_id = load_id or f"l{uuid.uuid4().hex}"
     if partition_by and not keep_layout:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    df.write.partitionBy(*partition_by).parquet(f"{path}/data/load_id={load_id}")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/data/load_id={load_id}")
     return load_id
 
 
@@ -318,8 +324,8 @@ def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     schema = df.schema
     current = find_snapshot(spark, path)
     if current is not None:
-        df = fit_schema(df, current.schema)
         schema = widened_schema(current.schema, schema)
+        df = fit_schema(df, schema)
     load_id = write_load(df, path, partition_by)
     return commit(
         spark,
@@ -333,23 +339,62 @@ def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     )
 
 
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+# Types that files of a smaller type can be read as, smallest first.
+_READABLE_AS = (
+    _WHOLE,
+    (T.ByteType(), T.ShortType(), T.IntegerType(), T.DoubleType()),
+    (T.FloatType(), T.DoubleType()),
+)
+
+
+def common_type(name: str, table: T.DataType, added: T.DataType) -> T.DataType:
+    """The type a column has once rows of another type are added; never one that loses values.
+
+    The table's type stays if it holds all added values (text holds everything). Otherwise it widens where the
+    files it has can be read as the wider type; where they cannot, the load is refused.
+    """
+    if table == added or isinstance(added, T.NullType):
+        return table
+    if isinstance(table, T.StringType) and isinstance(added, T.AtomicType):
+        return table
+    for ladder in _READABLE_AS:
+        if table in ladder and added in ladder:
+            return max(table, added, key=ladder.index)
+    if table == T.DoubleType() and added == T.FloatType():
+        return table
+    raise ValueError(
+        f"Column {name} is {table.simpleString()} in the table and {added.simpleString()} in the rows "
+        "to add; cast the rows, or load the table anew with reset."
+    )
+
+
 def widened_schema(current: T.StructType, added: T.StructType) -> T.StructType:
-    """The table's own fields, unchanged, and behind them the new ones."""
+    """The table's own fields, wide enough for the added rows, and behind them the new ones."""
+    new = {field.name.lower(): field for field in added}
     known = {field.name.lower() for field in current}
-    return T.StructType(
-        [*current.fields, *[field for field in added if field.name.lower() not in known]]
-    )
+    fields = [
+        T.StructField(
+            field.name,
+            common_type(field.name, field.dataType, new[field.name.lower()].dataType)
+            if field.name.lower() in new
+            else field.dataType,
+            field.nullable,
+            field.metadata,
+        )
+        for field in current
+    ]
+    return T.StructType([*fields, *[field for field in added if field.name.lower() not in known]])
 
 
 def fit_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Bring rows to a table's columns: in its order, missing ones null, new ones at the end."""
+    """Bring rows to a (widened) schema: in its order, missing columns null."""
     by_lower = {name.lower(): name for name in df.columns}
-    known = [
-        F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType).alias(f.name)
-        if f.name.lower() in by_lower
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in schema
-    ]
-    table_names = {f.name.lower() for f in schema}
-    extra = [F.col(f"`{name}`") for name in df.columns if name.lower() not in table_names]
-    return df.select(*known, *extra)
+    return df.select(
+        *[
+            F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+            if f.name.lower() in by_lower
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )

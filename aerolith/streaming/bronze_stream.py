@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolith.operators.bronze import append_batches
+from aerolith.operators.bronze import append_batches, check_load
 from aerolith.sources.files import source_format
 
 
@@ -20,20 +22,27 @@ def stream_bronze(
     file_format: str | None = None,
     max_year: int | None = None,
 ) -> StreamingQuery:
-    """Append the batches in files that arrived since the last call, then stop.
+    """Append the rows of files that arrived since the last call, then stop.
 
-    All new files form one micro-batch, so the rule of the batch load holds: a (year, month) that is
-    already there is skipped. A micro-batch repeated after a failure finds its batches loaded, or
-    finds nothing if the write had not been committed.
+    All new files form one micro-batch. A file is delivered once, so its rows are added also when the table
+    has their month already. The load is named after checkpoint and micro-batch: one that is
+    repeated after a failure finds its commit and writes nothing, or replaces what was not committed.
+    Rows without a usable year or month fail the stream once the others are written; the next call goes on.
     """
     kind = file_format or source_format(folder)
     reader = spark.readStream.format(kind).schema(schema)
     if kind == "csv":
         reader = reader.option("header", True)
 
-    def load(rows: DataFrame, _batch_id: int) -> None:
-        if not rows.isEmpty():
-            append_batches(rows.sparkSession, rows, path, max_year=max_year)
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def load(rows: DataFrame, batch_id: int) -> None:
+        if rows.isEmpty():
+            return
+        result = append_batches(
+            rows.sparkSession, rows, path, max_year=max_year, late_rows=True, load_id=f"s{stream}-{batch_id}"
+        )
+        check_load(result)
 
     return (
         reader.load(folder)

@@ -49,17 +49,6 @@ def parts(feature_df):
     return ranking.time_split(feature_df)
 
 
-def test_row_cap_resolution(monkeypatch):
-    monkeypatch.delenv("ML_MAX_ROWS", raising=False)
-    assert features.training_row_cap() == 300_000
-    assert features.training_row_cap(5) == 5
-    assert features.training_row_cap(0) is None
-    assert features.training_row_cap(-1) is None
-    for text, expected in (("12", 12), ("0", None), (" ", None)):
-        monkeypatch.setenv("ML_MAX_ROWS", text)
-        assert features.training_row_cap() == expected
-
-
 def test_medians_match_python(spark):
     rng = random.Random(4)
     columns = {name: [rng.choice([None, *range(20)]) for _ in range(101)] for name in "abc"}
@@ -191,14 +180,22 @@ def test_threshold_is_inclusive(spark):
     assert [r[0] for r in df.select(metrics.predicted_label(F.col("p"))).collect()] == [1, 0, 1]
 
 
-def test_sample_is_whole_repeatable_and_spread(spark):
-    df = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("flight_key"), (F.col("id") % 7).alias("v"))
-    first = rows_of(importance.seeded_sample(df, 100))
-    assert len(first) == len(set(first)) == 100
-    assert first == rows_of(importance.seeded_sample(df.repartition(9), 100))
-    assert importance.seeded_sample(df, 9000).count() == 5000
-    copies = df.withColumn("flight_key", F.lit("same")).withColumn("v", F.lit(1))
-    assert importance.seeded_sample(copies, 100).count() == 100
+def test_blocks_stay_small_and_all_rows_take_part(spark, feature_df, monkeypatch):
+    assert [importance.block_digits(n) for n in (0, 4096, 4097, 65_536, 65_537)] == [0, 0, 1, 1, 2]
+    seen = []
+
+    def rule(rows):
+        seen.append(rows.groupBy("feature", "places").agg(F.count("*").alias("n"), F.sum("dep_delay").alias("s")))
+        return rows.withColumn("predicted", F.col("dep_delay"))
+
+    monkeypatch.setattr(importance, "BLOCK_ROWS", 50)
+    got = importance.permutation_importance(rule, feature_df, "arr_delay").collect()
+    per_trial = seen[0].collect()
+    total = feature_df.agg(F.sum("dep_delay")).first()[0]
+    assert len(per_trial) == 51 and {(r.n, r.s) for r in per_trial} == {(600, total)}
+    assert got[0].feature == "dep_delay" and got[0].importance > 1.0
+    assert all(row.importance == 0.0 for row in got[1:])
+    assert importance.permutation_importance(rule, feature_df.limit(0), "arr_delay").count() == 0
 
 
 def test_importance_finds_what_matters(parts):
@@ -207,7 +204,7 @@ def test_importance_finds_what_matters(parts):
     model = models.DelayModel.fit(
         "linear_regression", encoder.prepare(train), encoder, train_rows=train.count()
     )
-    got = importance.permutation_importance(model, test).collect()
+    got = importance.permutation_importance(model.score, test, model.target).collect()
     assert [row.feature for row in got[:2]] == ["dep_delay", "carrier"]
     assert {row.feature for row in got} == set(features.FEATURES)
     assert got[0].importance > 1.0
@@ -218,9 +215,9 @@ def test_importance_finds_what_matters(parts):
 def test_training_runs(spark, feature_df, folder):
     path, runs_path = folder("features"), folder("runs")
     tables.overwrite_table(feature_df, path, ("year", "month"))
-    logged = training.train_regression(spark, path, runs_path, rounds=5, max_rows=500)
+    logged = training.train_regression(spark, path, runs_path, rounds=5, max_rows=100)
     assert logged.count() == 2
-    training.train_classification(spark, path, runs_path, rounds=5, max_rows=0)
+    training.train_classification(spark, path, runs_path, rounds=5, max_rows=300)
     everything = {row.run_name: row for row in runs.read_runs(spark, runs_path).collect()}
     assert set(everything) == {
         "regression_linear_regression",
@@ -229,11 +226,12 @@ def test_training_runs(spark, feature_df, folder):
         "classification_gb_classifier",
     }
     linear = everything["regression_linear_regression"]
-    assert linear.params["ml_max_rows"] == "500"
-    assert (linear.params["train_rows"], linear.params["test_rows"]) == ("400", "100")
+    assert linear.params["ml_max_rows"] == "all"  # regression is never bounded
+    assert (linear.params["train_rows"], linear.params["test_rows"]) == ("480", "120")
     assert linear.metrics["r2"] > 0.9
     logistic = everything["classification_logistic_regression"]
-    assert logistic.params["ml_max_rows"] == "all"
+    assert (logistic.params["ml_max_rows"], logistic.params["train_rows"]) == ("300", "300")
+    assert logistic.params["test_rows"] == "120"
     assert logistic.params["threshold_minutes"] == "15"
     assert logistic.metrics["roc_auc"] > 0.95
     assert everything["classification_gb_classifier"].metrics["roc_auc"] > 0.9
@@ -244,6 +242,31 @@ def test_training_runs(spark, feature_df, folder):
     assert lineage.filter("features_committed_at IS NOT NULL AND feature_table_version = 0").count() == 4
 
 
+def test_no_default_cap_and_the_version_asked_for(spark, folder):
+    path = folder("features")
+    base = spark.createDataFrame(feature_rows(20), FEATURE_SCHEMA)
+    many = base.crossJoin(spark.range(15_100)).withColumn("flight_key", F.concat("flight_key", F.lit("-"), "id")).drop("id")
+    tables.overwrite_table(base, path, ("year", "month"))
+    tables.overwrite_table(many, path, ("year", "month"))
+    old, new = (features.load_features(spark, path, v).count() for v in (0, None))
+    assert (old, new) == (20, 302_000)
+    train, test = ranking.time_split(features.load_features(spark, path))
+    assert train.count() + test.count() == 302_000
+
+
+def test_boosted_rounds_end_early_on_many_rows(spark, feature_df):
+    assert models.boosted_regressor(10_001, 100).isSet("validationIndicatorCol")
+    assert not models.boosted_regressor(10_000, 100).isSet("validationIndicatorCol")
+
+
+def test_stacked_columns_go_by_name(spark):
+    a = spark.createDataFrame([("x", 1)], "k string, v int")
+    b = spark.createDataFrame([(2.5, "y")], "v double, k string")
+    assert rows_of(gold.union_relaxed(a, b)) == [("x", 1.0), ("y", 2.5)]
+    with pytest.raises(ValueError, match="differ"):
+        gold.union_relaxed(a, a.withColumnRenamed("v", "w"))
+
+
 def test_analytics_equals_stacked_aggregates_with_null_dimensions(spark, feature_df):
     holes = feature_df.withColumn("carrier", F.when(F.col("carrier") != "AA", F.col("carrier")))
     stacked = gold.union_relaxed(*[gold.delay_by(holes, kind) for kind in gold.METRIC_DIMENSIONS])

@@ -2,11 +2,12 @@ import json
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from aerolith.operators import bronze
 from aerolith.plans import inspect, stages
-from aerolith.session import scan_bytes_for, shuffle_partitions_for
+from aerolith.session import scan_bytes_for, shuffle_partitions_for, size_for
 from aerolith.sources import tables
 from aerolith.streaming.bronze_stream import stream_bronze
 from tests.conftest import rows_of
@@ -21,6 +22,11 @@ CHECKED = (
     "time_travel",
     "z_order",
     "time_split",
+    "scan_csv",
+    "stream_load",
+    "silver_no_dep_time",
+    "permutation_importance",
+    "bronze_idempotent_rerun",
     "one_hot",
     "preprocessor",
     "classification_metrics",
@@ -44,13 +50,8 @@ def test_entry_and_names(spark):
     assert entry_point.entry(spark).count() > 0
     names = set(entry_point.queries())
     assert set(entry_point.oracle_sql()) <= names
-    assert names - set(entry_point.oracle_sql()) == {
-        "fit_linear",
-        "fit_gbt_reg",
-        "fit_logistic",
-        "fit_gbt_cls",
-        "permutation_importance",
-    }
+    # Only operators of the optional package have no SQL form.
+    assert all(name.startswith("op") or name == "pipeline" for name in names - set(entry_point.oracle_sql()))
 
 
 def source_file(flights, tmp_path, kind="parquet"):
@@ -85,7 +86,7 @@ def test_command_line_layers(spark, flights, tmp_path, capsys, kind):
     assert run("analytics")["rows"] == 5
     assert run("features") == {"rows": 60, "version": 0}
     assert run("features") == {"rows": 60, "version": 1}
-    report = run("maintain", "--table", f"{root}/{stages.SILVER}", "--zorder-cols", "carrier")
+    report = run("maintain", "--table", f"{root}/{stages.SILVER}", "--zorder-cols", "carrier", "no_such")
     assert report["time_travel_rows"] == 20
     text = run("explain", "--year", "2018", "--month", "2")
     assert "PushedFilters: [IsNotNull(arr_delay), GreaterThan(arr_delay,15.0)]" in text
@@ -98,6 +99,17 @@ def test_full_run(spark, flights, tmp_path):
     ).first()
     assert (row.bronze_rows, row.silver_rows, row.gold_features_rows) == (61, 60, 60)
     assert (row.bronze_version, row.training_runs) == (2, 4)
+    assert (row.source_rows, row.rejected_rows) == (61, 0)
+
+
+def test_full_run_tells_of_rejected_rows_and_takes_other_folders(spark, flights, tmp_path):
+    rows = flights(*[{"month": None if i % 5 == 0 else 1, "flight_num": str(i)} for i in range(25)])
+    bronze_path = str(tmp_path / "elsewhere")
+    row = stages.run_layers(
+        spark, rows, str(tmp_path / "lake"), order_by=["seq"], with_models=False, folders={"bronze": bronze_path}
+    ).first()
+    assert (row.source_rows, row.bronze_rows, row.rejected_rows) == (25, 20, 5)
+    assert bronze.read_bronze(spark, bronze_path).count() == 20
 
 
 def test_stream_takes_new_files_once(spark, flights, folder):
@@ -113,9 +125,37 @@ def test_stream_takes_new_files_once(spark, flights, folder):
         return bronze.read_bronze(spark, path).count()
 
     assert arrive({"month": 1}, {"month": 2}) == 2
-    assert arrive({"month": 2}, {"month": 3}) == 3
-    assert tables.latest_version(spark, path) == 2
-    assert rows_of(bronze.read_bronze(spark, path), "month") == [(1,), (2,), (3,)]
+    assert arrive({"month": 2}, {"month": 3}) == 4  # a late file of a known month
+    assert tables.latest_version(spark, path) == 3
+    assert rows_of(bronze.read_bronze(spark, path), "month") == [(1,), (2,), (2,), (3,)]
+    with pytest.raises(Exception, match="rejected_rows=1"):
+        arrive({"month": None}, {"month": 4})
+    assert arrive({"month": 5}) == 6  # the usable row of the failed call is there, once
+
+
+def test_one_pass_over_the_source(spark, flights, folder):
+    passes = spark.sparkContext.accumulator(0)
+    source = flights({"month": 1}, {"month": 2}, {"month": None})
+
+    @F.udf("int")
+    def counted(value):
+        passes.add(1)
+        return value
+
+    rows = source.withColumn("seq", counted.asNondeterministic()("seq"))
+    result = bronze.append_batches(spark, rows, folder("bronze")).first()
+    assert (result.source_rows, result.written_rows, result.rejected_rows) == (3, 2, 1)
+    assert passes.value == 3
+
+
+def test_settings_of_the_user_stay(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000000")
+        size_for(spark, 10**15)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "7000000"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_plan_has_no_python_or_cartesian_step(spark, sf_dir):

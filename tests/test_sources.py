@@ -30,20 +30,12 @@ def test_required_columns(missing):
         columns.match_columns(present)
 
 
-def test_csv_types_come_from_the_head_and_bad_fields_become_null(spark, tmp_path):
+def test_csv_keeps_every_value_as_text(spark, tmp_path):
     path = tmp_path / "flights.csv"
-    head = "Year,Month,when,arr_delay,carrier\n"
-    good = "".join(f"2018,{i % 12 + 1},2018-01-0{i % 9 + 1},{i}.5,AA\n" for i in range(files.SCHEMA_SAMPLE_ROWS))
-    path.write_text(head + good + "later,1,2018-01-01,late,BB\n2019,2,x,,\n")
+    path.write_text("Year,dep_delay\n" + "2018,5\n" * 10_001 + "later,7.5\n2019,\n")
     df = files.scan_source(spark, str(path))
-    types = {f.name: f.dataType for f in df.schema}
-    assert types["Year"] == T.IntegerType()
-    assert types["when"] == T.StringType()
-    assert types["arr_delay"] == T.DoubleType()
-    tail = rows_of(df.filter("carrier = 'BB' OR Year = 2019"))
-    assert tail == sorted(
-        [(2019, 2, "x", None, None), (None, 1, "2018-01-01", None, "BB")], key=repr
-    )
+    assert {f.dataType for f in df.schema} == {T.StringType()}
+    assert rows_of(df.filter("dep_delay <> '5' OR dep_delay IS NULL")) == [("2019", None), ("later", "7.5")]
 
 
 def test_parquet_and_suffixes(spark, tmp_path):
@@ -60,7 +52,7 @@ def test_ingest_order_follows_the_source(spark, tmp_path, kind):
     ids = spark.range(1000, numPartitions=1).selectExpr("1000 - id AS id")
     ids.write.option("header", True).format(kind).save(path)
     df = files.scan_source(spark, path, ingest_order=True)
-    ordered = [row.id for row in df.orderBy(*files.INGEST_ORDER).collect()]
+    ordered = [int(row.id) for row in df.orderBy(*files.INGEST_ORDER).collect()]
     assert ordered == list(range(1000, 0, -1))
     assert df.select(*files.INGEST_ORDER).distinct().count() == 1000
 

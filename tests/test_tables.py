@@ -139,16 +139,42 @@ def test_z_value_interleaves_ranks(spark):
     )
 
 
-def test_columns_with_many_values_are_cut_into_ranges(spark, monkeypatch):
-    monkeypatch.setattr(clustering, "MAX_DICTIONARY", 10)
-    monkeypatch.setattr(clustering, "RANGE_BITS", 3)
-    df = spark.range(1000).withColumn("name", F.format_string("n%04d", "id")).repartition(4)
-    coded, bits = clustering.with_codes(df, ["name"])
-    rows = sorted((row.name, row._code_name) for row in coded.collect())
-    codes = [code for _, code in rows]
-    assert codes == sorted(codes)  # order is kept
-    assert bits["name"] == 4 and set(codes) == set(range(1, 9))
-    assert max(codes.count(c) for c in set(codes)) == 125
+def test_one_rule_for_codes_at_every_size(spark, monkeypatch):
+    for size, ranges, most in ((100_000, 256, 391), (200, 200, 1)):
+        df = spark.range(size).withColumn("name", F.format_string("n%06d", "id")).repartition(4)
+        coded, bits = clustering.with_codes(df, ["name"])
+        codes = [row.c for row in coded.orderBy("name").select(F.col("_code_name").alias("c")).collect()]
+        assert codes == sorted(codes)  # order is kept
+        assert set(codes) == set(range(1, ranges + 1)) and bits["name"] == ranges.bit_length()
+        assert max(codes.count(c) for c in (1, ranges // 2)) == most
+
+
+def test_appends_widen_or_are_refused(spark, folder):
+    path = folder()
+    tables.append_load(spark.createDataFrame([(1, 1, 5)], "year int, month int, d int"), path, PARTS)
+    tables.append_load(spark.createDataFrame([(1, 1, 5.9)], "year int, month int, d double"), path, PARTS)
+    tables.append_load(spark.createDataFrame([(1, 1, 7)], "year int, month int, d int"), path, PARTS)
+    assert rows_of(tables.read_table(spark, path), "d") == [(5.0,), (5.9,), (7.0,)]
+    with pytest.raises(ValueError, match="Column d"):
+        tables.append_load(spark.createDataFrame([(1, 1, "x")], "year int, month int, d string"), path, PARTS)
+    assert tables.latest_version(spark, path) == 2
+    text = folder()
+    tables.append_load(spark.createDataFrame([("x",)], "d string"), text)
+    tables.append_load(spark.createDataFrame([(5.9,)], "d double"), text)
+    assert rows_of(tables.read_table(spark, text)) == [("5.9",), ("x",)]
+
+
+def test_upsert_takes_new_columns_and_refuses_repeated_keys(spark, folder):
+    path = folder()
+    tables.append_load(batch_rows(spark, (2018, 1, "a", 1.0), (2018, 1, "c", 3.0)), path, PARTS)
+    source = batch_rows(spark, (2018, 1, "a", 9.0), (2018, 1, "b", 2.0)).withColumn("extra", F.lit("new"))
+    silver.upsert(spark, path, materialise(source))
+    assert {tuple(r)[-3:] for r in tables.read_table(spark, path).select("flight_key", "v", "extra").collect()} == {
+        ("a", 9.0, "new"), ("b", 2.0, "new"), ("c", 3.0, None)
+    }
+    twice = batch_rows(spark, (2018, 1, "a", 1.0), (2018, 1, "a", 2.0))
+    with pytest.raises(ValueError, match="repeat"):
+        silver.upsert(spark, path, materialise(twice))
 
 
 def test_z_order_and_sort_keep_rows(spark, folder):
