@@ -243,12 +243,13 @@ def fit(ordinary: list[str]) -> LicenceModel:
 
 def ordinary_sample(docs: DataFrame, text: str = "text", key: str = "doc_id") -> list[str]:
     """At most `SAMPLE_PARAGRAPHS` paragraphs that name no licence, of `SAMPLE_DOCUMENTS` chosen by hash."""
-    chosen = (
-        docs.select(F.xxhash64(column(key).cast("string"), F.lit(SEED)).alias("rank"), column(text).alias("text"))
-        .filter(F.length("text") > 0)
-        .orderBy("rank", "text")
-        .limit(SAMPLE_DOCUMENTS)
+    ranked = docs.filter(F.length(column(text)) > 0).select(
+        F.xxhash64(column(key).cast("string"), column(text), F.lit(SEED)).alias("rank"),
+        column(text).alias("text"),
     )
+    # The bound is found on ranks alone, so that only the texts that are wanted move.
+    last = ranked.select("rank").orderBy("rank").limit(SAMPLE_DOCUMENTS).agg(F.max("rank")).first()[0]
+    chosen = ranked.filter(F.col("rank") <= F.lit(last)) if last is not None else ranked.limit(0)
     lines = chosen.select("rank", F.explode(F.split("text", "\n")).alias("line"))
     plain = lines.filter(~F.col("line").rlike(NAMES_LICENCE) & (F.length("line") > 0))
     order = (F.xxhash64("rank", "line"), F.col("line"))
