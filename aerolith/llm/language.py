@@ -41,7 +41,7 @@ UNKNOWN = 1e-7  # probability of a character outside the vocabulary, in every la
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"
 SUMMED_LENGTH = 32  # longer words are summed in logarithms, one by one
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 200_000
 BATCH = 256  # texts whose new words are summed together
 MIN_SCORE = 0.5
 

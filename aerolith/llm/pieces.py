@@ -35,8 +35,8 @@ from aerolith.llm.common import Remembered, column, ship_package, whole_row
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED_PARTS = 600_000
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PARTS = 160_000
+REMEMBERED_PAIRS = 100_000
 REMEMBERED_LENGTH = 64  # longer parts are not kept
 MATCH_BLOCK = 1 << 16
 COUNTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -31,7 +31,7 @@ CHUNK = 1 << 14
 OVERLAP = 256
 AGREEING_TOKENS = 8
 TOKEN_LIMIT = 2048
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 300_000
 REMEMBERED_LENGTH = 64
 BOUNDARIES = frozenset(" \t\n\r")
 LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
