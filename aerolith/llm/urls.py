@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from aerolith.llm.common import column, ship_package, whole_row
+from aerolith.llm.common import column, ship_package, stored, whole_row
 
 # Fixed values: (verdict, host, path).
 RULES = (
@@ -170,7 +170,8 @@ def fit(parts: DataFrame) -> UrlModel:
         .orderBy(F.desc("n"), "word")
         .limit(VOCABULARY)
     )
-    counts: Counter[str] = Counter({r["word"]: r["n"] for r in counted.collect()})
+    # Stored first: the tasks' own best words then meet in a task, not in the driver.
+    counts: Counter[str] = Counter({r["word"]: r["n"] for r in stored(counted, "words").collect()})
     seed_count = max(SEED_COUNT, sum(counts.values()) / (len(BLOCK_WORDS) + len(ALLOW_WORDS)))
     for word in BLOCK_WORDS + ALLOW_WORDS:
         counts[word] += seed_count
@@ -188,7 +189,8 @@ def fit(parts: DataFrame) -> UrlModel:
         .groupBy("token")
         .agg(F.sum(1 - F.col("bad")).alias("allow"), F.sum("bad").alias("block"))
     )
-    kept = by_word.orderBy(F.desc(F.col("allow") + F.col("block")), "token").limit(VOCABULARY).collect()
+    kept = by_word.orderBy(F.desc(F.col("allow") + F.col("block")), "token").limit(VOCABULARY)
+    kept = stored(kept, "tokens").collect()
     size = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     allow = Counter({r["token"]: float(r["allow"]) for r in kept})
     block = Counter({r["token"]: float(r["block"]) for r in kept})
