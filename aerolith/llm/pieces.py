@@ -6,7 +6,9 @@ become byte pieces. Each part is encoded thus:
 
 1. Aho-Corasick gives the pieces that start at every place; the longest is tried first.
 2. A piece may follow its predecessor only if merging the two texts from scratch gives these two
-   pieces again. A sequence whose neighbours are all compatible is the one that merging finds.
+   pieces again. A sequence whose neighbours are all compatible is the one that merging finds. Merges
+   inside the two pieces were recorded when the model was loaded; merging them side by side means to
+   replay what happens at the edge where they meet.
 3. Where no piece fits, the place is marked in a bitfield as failed, the last piece is taken back and its
    next shorter rival is tried. No place is left twice, so the work is linear in the text.
 
@@ -14,13 +16,14 @@ Pieces of space marks share one score, so their order is by place and not by pie
 neighbours is not enough; parts with a run of space marks are merged from scratch with a heap.
 
 Parts recur, so each worker remembers a bounded number of them. Null text counts as empty: no tokens.
-Long texts are handled part by part, and parts without any cut block by block.
+Long texts are handled part by part; a part without any cut takes a few bytes per character.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import os
 import re
 
@@ -38,7 +41,6 @@ SPACE = "▁"
 REMEMBERED_PARTS = 160_000
 REMEMBERED_PAIRS = 100_000
 REMEMBERED_LENGTH = 64  # longer parts are not kept
-MATCH_BLOCK = 1 << 16
 COUNTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -62,19 +64,46 @@ class PieceBpe:
         self.bytes_of |= {str(i).encode(): bytes([b]) for b, i in bytes_.items()}
         self.bytes_of |= {str(i).encode(): b"" for i in ids if model.is_control(i)}
         self.bytes_of |= {str(i).encode(): " ⁇ ".encode() for i in ids if model.is_unknown(i)}
+        self.text_id = {piece: str(i) for piece, i in self.id_of.items()}
         # A piece that merging its own text does not give can never be in a result.
         self.automaton = ahocorasick.Automaton()
+        self.edges: dict[str, tuple[list, list] | None] = {}
         for piece in self.id_of:
-            if self.merge(piece) == [piece]:
+            merges: list[tuple[int, str, str]] = []
+            if self.merge(piece, merges) == [piece]:
                 self.automaton.add_word(piece, len(piece))
+                self.edges[piece] = self._edges(piece, merges)
         self.automaton.make_automaton()
+        self.shorter = {piece: self._shorter(piece) for piece in self.edges}
         self.pairs: dict[tuple[str, str], bool] = {}
         # Ids of texts with a space mark before them, and of texts as they stand.
         self.marked = Remembered(self._after_space, REMEMBERED_PARTS, REMEMBERED_LENGTH)
         self.bare = Remembered(self._as_it_stands, REMEMBERED_PARTS, REMEMBERED_LENGTH)
 
-    def merge(self, text: str) -> list[str]:
-        """Merging from scratch: the best pair first, the leftmost of equal ones."""
+    def _shorter(self, piece: str) -> str | None:
+        """The longest other piece that the piece starts with."""
+        return next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.edges), None)
+
+    def _edges(self, piece: str, merges: list[tuple[int, str, str]]) -> tuple[list, list] | None:
+        """What stands at the left and at the right end of a piece while it is merged, each with the score
+        of the merge that takes it away. None if scores do not fall from merge to merge."""
+        scores = [self.score[left + right] for _, left, right in merges]
+        if any(a <= b for a, b in zip(scores, scores[1:], strict=False)):
+            return None
+        size = len(piece)
+        first = [(left, s) for (at, left, _), s in zip(merges, scores, strict=True) if at == 0]
+        last = [
+            (right, s)
+            for (at, left, right), s in zip(merges, scores, strict=True)
+            if at + len(left) + len(right) == size
+        ]
+        return [*first, (piece, -math.inf)], [*last, (piece, -math.inf)]
+
+    def merge(self, text: str, merges: list[tuple[int, str, str]] | None = None) -> list[str]:
+        """Merging from scratch: the best pair first, the leftmost of equal ones.
+
+        `merges` receives place, left and right text of each merge.
+        """
         symbols: list[str] = list(text)
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
@@ -94,6 +123,8 @@ class PieceBpe:
             right = after[left]
             if not symbols[left] or right >= len(symbols) or symbols[left] + symbols[right] != both:
                 continue  # one of the two has merged with another meanwhile
+            if merges is not None:
+                merges.append((left, symbols[left], symbols[right]))
             symbols[left], symbols[right] = both, ""
             after[left] = after[right]
             if after[right] < len(symbols):
@@ -102,75 +133,84 @@ class PieceBpe:
             offer(before[left])
         return [s for s in symbols if s]
 
+    def meet(self, left: str, right: str) -> bool:
+        """Whether merging two pieces side by side gives these two again.
+
+        Until something merges across the edge both are merged as they are alone. What stands there on either
+        side merges if that scores better than what takes one of them away; of equals the left one is first.
+        A piece scores worse than its parts, so both have come about by then.
+        """
+        before, after = self.edges[left], self.edges[right]
+        if before is None or after is None:
+            return self.merge(left + right) == [left, right]
+        score = self.score.get
+        for a, a_goes in before[1]:
+            for b, b_goes in after[0]:
+                both = score(a + b)
+                if both is not None and both > a_goes and both >= b_goes:
+                    return False
+        return True
+
     def compatible(self, left: str, right: str) -> bool:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(left + right) == [left, right]
+            known = self.pairs[key] = self.meet(left, right)
         return known
 
-    def _starts(self, part: str) -> list[list[int]]:
-        """For each place, the lengths of the pieces that start there, the shortest first."""
-        found: list[list[int]] = [[] for _ in part]
-        for first in range(0, len(part), MATCH_BLOCK):
-            block = part[first : first + MATCH_BLOCK + self.longest]
-            for end, length in self.automaton.iter(block):
-                start = end + 1 - length
-                if start < MATCH_BLOCK:
-                    found[first + start].append(length)
-        return found
-
     def backtrack(self, part: str) -> list[str]:
         """Pieces of a part that has only characters of the vocabulary and no run of space marks."""
-        lengths = self._starts(part)
-        size, known, compatible = len(part), self.pairs.get, self.compatible
-        if lengths[0][-1] == size:
+        size, shorter = len(part), self.shorter
+        longest = [1] * size
+        for end, length in self.automaton.iter(part):  # the longest match of a place comes last
+            longest[end + 1 - length] = length
+        if longest[0] == size:
             return [part]
-        failed = bytearray((size >> 3) + 1)
+        known, compatible = self.pairs.get, self.compatible
+        failed = None
         pieces: list[str] = []
-        tried: list[int] = []  # for each piece, how many of the lengths at its start are left
-        place, left = 0, len(lengths[0])
-        while place < size:
-            here = lengths[place]
-            while left:
-                left -= 1
-                end = place + here[left]
-                if failed[end >> 3] >> (end & 7) & 1:
+        place, piece, last = 0, part[: longest[0]], ""
+        while True:
+            end = place + len(piece)
+            if not (failed and failed[end >> 3] >> (end & 7) & 1):
+                fits = known((last, piece)) if last else True
+                if fits or fits is None and compatible(last, piece):
+                    pieces.append(piece)
+                    if end == size:
+                        return pieces
+                    place, last = end, piece
+                    piece = part[end : end + longest[end]]
                     continue
-                piece = part[place:end]
-                if pieces:
-                    fits = known((pieces[-1], piece))
-                    if fits is False or fits is None and not compatible(pieces[-1], piece):
-                        continue
-                pieces.append(piece)
-                tried.append(left)
-                place = end
-                left = len(lengths[end]) if end < size else 0
-                break
-            else:
+            rival = shorter[piece]
+            while rival is None:
+                failed = failed or bytearray((size >> 3) + 1)
                 failed[place >> 3] |= 1 << (place & 7)
-                place -= len(pieces.pop())
-                left = tried.pop()
-        return pieces
+                taken = pieces.pop()
+                place -= len(taken)
+                rival = shorter[taken]
+            last = pieces[-1] if pieces else ""
+            piece = rival
 
     def encode_part(self, part: str) -> str:
         """Ids of a part without cuts, joined by commas."""
         if len(part) == 1 and part not in self.characters:
-            ids = [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
-        else:
-            pieces = self.merge(part) if SPACE * 2 in part else self.backtrack(part)
-            ids = [self.id_of[p] for p in pieces]
-        return ",".join(map(str, ids))
+            return ",".join([str(self.byte_ids[b]) for b in part.encode("utf-8", "surrogatepass")])
+        pieces = self.merge(part) if SPACE * 2 in part else self.backtrack(part)
+        return ",".join([self.text_id[p] for p in pieces])
 
     def cut(self, text: str) -> list[str]:
-        """The parts of a text that no piece reaches out of."""
+        """The parts of a text that no piece reaches out of; not all of them where there is nothing but letters."""
+        if text.isalpha() and text.isascii() and self.characters.issuperset(text):
+            return [text]
         neighbours = self.neighbours
         cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in neighbours]
         return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
     def _after_space(self, text: str) -> str:
+        if text.isalpha() and text.isascii() and self.characters.issuperset(text):
+            return self.encode_part(SPACE + text)
         first, *others = self.cut(SPACE + text)
         if not others:
             return self.encode_part(first)

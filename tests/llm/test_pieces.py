@@ -58,3 +58,15 @@ def test_ids_as_rows_and_back(spark):
     assert back[0].ids == LIBRARY.encode("a  b\n")
     assert pieces.report(docs.limit(0)).count() == 0
     assert [r.n_tokens for r in pieces.report(docs.filter("text is null")).collect()] == [0]
+
+
+def test_pieces_meet_as_merging_them_from_scratch_says():
+    bpe = pieces.load(pieces.MODEL)
+    draw = random.Random(5)
+    usable = [p for p in bpe.edges if pieces.SPACE not in p]
+    split = [(p[:k], p[k:]) for p in draw.sample(usable, 3000) for k in range(1, len(p))]
+    pairs = [(a, b) for a, b in split if a in bpe.edges and b in bpe.edges]
+    pairs += [(draw.choice(usable), draw.choice(usable)) for _ in range(3000)]
+    answers = [bpe.meet(a, b) for a, b in pairs]
+    assert answers == [bpe.merge(a + b) == [a, b] for a, b in pairs]
+    assert len(set(answers)) == 2
