@@ -1,0 +1,70 @@
+import random
+
+import corpus_pipeline
+from aerolith.llm import near_copies, registry
+
+
+def plain_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def plain_kept(docs):
+    """Ids that are the smallest of their component, by exact similarity of all pairs that share a shingle."""
+    sets = {i: plain_shingles(t) for i, t in docs.items()}
+    holders, root = {}, {i: i for i in docs}
+    for i, own in sets.items():
+        for shingle in own:
+            holders.setdefault(shingle, []).append(i)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, own in sets.items():
+        for j in {j for shingle in own for j in holders[shingle] if j < i}:
+            if 5 * len(own & sets[j]) >= 4 * len(own | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i for i in docs if find(i) == i}
+
+
+def kept_by_stage(spark, df):
+    return {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()}
+
+
+def test_stage_equals_exact_similarity(spark):
+    df = registry.table(spark, "/root/testdata/sf0.01", "documents")
+    docs = {r.doc_id: r.text for r in df.collect()}
+    kept = kept_by_stage(spark, df)
+    assert kept == plain_kept(docs)
+    # Similarity 0.97 but five bits of the fingerprint apart.
+    assert not {56, 914} <= kept
+
+
+def test_a_crowd_and_a_chain(spark):
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for _ in range(150):  # copies of one text with some words changed, near and far
+        words = list(base)
+        for place in draw.sample(range(120), draw.randint(1, 6)):
+            words[place] = f"x{draw.randrange(10**6)}"
+        texts.append(" ".join(words))
+    chain = [f"c{i}" for i in range(100)]
+    for step in range(20):  # each one near the one before, the ends far apart
+        chain[step * 5] = f"d{step}"
+        texts.append(" ".join(chain))
+    docs = dict(enumerate(texts))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert kept_by_stage(spark, df) == plain_kept(docs)
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(None, None, 1), (7, "", 2), (3, "a b c d", 3), (3, "a b c d", 4), (None, "a b c d", 5), (9, "x", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int").selectExpr("*", "'r' as row")
+    kept = near_copies.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.node if r.node != 4 else 3 for r in kept.collect()) == [2, 3, 6]
+    assert near_copies.without_near_copies(docs.limit(0)).count() == 0
