@@ -11,9 +11,8 @@ judged by a model:
   its segmented words is a block example, all others are allow examples. All urls take part, and the
   seed words themselves are added to their class.
 
-The word table and the class counts hold at most `VOCABULARY` entries, those with the highest counts (then by
-word). Both are of fixed size, whatever the input. A name that is not made of known words altogether
-stays whole, and words that neither class has say nothing.
+Both count tables are whole and stay DataFrames: the parts of each distinct name that are known words, and the
+counts of each token, come by join. A name that is not made of known words altogether stays whole.
 
 A null url, or one without `://`, has an empty host and path, fits no rule and is judged by the class priors
 alone: allow. Empty tables give empty results; repeated pages are judged one by one.
@@ -23,7 +22,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -58,8 +56,6 @@ sports story student teacher travel university weather wiki world writing
 """.split()
 )
 COMMON_HOST_WORDS = frozenset("www m com org net example".split())  # say nothing about a site
-VOCABULARY = 50_000
-LONGEST_WORD = 24
 SEED_COUNT = 50.0  # at least, in the word table and in the class counts
 SMOOTHING = 0.5
 SEPARATORS = re.compile(r"[^a-z]+")
@@ -98,8 +94,9 @@ class Words:
     def split(self, name: str) -> list[str]:
         """The likeliest known words that make up a name, or the name itself."""
         best: list[tuple[float, int]] = [(0.0, 0)]
+        longest = max(map(len, self.logs), default=1)
         for end in range(1, len(name) + 1):
-            first = max(0, end - LONGEST_WORD)
+            first = max(0, end - longest)
             options = [
                 (best[start][0] + self.logs.get(name[start:end], -math.inf), -start)
                 for start in range(first, end)
@@ -124,39 +121,8 @@ def names(host: str, path: str) -> tuple[list[str], list[str]]:
     )
 
 
-@dataclass
-class UrlModel:
-    words: Words
-    counts: dict[str, tuple[float, float]]  # per word: allow, block
-    totals: tuple[float, float]
-    priors: tuple[float, float]
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host, and of the path marked as such."""
-        hosts, paths = names(host, path)
-        return [w for x in hosts for w in self.words.split(x)] + [
-            "/" + w for x in paths for w in self.words.split(x)
-        ]
-
-    def block_score(self, host: str, path: str) -> float:
-        """Log-odds of block; zero or less is allow."""
-        score = math.log(self.priors[1]) - math.log(self.priors[0])
-        size = len(self.counts) + 1
-        for token in self.tokens(host, path):
-            if token not in self.counts:
-                continue
-            allow, block = self.counts[token]
-            score += math.log((block + SMOOTHING) / (self.totals[1] + SMOOTHING * size))
-            score -= math.log((allow + SMOOTHING) / (self.totals[0] + SMOOTHING * size))
-        return score
-
-
-def _tokens_of(model_words, host: str, path: str) -> list[str]:
-    return UrlModel(model_words, {}, (0, 0), (1, 1)).tokens(host, path)
-
-
-def fit(parts: DataFrame) -> UrlModel:
-    """From all rows of `host`, `path` and `title`."""
+def known_words(parts: DataFrame) -> DataFrame:
+    """`word`, `log`: all words of titles and paths and the seed words, with their log-probabilities."""
 
     @F.pandas_udf(ArrayType(StringType()))
     def letter_runs(titles: pd.Series, paths: pd.Series) -> pd.Series:
@@ -164,43 +130,95 @@ def fit(parts: DataFrame) -> UrlModel:
 
     counted = (
         parts.select(F.explode(letter_runs("title", "path")).alias("word"))
-        .filter(F.length("word") <= LONGEST_WORD)
         .groupBy("word")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(VOCABULARY)
+        .agg(F.count("*").cast("double").alias("n"))
+    )
+    counted = stored(counted, "words")
+    seen = counted.agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0]
+    seeds = BLOCK_WORDS + ALLOW_WORDS
+    seed_count = max(SEED_COUNT, seen / len(seeds))
+    added = parts.sparkSession.createDataFrame([(w, seed_count) for w in seeds], "word string, n double")
+    counts = stored(counted.union(added).groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counts.agg(F.log(F.sum("n") + F.count("*") + 1)).first()[0]
+    return counts.select("word", (F.log("n") - F.lit(total)).alias("log"))
+
+
+def split_names(found: DataFrame, words: DataFrame) -> DataFrame:
+    """`name`, `parts` for all distinct names: their likeliest words."""
+    lengths = sorted(r[0] for r in words.select(F.length("word")).distinct().collect())
+    inside = (
+        found.select("name", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
+        .filter(F.col("size") <= F.length("name"))
+        .select("name", "size", F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)).alias("start"))
+        .select("name", F.col("name").substr(F.col("start"), F.col("size")).alias("word"))
+        .distinct()
+    )
+    known = (
+        inside.join(words, "word")
+        .groupBy("name")
+        .agg(F.collect_list(F.struct("word", "log")).alias("known"))
+        .select("name", F.transform("known", lambda k: k["word"]).alias("words"), F.transform("known", lambda k: k["log"]).alias("logs"))
     )
-    # Stored first: the tasks' own best words then meet in a task, not in the driver.
-    counts: Counter[str] = Counter({r["word"]: r["n"] for r in stored(counted, "words").collect()})
-    seed_count = max(SEED_COUNT, sum(counts.values()) / (len(BLOCK_WORDS) + len(ALLOW_WORDS)))
-    for word in BLOCK_WORDS + ALLOW_WORDS:
-        counts[word] += seed_count
-    words = Words.of(counts)
-    seeds = F.array(*[F.lit(form) for word in BLOCK_WORDS for form in (word, "/" + word)])
 
     @F.pandas_udf(ArrayType(StringType()))
-    def tokens(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        return pd.Series([_tokens_of(words, h, p) for h, p in zip(hosts, paths, strict=True)])
-
-    examples = parts.select(tokens("host", "path").alias("tokens"))
-    examples = examples.withColumn("bad", F.arrays_overlap("tokens", seeds).cast("long"))
-    by_word = (
-        examples.select(F.explode("tokens").alias("token"), "bad")
-        .groupBy("token")
-        .agg(F.sum(1 - F.col("bad")).alias("allow"), F.sum("bad").alias("block"))
+    def split(own: pd.Series, known: pd.Series, logs: pd.Series) -> pd.Series:
+        return pd.Series(
+            [Words(dict(zip(k, x, strict=True))).split(n) for n, k, x in zip(own, known, logs, strict=True)]
+        )
+
+    parts = known.select("name", split("name", "words", "logs").alias("parts"))
+    return found.join(parts, "name", "left").select("name", F.coalesce("parts", F.array("name")).alias("parts"))
+
+
+def block_scores(parts: DataFrame) -> DataFrame:
+    """`host`, `path`, `block_score` of all distinct addresses: the log-odds of block; zero or less is allow.
+
+    Learnt from all rows of `host`, `path` and `title`.
+    """
+    spark = parts.sparkSession
+    sites = parts.groupBy("host", "path").agg(F.count("*").alias("n"))
+    sites = stored(sites.select("*", F.monotonically_increasing_id().alias("site")), "sites")
+
+    @F.pandas_udf("array<struct<mark:string,name:string>>")
+    def marked(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+        both = (names(h, p) for h, p in zip(hosts, paths, strict=True))
+        # Words of the path are marked as such.
+        return pd.Series([[{"mark": m, "name": x} for m, xs in zip(("", "/"), b, strict=True) for x in xs] for b in both])
+
+    named = stored(sites.select("site", "n", F.inline(marked("host", "path"))), "names")
+    pieces = stored(split_names(named.select("name").distinct(), known_words(parts)), "parts")
+    tokens = named.join(pieces, "name").select(
+        "site", "n", F.explode(F.transform("parts", lambda w: F.concat("mark", w))).alias("token")
     )
-    kept = by_word.orderBy(F.desc(F.col("allow") + F.col("block")), "token").limit(VOCABULARY)
-    kept = stored(kept, "tokens").collect()
-    size = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
-    allow = Counter({r["token"]: float(r["allow"]) for r in kept})
-    block = Counter({r["token"]: float(r["block"]) for r in kept})
-    for own, seed_words in ((allow, ALLOW_WORDS), (block, BLOCK_WORDS)):
-        for word in seed_words:
-            own[word] += SEED_COUNT
-            own["/" + word] += SEED_COUNT
-    both = {w: (allow[w], block[w]) for w in allow.keys() | block.keys()}
-    share = (size["bad"] + 1) / (size["n"] + 10)  # before any url is seen a tenth
-    return UrlModel(words, both, (sum(allow.values()), sum(block.values())), (1 - share, share))
+    tokens = stored(tokens, "tokens")
+    seeds = [form for word in BLOCK_WORDS for form in (word, "/" + word)]
+    bad = tokens.filter(F.col("token").isin(seeds)).select("site").distinct()
+    bad = stored(bad.withColumn("bad", F.lit(1.0)), "bad")
+    labelled = tokens.join(bad, "site", "left").withColumn("bad", F.coalesce("bad", F.lit(0.0)))
+    counted = labelled.select("token", (F.col("n") * (1 - F.col("bad"))).alias("allow"), (F.col("n") * F.col("bad")).alias("block"))
+    own = [
+        (mark + word, SEED_COUNT * (kind is ALLOW_WORDS), SEED_COUNT * (kind is BLOCK_WORDS))
+        for kind in (ALLOW_WORDS, BLOCK_WORDS)
+        for word in kind
+        for mark in ("", "/")
+    ]
+    counted = counted.union(spark.createDataFrame(own, "token string, allow double, block double"))
+    counts = stored(counted.groupBy("token").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")), "counts")
+    allow, block, size = counts.agg(F.sum("allow"), F.sum("block"), F.count("*") + 1).first()
+    odds = counts.select(
+        "token",
+        (
+            F.log((F.col("block") + SMOOTHING) / F.lit(block + SMOOTHING * size))
+            - F.log((F.col("allow") + SMOOTHING) / F.lit(allow + SMOOTHING * size))
+        ).alias("odds"),
+    )
+    rows = sites.join(bad, "site", "left").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("bad")), F.lit(0.0)))
+    n, n_bad = rows.first()
+    share = (n_bad + 1) / (n + 10)  # before any url is seen a tenth
+    prior = math.log(share) - math.log(1 - share)
+    sums = tokens.join(odds, "token").groupBy("site").agg(F.sum("odds").alias("odds"))
+    scored = sites.join(sums, "site", "left")
+    return scored.select("host", "path", (F.coalesce("odds", F.lit(0.0)) + prior).alias("block_score"))
 
 
 def title_of(html: Column) -> Column:
@@ -209,26 +227,17 @@ def title_of(html: Column) -> Column:
 
 def judged(pages: DataFrame, url: str = "url", html: str = "html", rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """`doc` (each row as it was) with host, path, rule, verdict and block_score (null where a rule decides)."""
-    spark = pages.sparkSession
-    ship_package(spark)
+    ship_package(pages.sparkSession)
     host, path = split_url(column(url))
     parts = pages.select(
         whole_row(pages).alias("doc"), host.alias("host"), path.alias("path"), title_of(column(html)).alias("title")
     )
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     parts = parts.withColumns({"rule": rule, "ruled": verdict})
-    sent = spark.sparkContext.broadcast(fit(parts.select("host", "path", "title")))  # of fixed size
-
-    @F.pandas_udf(DoubleType())
-    def score(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        model = sent.value
-        known: dict[tuple[str, str], float] = {}
-        for key in zip(hosts, paths, strict=True):
-            if key not in known:
-                known[key] = model.block_score(*key)
-        return pd.Series([known[key] for key in zip(hosts, paths, strict=True)], dtype="float64")
-
-    scored = parts.withColumn("block_score", F.when(F.col("ruled").isNull(), score("host", "path")))
+    scores = stored(block_scores(parts.select("host", "path", "title")), "scores")
+    scored = parts.join(scores, ["host", "path"], "left").withColumn(
+        "block_score", F.when(F.col("ruled").isNull(), F.col("block_score"))
+    )
     by_model = F.when(F.col("block_score") > 0, "block").otherwise("allow")
     return scored.select("doc", "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "block_score")
 

@@ -69,3 +69,15 @@ def test_clashing_columns_and_empty_tables(spark):
     pages = pages_of(spark).selectExpr("*", "1 as host", "2 as title", "3 as rule")
     assert urls.judged(pages).select("doc.rule").distinct().collect()[0][0] == 3
     assert urls.report(pages.limit(0)).count() == 0
+
+
+def test_words_of_the_tail_and_long_words_are_known(spark):
+    # More than 50,000 commoner words beside the two words that occur once.
+    common = " ".join(chr(97 + i // 17576) + "".join(chr(97 + i // 26**k % 26) for k in range(3)) + "q" for i in range(60_000))
+    long = "abcdefghijklmnopqrstuvwxyzabcdef"
+    titles = [common, common, f"quiltz {long}", "x", "x", "x"]
+    addresses = ["n.net/a", "n.net/b", "n.net/c", "quiltzcasino.net/", f"{long}poker.net/", "quiltzhouse.net/"]
+    rows = [(i, f"http://{a}", f"<title>{t}</title>") for i, (a, t) in enumerate(zip(addresses, titles, strict=True))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.report(pages).collect()}
+    assert [got[i] for i in (3, 4, 5)] == ["block", "block", "allow"]
