@@ -6,7 +6,7 @@ least one word that is a feature by itself. Logistic regression with one weight
 the licence families and `none` apart.
 
 Training examples are the templates, with words left out and ordinary words put around them, against a bounded sample of
-`SAMPLE_PARAGRAPHS` paragraphs of the corpus that name no licence, and sentences that use the words otherwise. A part of
+`SAMPLE_PARAGRAPHS` paragraphs of the corpus that name no licence and share few word pairs with any template, and sentences that use the words otherwise. A part of
 the examples is set aside to calibrate the probabilities (temperature of the softmax).
 
 A paragraph that is unlikely to be `none` belongs to the likeliest family if that is likely enough and a template of the
@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from aerolith.llm.common import column, ship_package, whole_row
 
@@ -126,6 +127,7 @@ STEPS, RATE, PENALTY = 300, 2.0, 1e-4
 NONE_LIMIT = 0.5  # a paragraph less likely than this to be none is a notice
 FAMILY_LIMIT = 0.5
 TEMPLATE_SHARE = 0.6
+LIKE_TEMPLATE = 0.3  # share of word pairs from which a paragraph is no ordinary one
 WORD = re.compile(r"[^\W_]+")
 NAMES_LICENCE = r"(?i)licen[sc]|copyright|redistribut|public domain|creative commons|all rights reserved|spdx"
 
@@ -142,6 +144,21 @@ def pairs_of(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False))
 
 
+TEMPLATE_PAIRS = {family: [pairs_of(words_of(t)) for t in texts] for family, texts in TEMPLATES.items()}
+
+
+def like_template(words: list[str]) -> bool:
+    """Whether a paragraph has many word pairs of a template, or is a part of one."""
+    pairs = pairs_of(words)
+    for template in (t for ts in TEMPLATE_PAIRS.values() for t in ts):
+        common = len(pairs & template)
+        if common > 1 and common >= LIKE_TEMPLATE * len(template):
+            return True
+        if common > 2 and common >= LIKE_TEMPLATE * len(pairs):
+            return True
+    return False
+
+
 def softmax(scores: np.ndarray) -> np.ndarray:
     powers = np.exp(scores - scores.max(axis=-1, keepdims=True))
     return powers / powers.sum(axis=-1, keepdims=True)
@@ -156,9 +173,6 @@ class LicenceModel:
 
     def __post_init__(self):
         self.signals = frozenset(g for g in self.features if " " not in g)
-        self.templates = {
-            family: [pairs_of(words_of(t)) for t in texts] for family, texts in TEMPLATES.items()
-        }
         self.none = self.classes.index(NONE)
 
     def probabilities(self, words: list[str]) -> np.ndarray:
@@ -177,7 +191,7 @@ class LicenceModel:
         best = int(chances.argmax())
         family, chance = self.classes[best], float(chances[best])
         pairs = pairs_of(words)
-        share = max(len(pairs & t) / len(t) for t in self.templates[family])
+        share = max(len(pairs & t) / len(t) for t in TEMPLATE_PAIRS[family])
         if chance < FAMILY_LIMIT or share < TEMPLATE_SHARE:
             family = UNKNOWN
         return family, chance, share
@@ -207,9 +221,9 @@ def _examples(ordinary: list[list[str]]) -> tuple[list[list[str]], list[str]]:
 
 def fit(ordinary: list[str]) -> LicenceModel:
     """From ordinary paragraphs of the corpus, of which there is a bounded number."""
-    plain = [words_of(p) for p in ordinary]
+    plain = [words for words in map(words_of, ordinary) if not like_template(words)]
     seen = Counter(g for words in plain for g in set(grams_of(words)))
-    limit = COMMON_SHARE * len(plain)
+    limit = max(COMMON_SHARE * len(plain), 1)  # one line alone makes nothing common
     grams = Counter(g for ts in TEMPLATES.values() for t in ts for g in set(grams_of(words_of(t))))
     rare = {g for g in grams if seen[g] <= limit}
     signals = {g for g in rare if " " not in g and (len(g) > 2 or g in ("cc", "by", "nc", "sa", "nd")) and not g.isdigit()}
@@ -251,7 +265,13 @@ def ordinary_sample(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     last = ranked.select("rank").orderBy("rank").limit(SAMPLE_DOCUMENTS).agg(F.max("rank")).first()[0]
     chosen = ranked.filter(F.col("rank") <= F.lit(last)) if last is not None else ranked.limit(0)
     lines = chosen.select("rank", F.explode(F.split("text", "\n")).alias("line"))
-    plain = lines.filter(~F.col("line").rlike(NAMES_LICENCE) & (F.length("line") > 0))
+    ship_package(docs.sparkSession)
+
+    @F.pandas_udf(BooleanType())
+    def ordinary(lines: pd.Series) -> pd.Series:
+        return pd.Series([not like_template(words_of(line)) for line in lines], dtype=bool)
+
+    plain = lines.filter(~F.col("line").rlike(NAMES_LICENCE) & (F.length("line") > 0)).filter(ordinary("line"))
     order = (F.xxhash64("rank", "line"), F.col("line"))
     return [r["line"] for r in plain.orderBy(*order).limit(SAMPLE_PARAGRAPHS).collect()]
 

@@ -49,3 +49,15 @@ def test_spans_nulls_and_empty_tables(spark, model):
     assert rows[0].doc.text[notice.start : notice.end] == line and notice.place == 1
     assert [len(r.notices) for r in rows] == [1, 0, 0, 0] and [r.n_paragraphs for r in rows] == [3, 0, 0, 1]
     assert licences.report(docs.limit(0)).count() == 0
+
+
+def test_notices_that_many_documents_carry(spark, sf_dir):
+    gpl = "Released under the GPL, version 2 or later."
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"
+    docs = registry.table(spark, sf_dir, "documents").select("doc_id", "text").limit(90).collect()
+    rows = [(r.doc_id, f"{r.text}\n\n{gpl}\n\n{mit}" if i % 3 == 0 else r.text) for i, r in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.families.split(",") for r in licences.report(df).collect()}
+    for i, (key, _) in enumerate(rows):
+        if i % 3 == 0:
+            assert {"gpl", "mit"} <= set(got[key])
