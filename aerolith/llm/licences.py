@@ -1,6 +1,8 @@
 """Licence notices in documents, by a trained paragraph classifier.
 
-A paragraph is a line of the text. Its features are one to three consecutive words, from a list made
+A paragraph is a line of the text, or several of a block of lines without a gap, where a notice is wrapped: the lines
+on which the word pairs of a template lie are judged together, and a notice found so stands for the parts of it that
+single lines show. Comment marks are no words. A paragraph's features are one to three consecutive words, from a list made
 of the templates below; n-grams that ordinary paragraphs of the corpus contain too are left out, and each n-gram has at
 least one word that is a feature by itself. Logistic regression with one weight vector per class tells
 the licence families and `none` apart.
@@ -128,6 +130,8 @@ NONE_LIMIT = 0.5  # a paragraph less likely than this to be none is a notice
 FAMILY_LIMIT = 0.5
 TEMPLATE_SHARE = 0.6
 LIKE_TEMPLATE = 0.3  # share of word pairs from which a paragraph is no ordinary one
+WINDOW = 1.5  # words of a wrapped notice, as a multiple of its template's
+COMMENT = re.compile(r"^\s*(?:dnl|rem)(?=\s|$)", re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+")
 NAMES_LICENCE = r"(?i)licen[sc]|copyright|redistribut|public domain|creative commons|all rights reserved|spdx"
 
@@ -147,6 +151,42 @@ def pairs_of(words: list[str]) -> set[tuple[str, str]]:
 TEMPLATE_PAIRS = {family: [pairs_of(words_of(t)) for t in texts] for family, texts in TEMPLATES.items()}
 
 
+PAIR_OWNERS: dict[tuple[str, str], list[tuple[str, int]]] = {}
+for _family, _templates in TEMPLATE_PAIRS.items():
+    for _number, _pairs in enumerate(_templates):
+        for _pair in _pairs:
+            PAIR_OWNERS.setdefault(_pair, []).append((_family, _number))
+
+
+def windows(words: list[str]) -> list[tuple[int, int]]:
+    """Stretches (first word, word after the last) that hold most word pairs of a template."""
+    places: dict[tuple[str, int], list[tuple[int, tuple[str, str]]]] = {}
+    for place, pair in enumerate(zip(words, words[1:], strict=False)):
+        for owner in PAIR_OWNERS.get(pair, ()):
+            places.setdefault(owner, []).append((place, pair))
+    found = []
+    for (family, number), own in places.items():
+        size = len(TEMPLATE_PAIRS[family][number])
+        held: Counter = Counter()
+        low, best = 0, None  # the fullest stretch, then the shortest
+        for place, pair in own:
+            if best and own[low][0] > best[3]:
+                found.append((best[2], best[3] + 2))
+                best = None
+            held[pair] += 1
+            while place - own[low][0] > WINDOW * size or held[own[low][1]] > 1:
+                held[own[low][1]] -= 1
+                if not held[own[low][1]]:
+                    del held[own[low][1]]
+                low += 1
+            if len(held) >= TEMPLATE_SHARE * size:
+                rank = (len(held), own[low][0] - place, own[low][0], place)
+                best = rank if best is None or rank[:2] > best[:2] else best
+        if best:
+            found.append((best[2], best[3] + 2))
+    return found
+
+
 def like_template(words: list[str]) -> bool:
     """Whether a paragraph has many word pairs of a template, or is a part of one."""
     pairs = pairs_of(words)
@@ -181,7 +221,9 @@ class LicenceModel:
 
     def judge(self, paragraph: str) -> tuple[str, float, float] | None:
         """Family, its probability and the share of its best template; None for ordinary paragraphs."""
-        words = words_of(paragraph)
+        return self.judge_words(words_of(paragraph))
+
+    def judge_words(self, words: list[str]) -> tuple[str, float, float] | None:
         if self.signals.isdisjoint(words):
             return None
         chances = self.probabilities(words)
@@ -196,6 +238,48 @@ class LicenceModel:
             family = UNKNOWN
         return family, chance, share
 
+    def notices(self, text: str) -> tuple[int, list[dict]]:
+        """Number of lines that are not blank, and all notices by their first line."""
+        lines = text.split("\n")
+        ends = np.cumsum([len(line) + 1 for line in lines]) - 1
+        split = [words_of(COMMENT.sub(" ", line)) for line in lines]
+        alone = {i: verdict for i, words in enumerate(split) if words and (verdict := self.judge_words(words))}
+        found = [(first, last, *verdict) for first, last, verdict in self._wrapped(split, alone)]
+        found += [(i, i, *verdict) for i, verdict in alone.items()]
+        keys = ("place", "start", "end", "family", "probability", "template_share")
+        rows = [
+            dict(zip(keys, (first, int(ends[first]) - len(lines[first]), int(ends[last]), *verdict), strict=True))
+            for first, last, *verdict in sorted(found)
+        ]
+        return sum(bool(line.strip()) for line in lines), rows
+
+    def _wrapped(self, split: list[list[str]], alone: dict) -> list[tuple[int, int, tuple]]:
+        """Notices over several lines: first, last, verdict. Their parts are taken out of `alone`."""
+        options, first = [], 0
+        while first < len(split):
+            after = first
+            while after < len(split) and split[after]:
+                after += 1
+            block = [(word, i) for i in range(first, after) for word in split[i]]
+            if after - first > 1 and not self.signals.isdisjoint(word for word, _ in block):
+                words = [word for word, _ in block]
+                for low, high in set(windows(words)):
+                    a, b = block[low][1], block[high - 1][1]
+                    verdict = self.judge_words(words[low:high]) if a < b else None
+                    if verdict and verdict[0] != UNKNOWN:
+                        options.append((verdict[2], verdict[1], high - low, a, b, verdict))
+            first = after + 1
+        taken: list[tuple[int, int, tuple]] = []
+        # Fuller templates first, then longer ones; a line belongs to one wrapped notice.
+        for *_, a, b, verdict in sorted(options, key=lambda o: (-o[0], -o[2], -o[1], o[3])):
+            whole = any(i in alone and alone[i][0] not in (UNKNOWN, verdict[0]) for i in range(a, b + 1))
+            if not whole and all(b < x or y < a for x, y, _ in taken):
+                taken.append((a, b, verdict))
+        for a, b, _ in taken:
+            for i in range(a, b + 1):
+                alone.pop(i, None)
+        return taken
+
 
 def _examples(ordinary: list[list[str]]) -> tuple[list[list[str]], list[str]]:
     """Word lists and classes; variants of templates have words left out and ordinary words around."""
@@ -286,22 +370,7 @@ def paragraphs(docs: DataFrame, model: LicenceModel, text: str = "text") -> Data
         "probability:double,template_share:double>>"
     )
     def notices(texts: pd.Series) -> pd.DataFrame:
-        own, rows = sent.value, []
-        for whole in texts:
-            found, start, count = [], 0, 0
-            for place, line in enumerate((whole or "").split("\n")):
-                verdict = own.judge(line) if line else None
-                count += bool(line.strip())
-                if verdict:
-                    family, chance, share = verdict
-                    found.append(
-                        {
-                            "place": place, "start": start, "end": start + len(line), "family": family,
-                            "probability": chance, "template_share": share,
-                        }
-                    )
-                start += len(line) + 1
-            rows.append((count, found))
+        rows = [sent.value.notices(text or "") for text in texts]
         return pd.DataFrame(rows, columns=["n_paragraphs", "notices"])
 
     return docs.select(whole_row(docs).alias("doc"), notices(column(text)).alias("scan")).select(

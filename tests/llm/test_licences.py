@@ -61,3 +61,37 @@ def test_notices_that_many_documents_carry(spark, sf_dir):
     for i, (key, _) in enumerate(rows):
         if i % 3 == 0:
             assert {"gpl", "mit"} <= set(got[key])
+
+
+WRAPPED = {
+    "mit": """
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "gpl": """
+This is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3, or any later one.""",
+    "bsd": """
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "dnl "])
+@pytest.mark.parametrize("family", WRAPPED)
+def test_wrapped_notices(model, family, mark):
+    lines = [mark + line for line in WRAPPED[family].strip().split("\n")]
+    text = "\n".join(["The weather is fine", "", *lines, "", "He has a dog"])
+    count, found = model.notices(text)
+    assert count == len(lines) + 2
+    assert [n["family"] for n in found] == [family]
+    part = text[found[0]["start"] : found[0]["end"]]
+    assert found[0]["place"] == 2 and "\n".join(lines[:2]) in part and part in "\n".join(lines)
+
+
+def test_notices_on_lines_of_their_own_stay_apart(model):
+    lines = [*PLANTED, *PLANTED, "Released under the MIT License."]
+    _, found = model.notices("\n".join(lines))
+    assert [(n["place"], n["family"]) for n in found] == [(i, PLANTED[x]) for i, x in enumerate(lines)]
