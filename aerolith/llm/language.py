@@ -150,6 +150,19 @@ def _long_word(vocab: Vocabulary, word: str, chance: np.ndarray) -> np.ndarray:
     return sums[-1]
 
 
+def _long_shares(vocab: Vocabulary, word: str, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces inside one word of any length, and how often each is expected, by sums in logarithms."""
+    logs, found = np.log(chance), vocab.long_matches(word)
+    ahead, behind = np.full((2, len(word) + 2), -np.inf)
+    ahead[0] = behind[-1] = 0.0
+    for end, start, piece in found:
+        ahead[end] = np.logaddexp(ahead[end], ahead[start] + logs[piece])
+    for end, start, piece in sorted(found, key=lambda match: -match[1]):
+        behind[start] = np.logaddexp(behind[start], behind[end] + logs[piece])
+    ends, starts, pieces = np.array(found).T
+    return pieces, np.exp(ahead[starts] + logs[pieces] + behind[ends] - ahead[-1])
+
+
 class Model:
     """Piece probabilities of each language, and the scores of words met so far."""
 
@@ -259,7 +272,6 @@ def fit(
 
     counted = stored(
         chosen.mapInPandas(split, "lang string, word string")
-        .filter(F.length("word") < SUMMED_LENGTH)
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
         .repartition("word"),
@@ -277,6 +289,13 @@ def fit(
             own, total = vocabulary(vocabulary_name), None
             chance = sent.value
             for batch in batches:
+                long = batch["word"].str.len() >= SUMMED_LENGTH
+                for row in batch[long].itertuples():
+                    which = languages.index(row.lang)
+                    pieces, share = _long_shares(own, row.word, chance[:, which])
+                    added = np.bincount(pieces * len(languages) + which, share * row.n, chance.size)
+                    total = added if total is None else total + added
+                batch = batch[~long]
                 for first in range(0, len(batch), 4096):
                     part = batch.iloc[first : first + 4096]
                     lattice = _Lattice(own, part["word"].tolist())

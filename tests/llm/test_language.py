@@ -73,3 +73,23 @@ def test_label_is_no_input_of_a_prediction(spark):
     a = {r.doc_id: r.guess for r in language.predicted(docs, model).select("doc.doc_id", "guess").collect()}
     b = {r.doc_id: r.guess for r in language.predicted(swapped, model).select("doc.doc_id", "guess").collect()}
     assert a == b
+
+
+def test_unsegmented_languages_are_learnt(spark):
+    zh, ja = "的一是不了人我在有他这中大来上国个到说们", "のにはをたがでてとしれさるあいうえおかき"
+    rows = [(i, (zh, ja)[i % 2][i % 7 :] * 4, ("zh", "ja")[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == ["ja", "zh"]
+    guessed = language.predicted(docs, model).collect()
+    assert all(r.guess.lang_pred == r.doc.lang for r in guessed)
+
+
+def test_expected_pieces_of_long_words_are_those_of_short_ones():
+    vocab = language.vocabulary(language.VOCABULARY)
+    chance = np.random.default_rng(1).random(len(vocab.pieces) + 1) * 1e-3
+    lattice = language._Lattice(vocab, ["understanding"])
+    ahead, behind = lattice.forward(chance[:, None])[0, :, 0], lattice.backward(chance[:, None])[0, :, 0]
+    share = ahead[lattice.start] * chance[lattice.piece] * behind[lattice.end] / behind[0]
+    pieces, found = language._long_shares(vocab, "understanding", chance)
+    assert np.allclose(np.bincount(pieces, found, len(chance)), np.bincount(lattice.piece, share, len(chance)))
