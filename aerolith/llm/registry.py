@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolith.llm import (
+    centroids,
     decontamination,
     exact_dedup,
     html_text,
@@ -64,6 +65,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -75,8 +80,42 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_licence_scan": op9_licence_scan,
     "op10_warc": op10_warc,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
+
+def _clustering_sql(rounds: int) -> str:
+    """Assignment and means written out once per round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS (
+  SELECT row, vec_id, p, k, d FROM (
+    SELECT row, vec_id, p, k, list_sum([(p[i] - c[i]) * (p[i] - c[i]) for i in range(1, 65)]) AS d
+    FROM kept, c{i})
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, k) = 1),
+s{i} AS (SELECT k, i, sum(p[i]) AS total, count(*) AS n FROM a{i}, range(1, 65) t(i) GROUP BY k, i),
+m{i} AS (
+  SELECT k, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{i} GROUP BY k),
+c{i + 1} AS (SELECT k, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (k))""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS p
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len([x for x in embedding if x IS NOT NULL AND isfinite(x) AND abs(x) <= 2097152]) = 64),
+c0 AS (
+  SELECT place - 1 AS k, p AS c
+  FROM (SELECT p, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, p) AS place FROM kept)
+  WHERE place <= 16),{",".join(steps)}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)"""
+
+
+
 ORACLES = {
     "op2_benchmark_decontamination": r"""
 WITH d AS (
@@ -128,4 +167,5 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f""",
+    "op13_centroid_clustering": _clustering_sql(centroids.ROUNDS),
 }
