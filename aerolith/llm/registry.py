@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolith.llm import (
     centroids,
+    collocations,
     decontamination,
     exact_dedup,
     html_text,
@@ -65,6 +66,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.report(table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_licence_scan": op9_licence_scan,
     "op10_warc": op10_warc,
+    "op11_phrase_mining": op11_phrase_mining,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
@@ -167,5 +173,37 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f""",
+    "op11_phrase_mining": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+starts AS (
+  SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS s
+  FROM w, (VALUES (1), (2), (3)) sizes(k) WHERE len(words) >= k),
+f AS (
+  SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts GROUP BY ALL),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, j, l.f AS l, r.f AS r,
+         (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:c.j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.j + 1:c.k], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+parts AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, array_to_string(words[i:i + 1], ' ') AS phrase, a AS f FROM c, range(1, 3) t(i) WHERE k = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM scored s LEFT JOIN parts USING (lang, phrase)
+  WHERE s.k = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
     "op13_centroid_clustering": _clustering_sql(centroids.ROUNDS),
 }
