@@ -41,10 +41,12 @@ FILTER_BITS = 27
 SALTS = 64
 BURST = 1 << 12
 HELD = 600_000
+REMEMBERED = 400_000
 WORDS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 1 << 16
 ID_BITS = 21  # three local word ids share 63 bits
 _MASK = (1 << ID_BITS) - 1
+CUT = b"\xff"  # no byte of UTF-8
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 
 
@@ -62,10 +64,10 @@ def _plain_bytes() -> bytes:
 PLAIN = _plain_bytes()
 
 
-def pieces(text: str | None) -> list[list[bytes]]:
-    """The words of every piece that has one."""
+def tokens(text: str | None) -> list[bytes]:
+    """The words of a text, with `CUT` between pieces."""
     plain = (text or "").encode("utf-8", "surrogatepass").translate(PLAIN)
-    return [words for part in plain.split(b"\n") if (words := part.split())]
+    return plain.replace(b"\n", b" " + CUT + b" ").split()
 
 
 class Branch(dict):
@@ -96,15 +98,13 @@ def _put(node: dict, keys: np.ndarray, counts: np.ndarray, words: int) -> dict:
     return _burst(node, words) if words > 1 and len(node) > BURST else node
 
 
-def _walk(node: dict, words: int, prefix: int = 0) -> Iterator[tuple[int, int]]:
-    """All phrases below a node in order, with their counts."""
+def _containers(node: dict, words: int, prefix: int) -> Iterator[tuple[int, dict[int, int]]]:
+    """The hash containers below a node, each with its prefix in the place that it has in a phrase."""
     if type(node) is Branch:
-        for head in sorted(node):
-            yield from _walk(node[head], words - 1, (prefix << ID_BITS) | head)
-        return
-    shift = ID_BITS * words
-    for key in sorted(node):
-        yield (prefix << shift) | key, node[key]
+        for head, child in node.items():
+            yield from _containers(child, words - 1, prefix | (head << ID_BITS * (words - 1)))
+    else:
+        yield prefix, node
 
 
 def _size(node: dict) -> int:
@@ -123,33 +123,47 @@ class Trie:
             _put(self.root, distinct, counts, self.words)
         self.held = _size(self.root)
 
-    def spill(self, most: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Whole subtrees, the largest first, until at most so many phrases are held: sorted runs."""
+    def spill(self, most: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Whole subtrees, the largest first, until at most so many phrases are held: one sorted run."""
+        prefixes, sizes, keys, counts = [], [], [], []
         for size, head in sorted(((_size(node), head) for head, node in self.root.items()), reverse=True):
             if self.held <= most:
-                return
-            run = np.array(list(_walk(self.root.pop(head), self.words - 1, head)), np.int64)
+                break
             self.held -= size
-            yield run[:, 0], run[:, 1]
+            prefix = head << ID_BITS * (self.words - 1)
+            for before, container in _containers(self.root.pop(head), self.words - 1, prefix):
+                prefixes.append(before)
+                sizes.append(len(container))
+                keys.extend(container)
+                counts.extend(container.values())
+        whole = np.array(keys, np.int64) | np.repeat(np.array(prefixes, np.int64), sizes)
+        order = np.argsort(whole)
+        return whole[order], np.array(counts, np.int64)[order]
 
 
 class Vocabulary(dict):
     """Local ids of the words that may belong to a frequent phrase; 0 for all others."""
 
     def __init__(self, seed: int, mark: int, bits: np.ndarray):
-        super().__init__()
-        self.seed, self.mark, self.bits, self.hashes = seed, mark, bits, [0]
+        super().__init__({CUT: 0})
+        self.seed, self.mark, self.bits, self.hashes = seed, mark, memoryview(bits), [0]
 
     def __missing__(self, word: bytes) -> int:
         hashed = xxhash.xxh64_intdigest(word, self.seed)
-        number = 0
-        if _is_set(self.bits, np.array([hashed], np.uint64) ^ np.uint64(self.mark))[0]:
+        number, at = 0, (hashed ^ self.mark) >> (64 - FILTER_BITS)  # as in _is_set, for one number
+        if self.bits[at >> 3] >> (at & 7) & 1:
             number = len(self.hashes)
             self.hashes.append(hashed)
         self[word] = number
         return number
 
 
+    def forget(self) -> None:
+        """Drop the words that are remembered as rare; they are hashed again when they come back."""
+        for word in [word for word, number in self.items() if not number and word != CUT]:
+            del self[word]
+
+
 def _is_set(bits: np.ndarray, mixed: np.ndarray) -> np.ndarray:
     at = mixed >> np.uint64(64 - FILTER_BITS)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
@@ -203,8 +217,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counter = counts.setdefault(lang, Counter())
-            for words in pieces(text):
-                counter.update(words)
+            counter.update(tokens(text))
+            del counter[CUT]
         if sum(map(len, counts.values())) > HELD:
             yield from spill()
     yield from spill()
@@ -220,10 +234,9 @@ class _Language:
         self.ids, self.trie, self.stream = self.fresh_ids(), Trie(size), []
 
     def take(self, text: str | None) -> None:
-        ids, stream = self.ids, self.stream
-        for words in pieces(text):
-            stream.extend([ids[word] for word in words])
-            stream.append(0)
+        ids = self.ids
+        self.stream.extend([ids[word] for word in tokens(text)])
+        self.stream.append(0)
 
     def settle(self) -> None:
         """Count the phrases of the words taken so far."""
@@ -242,25 +255,18 @@ class _Language:
 
     def spill(self, lang: str, most: int) -> Iterator[pa.RecordBatch]:
         hashes = np.array(self.ids.hashes, np.uint64).view(np.int64)
-        held, rows = [], 0
-        for run in [*self.trie.spill(most), None]:
-            if run is not None:
-                held.append(run)
-                rows += len(run[0])
-            if held and (run is None or rows >= ROWS_AT_ONCE):
-                keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-                held, rows = [], 0
-                for first in range(0, len(keys), ROWS_AT_ONCE):
-                    part = keys[first : first + ROWS_AT_ONCE]
-                    words = [hashes[(part >> ID_BITS * i) & _MASK] for i in reversed(range(self.size))]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(part), pa.string()),
-                            *map(pa.array, words),
-                            pa.array(counts[first : first + ROWS_AT_ONCE]),
-                        ],
-                        names=["lang", *_names(self.size), "n"],
-                    )
+        keys, counts = self.trie.spill(most)
+        for first in range(0, len(keys), ROWS_AT_ONCE):
+            part = keys[first : first + ROWS_AT_ONCE]
+            words = [hashes[(part >> ID_BITS * i) & _MASK] for i in reversed(range(self.size))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(part), pa.string()),
+                    *map(pa.array, words),
+                    pa.array(counts[first : first + ROWS_AT_ONCE]),
+                ],
+                names=["lang", *_names(self.size), "n"],
+            )
 
 
 def _names(size: int) -> list[str]:
@@ -278,7 +284,9 @@ def _count_phrases(size: int, seed: int, words: Broadcast, pairs: Broadcast | No
                 mine.take(text)
                 if len(mine.stream) >= WORDS_AT_ONCE:
                     mine.settle()
-                    if len(mine.ids.hashes) > _MASK - WORDS_AT_ONCE or len(mine.ids) > 2 * HELD:
+                    if len(mine.ids) > REMEMBERED:
+                        mine.ids.forget()
+                    if len(mine.ids.hashes) > min(REMEMBERED, _MASK - WORDS_AT_ONCE):
                         yield from mine.spill(lang, 0)
                         mine.ids = mine.fresh_ids()
                     while sum(one.trie.held for one in languages.values()) > HELD:

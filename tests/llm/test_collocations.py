@@ -86,7 +86,7 @@ def test_spills_bursts_and_small_vocabularies(spark, monkeypatch):
     """Counts do not depend on how much a task holds."""
     rows = [(i % 3 and "en" or "es", " ".join(f"w{(i * j) % 23}" for j in range(200))) for i in range(60)]
     rows.append(("en", "hot " * 5000 + " ".join(f"hot w{j % 400}" for j in range(8000))))
-    for name, value in (("HELD", 50), ("BURST", 4), ("WORDS_AT_ONCE", 64), ("ROWS_AT_ONCE", 16)):
+    for name, value in (("HELD", 50), ("BURST", 4), ("WORDS_AT_ONCE", 64), ("ROWS_AT_ONCE", 16), ("REMEMBERED", 30)):
         monkeypatch.setattr(collocations, name, value)
     batches = [pa_batch([r]) for r in rows]
     ones = Counter()
@@ -118,12 +118,11 @@ def test_runs_are_sorted_and_subtrees_leave_whole():
     rng = np.random.default_rng(3)
     keys = (rng.integers(1, 9, 5000) << collocations.ID_BITS) | rng.integers(1, 6000, 5000)
     trie.add(keys)
-    runs = list(trie.spill(trie.held // 2))
-    heads = [set((k >> collocations.ID_BITS).tolist()) for k, _ in runs]
-    assert all(len(h) == 1 for h in heads) and all((np.diff(k) > 0).all() for k, _ in runs)
-    assert not set().union(*heads) & set(trie.root)
-    rest = list(trie.spill())
-    assert sum(int(c.sum()) for _, c in runs + rest) == 5000 and trie.held == 0
+    run, counts = trie.spill(trie.held // 2)
+    assert (np.diff(run) > 0).all() and not set((run >> collocations.ID_BITS).tolist()) & set(trie.root)
+    rest, others = trie.spill()
+    assert (np.diff(rest) > 0).all() and counts.sum() + others.sum() == 5000 and trie.held == 0
+    assert sorted([*run, *rest]) == sorted(set(keys.tolist()))
 
 
 def test_spark_hashes_words_as_tasks_do(spark):
