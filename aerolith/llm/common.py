@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark import SparkFiles
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 import aerolith
 from aerolith.session import scratch_path
+from aerolith.sources.files import delete_path
 
 # Beyond this a side of a join is never forced to be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -46,10 +48,35 @@ def whole_row(df: DataFrame) -> Column:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Rows written once to the shared folder and read back from there."""
     path = scratch_path(df.sparkSession, name)
+    for noted in _NOTED:
+        noted.append(path.rpartition("/")[0])
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noting(folders: list[str]) -> Iterator[None]:
+    """Inside the block `stored` notes the folders that it makes."""
+    _NOTED.append(folders)
+    try:
+        yield
+    finally:
+        _NOTED.remove(folders)
+
+
+def drop_unread(folders: list[str], reader: DataFrame) -> None:
+    """Delete the noted folders, those left out that `reader` takes rows from, and forget them."""
+    files = reader.inputFiles() if folders else []
+    read = {name for name in folders if any(f"/{name.rpartition('/')[2]}/" in file for file in files)}
+    for folder in folders:
+        if folder not in read:
+            delete_path(reader.sparkSession, folder)
+    folders[:] = [folder for folder in folders if folder in read]
+
+
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast a side whose measured size is within the limit; else leave the join to Spark."""
     return F.broadcast(df) if size <= limit else df

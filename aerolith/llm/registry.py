@@ -12,6 +12,7 @@ from aerolith.llm import (
     html_text,
     language,
     licences,
+    ngram_join,
     pieces,
     simhash,
     token_counts,
@@ -70,6 +71,10 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.report(table(spark, sf_dir, "documents"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.report(table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op9_licence_scan": op9_licence_scan,
     "op10_warc": op10_warc,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_ngram_join": op12_ngram_join,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
@@ -205,5 +211,25 @@ kept AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
        phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
+    "op12_ngram_join": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+starts AS (SELECT r, words, least(len(words), 5) AS k, unnest(range(1, len(words) - least(len(words), 5) + 2)) AS s
+           FROM d WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT r, array_to_string(words[s:s + k - 1], ' ') AS shingle FROM starts),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS met FROM shingles x JOIN shingles y USING (shingle)
+  WHERE x.r <> y.r GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+  WHERE 100 * met >= 80 * (x.n + y.n - met)),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+smallest AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (r) JOIN smallest USING (r)""",
     "op13_centroid_clustering": _clustering_sql(centroids.ROUNDS),
 }
