@@ -37,9 +37,10 @@ from aerolith.llm.components import roots
 SHINGLE_WORDS = 5
 HASH_SEED = 42
 PERCENT = 80
-GROUPS = 32
+GROUPS = 256  # keeps strangers of some thousand words apart; longer ones go on to the whole sets
 CROWD = 32
 STAR_ROUNDS = 2
+PACKED_GROUPS = 16  # coordinates that sort the points of a tree
 BAND = 1.12  # two bands up lie all sizes within the reach of 1 / 0.8
 OUTLINE = (
     StructType()
@@ -155,7 +156,7 @@ class _Join:
         short = stored(short.select("node"), "short")
         entered = (
             self.sets(short.select(F.col("node").alias("row")))
-            .select("node", "n", F.explode("tokens").alias("token"))
+            .select("node", "n", F.explode_outer("tokens").alias("token"))  # else the function runs below the filter
             .join(crowds.withColumn("common", F.lit(True)), "token", "left")
             .withColumn("common", F.coalesce("common", F.lit(False)))
             .groupBy("node", "n")
@@ -209,7 +210,7 @@ class _Join:
         counts = self.staged.select(F.col("row").alias("node"), "counts")
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND)))
         points = crowded.join(counts, "node").withColumn("band", band)
-        order = ["token", "band", *[F.col("counts")[i] for i in range(GROUPS)], "node"]
+        order = ["token", "band", *[F.col("counts")[i] for i in range(PACKED_GROUPS)], "node"]
         packed = points.repartitionByRange(*order).sortWithinPartitions(*order)
         leaf = F.floor(F.monotonically_increasing_id() / CROWD)
         packed = stored(packed.select("token", "band", leaf.alias("leaf"), "node", "n", "root", "counts"), "packed")
