@@ -5,16 +5,18 @@ A text is the set of XXH64 hashes of its five-word shingles; two texts link when
 
 1. A point is a node's number of tokens in each of `GROUPS` groups of hashes. No two sets share more tokens than the sum of
    the smaller counts over all groups, and in a box of points no more than with the box's largest counts.
-2. Entry: with tokens in one order for all nodes, two linked sets have one in common among their first
-   n - ceil(0.8 n) + 1, since the tokens behind cannot sum to the overlap. A node enters the tree of each of these tokens.
-   The order is by hash, tokens shared by more than `CROWD` nodes last, so that passages shared by many texts
+2. Entry: with tokens in one order for all nodes, two linked sets have `SHARED` in common among their first
+   n - ceil(0.8 n) + `SHARED` (all, where they have fewer), since the tokens behind cannot sum to the overlap. A node enters
+   the tree of each of these tokens, and pairs that meet in fewer small trees are discarded. The order is by hash, tokens shared by more than `CROWD` nodes last, so that passages shared by many texts
    open no trees. Crowds are counted in the first 1.5 times as many tokens by hash; where too few rare ones are
    left there, all tokens of the node are put in order.
 3. A tree with at most `CROWD` points is one leaf. Larger ones are packed by sorting on size band and counts and cutting
    every `CROWD` rows: one box per leaf, its largest counts and range of sizes. Leaves meet leaves of bands within reach; pairs
    of boxes, then pairs of points, are discarded by the summed minima.
-4. Survivors are verified on whole sets. Only connection counts: `STAR_ROUNDS` rounds first compare all points of a tree
-   with one of them, and pairs that are connected already are not asked for again. No link between classes is lost.
+4. Survivors are verified on whole sets. Only connection counts: `STAR_ROUNDS` rounds first compare the points of a tree
+   with one of them, at first the same in many trees, then another one in each large tree. Pairs that are connected
+   already are not asked for again; leaves are packed by class, so that whole leaves drop out. No link between classes is
+   lost.
 
 Words are split at ASCII white space after lower-casing A-Z; fewer than five words are one shingle. Null text and texts
 without words are empty sets, linked with nothing, each a class of its own. A class is named by its smallest key; null keys
@@ -39,8 +41,11 @@ HASH_SEED = 42
 PERCENT = 80
 GROUPS = 256  # keeps strangers of some thousand words apart; longer ones go on to the whole sets
 CROWD = 32
-STAR_ROUNDS = 2
-PACKED_GROUPS = 16  # coordinates that sort the points of a tree
+SHARED = 3
+KEY_BYTES = 100  # of a key in a broadcast table, at most
+MET_BITS = 27  # 16 MB of bits, whatever the corpus
+STAR_ROUNDS = 3
+BOX_GROUPS = 32  # the groups of a count vector, taken together, in which boxes are kept
 BAND = 1.12  # two bands up lie all sizes within the reach of 1 / 0.8
 OUTLINE = (
     StructType()
@@ -66,12 +71,17 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def entries_of(n: int) -> int:
-    """In how many first tokens a set of n must share one with any set that it links with."""
-    return n - -(-PERCENT * n // 100) + 1 if n else 0
+    """Among how many first tokens a set of n shares `SHARED` with any set that it links with."""
+    return min(n, n - -(-PERCENT * n // 100) + SHARED)
+
+
+def _overlap(n: Column) -> Column:
+    """Tokens that a set of n has in common with any set that it links with, at least."""
+    return F.ceil(n * PERCENT / F.lit(100)).cast("long")
 
 
 def _entries(n: Column) -> Column:
-    return n - F.ceil(n * PERCENT / F.lit(100)).cast("long") + 1
+    return F.least(n, n - _overlap(n) + SHARED)
 
 
 def _region(n: Column) -> Column:
@@ -146,7 +156,7 @@ class _Join:
         shared = early.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
         shared = stored(shared, "shared")
         crowds = shared.filter(F.col("size") > CROWD).select("token")
-        crowds = broadcast_if_small(crowds, 16 * crowds.count())
+        crowds = broadcast_if_small(crowds, KEY_BYTES * crowds.count())
         short = (
             early.join(crowds, "token", "left_semi")
             .groupBy("node", "n")
@@ -169,12 +179,15 @@ class _Join:
             shared.filter(F.col("size") <= CROWD)
             .select("token")
             .union(entered.filter("not common").select("token"))
-            .distinct()
         )
-        met = stored(met, "met")
+        # A bit set by chance lets a token in that nobody else has; its tree has one point.
+        place = F.col("token").bitwiseAND((1 << MET_BITS) - 1)
+        bits = stored(row_bitmaps(met.select(place.alias("row")).distinct()), "met")
         others = (
-            early.join(broadcast_if_small(met, 16 * met.count()), "token", "left_semi")
-            .join(broadcast_if_small(short, 16 * short.count()), "node", "left_anti")
+            with_bit(early.withColumn("row", place), bits)
+            .filter("bit = 1")
+            .join(crowds, "token", "left_anti")
+            .join(broadcast_if_small(short, KEY_BYTES * short.count()), "node", "left_anti")
             .select("token", "node", "n")
         )
         return stored(others.union(entered.select("token", "node", "n")), "postings")
@@ -186,8 +199,7 @@ class _Join:
             return self.staged.select(F.col("row").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "counts")])
 
         near = (
-            pairs.distinct()
-            .join(point("a"), "a")
+            pairs.join(point("a"), "a")
             .join(point("b"), "b")
             .filter(_reaches(_least_sum("counts_a", "counts_b"), F.col("n_a") + F.col("n_b")))
             .select("a", "b")
@@ -207,15 +219,20 @@ class _Join:
 
     def boxed_pairs(self, crowded: DataFrame) -> DataFrame:
         """Pairs of large trees: packed into leaves, met by boxes, then by points."""
-        counts = self.staged.select(F.col("row").alias("node"), "counts")
+        width = GROUPS // BOX_GROUPS
+        together = F.transform(
+            F.sequence(F.lit(0), F.lit(BOX_GROUPS - 1)),
+            lambda i: F.aggregate(F.slice("counts", i * width + 1, width), F.lit(0), lambda total, x: total + x),
+        )
+        counts = self.staged.select(F.col("row").alias("node"), together.alias("counts"))
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND)))
         points = crowded.join(counts, "node").withColumn("band", band)
-        order = ["token", "band", *[F.col("counts")[i] for i in range(PACKED_GROUPS)], "node"]
+        order = ["token", "band", "root", *[F.col("counts")[i] for i in range(BOX_GROUPS)], "node"]
         packed = points.repartitionByRange(*order).sortWithinPartitions(*order)
         leaf = F.floor(F.monotonically_increasing_id() / CROWD)
         packed = stored(packed.select("token", "band", leaf.alias("leaf"), "node", "n", "root", "counts"), "packed")
         leaves = packed.groupBy("token", "band", "leaf").agg(
-            F.array(*[F.max(F.col("counts")[i]) for i in range(GROUPS)]).alias("box"),
+            F.array(*[F.max(F.col("counts")[i]) for i in range(BOX_GROUPS)]).alias("box"),
             F.min("n").alias("least"),
             F.max("n").alias("most"),
             F.min("root").alias("low"),
@@ -223,6 +240,7 @@ class _Join:
             F.collect_list(F.struct("node", "n", "root", "counts")).alias("points"),
         )
         leaves = stored(leaves, "leaves")
+        size = packed.count() * (8 * BOX_GROUPS + KEY_BYTES)
         boxes = ("leaf", "box", "least", "most", "low", "high")
 
         def side(name: str, band: Column) -> DataFrame:
@@ -239,6 +257,9 @@ class _Join:
             .filter(_reaches(_least_sum("box_a", "box_b"), F.col("least_a") + F.col("least_b")))
             .select("token", "band_a", "leaf_a", "band_b", "leaf_b")
         )
+        # Few bytes, much to compare: dealt to all tasks.
+        tasks = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        meeting = meeting.repartition(tasks, "token", "leaf_a", "leaf_b")
         for name in "ab":
             content = leaves.select(
                 "token",
@@ -247,10 +268,12 @@ class _Join:
                 *[F.col(f"points.{f}").alias(f"{f}_{name}") for f in ("node", "n", "root")],
                 F.flatten("points.counts").alias(f"counts_{name}"),
             )
-            meeting = meeting.join(content, ["token", f"band_{name}", f"leaf_{name}"])
+            meeting = meeting.join(broadcast_if_small(content, size), ["token", f"band_{name}", f"leaf_{name}"])
         near = _point_pairs(*[f"{f}_{name}" for name in "ab" for f in ("node", "n", "root", "counts")])
-        return meeting.select(F.explode(near).alias("pair")).select(
-            F.col("pair")[0].alias("a"), F.col("pair")[1].alias("b")
+        return (
+            meeting.select(F.explode_outer(near).alias("pair"))
+            .filter(F.col("pair").isNotNull())
+            .select(F.col("pair")[0].alias("a"), F.col("pair")[1].alias("b"))
         )
 
     def classes(self, nodes: DataFrame) -> DataFrame:
@@ -262,8 +285,11 @@ class _Join:
                 now = postings.join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
             last = turn == STAR_ROUNDS
             mixed = now.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-            mixed = mixed.filter(F.col("low") < F.col("high")).filter(F.col("size") > (1 if last else 2))
+            least = 1 if last else CROWD if turn else 2
+            mixed = mixed.filter(F.col("low") < F.col("high")).filter(F.col("size") > least)
             now = stored(now.join(mixed.select("token", "size"), "token"), "open")
+            if turn and not last and now.isEmpty():
+                continue
             pairs = self._all_pairs(now) if last else _star_pairs(now, turn)
             found = self.verified(pairs)
             links = found if links is None else links.union(found)
@@ -271,22 +297,34 @@ class _Join:
         return tree
 
     def _all_pairs(self, now: DataFrame) -> DataFrame:
-        leaf = now.filter(F.col("size") <= CROWD)
+        large = now.filter(F.col("size") > CROWD)
+        # Points of large trees may share tokens there as well: their pairs are not judged by the number of small trees.
+        busy = stored(large.select("node").distinct(), "busy")
+        busy = broadcast_if_small(busy.withColumn("busy", F.lit(True)), KEY_BYTES * busy.count())
+        leaf = now.filter(F.col("size") <= CROWD).join(busy, "node", "left")
         left, right = (
-            leaf.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "root")]) for side in "ab"
+            leaf.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "root", "busy")]) for side in "ab"
         )
         apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
         met = left.join(right, "token").filter(apart & _fits(F.col("n_a"), F.col("n_b")))
-        small = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        return small.union(self.boxed_pairs(now.filter(F.col("size") > CROWD).drop("size")))
+        enough = F.least(F.lit(SHARED), _overlap(F.greatest("n_a", "n_b")))
+        small = (
+            met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
+            .agg(F.count("*").alias("trees"), F.max(F.coalesce("busy_a", "busy_b", F.lit(False))).alias("busy"))
+            .filter(F.col("busy") | (F.col("trees") >= enough))
+            .select("a", "b")
+        )
+        return small.union(self.boxed_pairs(large.drop("size"))).distinct()
 
 
 def _star_pairs(now: DataFrame, turn: int) -> DataFrame:
-    """Each point with one of its tree, another one in each turn."""
-    drawn = F.struct(F.xxhash64("node", F.lit(turn)), *[F.col(c).alias(c) for c in ("node", "n", "root")])
+    """Each point with one of its tree, another one in each turn. No pair is lost for good here; strangers are left out."""
+    key = F.xxhash64("node", "token", F.lit(turn)) if turn else F.xxhash64("node")
+    drawn = F.struct(key, *[F.col(c).alias(c) for c in ("node", "n", "root")])
     hubs = now.groupBy("token").agg(F.min(drawn).alias("hub"))
     met = now.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & _fits(F.col("n"), F.col("hub.n")))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+    pairs = met.groupBy(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+    return pairs.agg(F.count("*").alias("trees")).filter(F.col("trees") >= (1 if turn else SHARED)).select("a", "b")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -111,6 +111,6 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("n", [1, 2, 4, 5, 9, 10, 100, 101, 4999])
 def test_entries_are_as_many_as_the_overlap_allows(spark, n):
     least = min(both for both in range(1, n + 1) if 10 * both >= 8 * n)
-    assert ngram_join.entries_of(n) == n - least + 1
+    assert ngram_join.entries_of(n) == min(n, n - least + ngram_join.SHARED)
     row = spark.range(1).select(ngram_join._entries(ngram_join.F.lit(n).cast("long")).alias("p")).first()
-    assert row.p == n - least + 1
+    assert row.p == ngram_join.entries_of(n)
