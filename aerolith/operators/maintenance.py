@@ -14,6 +14,7 @@ from aerolith.session import TARGET_PARTITION_BYTES, materialise
 from aerolith.sources import tables
 from aerolith.sources.columns import quoted
 from aerolith.sources.files import delete_path
+from aerolith.sources.tables import data_files
 
 # Defaults of the maintenance run.
 RETENTION_HOURS = 168
@@ -27,22 +28,6 @@ def time_travel(spark: SparkSession, path: str, version: int) -> DataFrame:
     return tables.read_table(spark, path, version)
 
 
-def data_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every data file with its folder, size and age; lists names only, opens no file."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(f"{path}/data")
-        .select(
-            "path",
-            F.regexp_extract("path", r"/data/(load_id=.*)/[^/]+$", 1).alias("folder"),
-            F.col("length").alias("bytes"),
-            F.col("modificationTime").alias("modified_at"),
-        )
-    )
-
-
 def _live_files(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame:
     live = entries.select("year", "month", tables.entry_folder().alias("folder"))
     return data_files(spark, path).join(live, "folder")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -25,7 +26,7 @@ from aerolith.operators.batches import only_batch
 from aerolith.session import materialise, stage
 from aerolith.sources import tables
 from aerolith.sources.columns import match_columns
-from aerolith.sources.files import INGEST_ORDER, delete_path
+from aerolith.sources.files import INGEST_ORDER, delete_path, path_exists
 
 # Limits of a plausible arrival delay and the delay that counts as late, in minutes.
 MIN_ARR_DELAY = -120.0
@@ -306,6 +307,34 @@ def append_new_batches(spark: SparkSession, path: str, rows: DataFrame) -> DataF
     )
 
 
+LINEAGE_SCHEMA = (
+    "year int, month int, bronze_path string, bronze_version int, silver_version int, recipe string"
+)
+
+
+def silver_lineage(spark: SparkSession, silver_path: str) -> DataFrame:
+    """Which Bronze version each Silver batch was built from: one row per build of a batch."""
+    folder = f"{silver_path}/lineage"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], LINEAGE_SCHEMA)
+    return spark.read.schema(LINEAGE_SCHEMA).parquet(folder)
+
+
+def _unchanged(spark: SparkSession, bronze_path: str, silver_path: str, recipe: str) -> DataFrame:
+    """Batches with the Bronze version (`bronze_version`) that the present Silver table has them from.
+
+    Builds from another Bronze table, by another recipe, or from before Silver was overwritten do not count.
+    """
+    since = tables.last_overwrite(spark, silver_path)
+    return (
+        silver_lineage(spark, silver_path)
+        .filter((F.col("bronze_path") == bronze_path) & (F.col("recipe") == recipe))
+        .filter(F.lit(False) if since is None else F.col("silver_version") >= since)
+        .groupBy("year", "month")
+        .agg(F.max("bronze_version").alias("bronze_version"))
+    )
+
+
 def build_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -314,15 +343,26 @@ def build_silver(
     order_by: Sequence[str] | None = None,
     max_year: int | None = None,
     null_safe_key: bool = False,
+    changed_only: bool = False,
 ) -> DataFrame:
     """Bring Silver up to date with Bronze: new batches are added, known ones are merged again.
 
+    With `changed_only` a batch whose rows in Bronze have not changed since Silver was built from them is left alone,
+    neither read nor written. What a batch was built from is recorded after its commit, so a run that dies in between
+    builds the batch again.
+
     Returns one row: input_rows, output_rows, written_mode, version. The mode is the strongest one
     used (merge, append, overwrite), `skip` when no batch had a row to write.
     """
-    source = tables.live_batches(spark, bronze_path)
+    recipe = json.dumps({"order_by": None if order_by is None else list(order_by), "null_safe_key": null_safe_key})
+    source = tables.changed_batches(spark, bronze_path)
     if max_year is not None:
         source = source.filter(F.col("year") <= int(max_year))
+    if changed_only:
+        built = _unchanged(spark, bronze_path, silver_path, recipe)
+        source = source.join(built, list(PARTITIONS), "left").filter(
+            F.col("bronze_version").isNull() | (F.col("bronze_version") < F.col("changed_version"))
+        )
     known = tables.live_batches(spark, silver_path).select(*PARTITIONS, F.lit(True).alias("known"))
     todo = materialise(source.join(known, list(PARTITIONS), "left"))
     planned = todo.agg(
@@ -363,6 +403,14 @@ def build_silver(
     version = tables.latest_version(spark, silver_path)
     if not modes and version is None:
         raise ValueError("Silver output is empty; nothing was written.")
+    if version is not None and planned.new + planned.known:
+        todo.select(
+            *PARTITIONS,
+            F.lit(bronze_path).alias("bronze_path"),
+            F.col("changed_version").alias("bronze_version"),
+            F.lit(version).cast("int").alias("silver_version"),
+            F.lit(recipe).alias("recipe"),
+        ).coalesce(1).write.mode("append").parquet(f"{silver_path}/lineage")
     mode = next((m for m in ("merge", "append", "overwrite") if m in modes), "skip")
     return spark.range(1).select(
         F.lit(planned.rows).cast("bigint").alias("input_rows"),

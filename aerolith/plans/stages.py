@@ -133,6 +133,7 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--max-year", type=int)
     silver.add_argument("--order-by", nargs="+")
     silver.add_argument("--null-safe-key", action="store_true")
+    silver.add_argument("--changed-only", action="store_true", help="leave months alone that Bronze has not changed")
 
     for name in ("analytics", "features"):
         gold = stage(name, f"rebuild the {name} table")
@@ -187,6 +188,7 @@ def _run_stage(spark: SparkSession, args: argparse.Namespace) -> DataFrame | str
             order_by=args.order_by,
             max_year=args.max_year,
             null_safe_key=args.null_safe_key,
+            changed_only=args.changed_only,
         )
     if args.stage in ("analytics", "features"):
         size_for(spark, folder_bytes(spark, args.silver or silver))

@@ -377,6 +377,15 @@ SELECT * FROM target t WHERE year > 1997 OR flight_key IS NULL
   count(*) AS output_rows, 'merge' AS written_mode,
   CAST(count(DISTINCT year * 100 + month) FILTER (year <= 1997)
        + count(DISTINCT year * 100 + month) - 1 AS INT) AS version FROM silver""",
+        ),
+        "silver_changed_months": with_(
+            SILVER,
+            select="""SELECT year, month, count(*) AS rows,
+  CAST(CASE WHEN year = 1997 AND month = 3 THEN 2 ELSE 1 END AS BIGINT) AS writes,
+  'merge' AS late_mode,
+  (SELECT count(*) FROM flights_raw WHERE Year = 1997 AND Month = 3) AS late_input_rows,
+  'skip' AS last_mode, CAST(0 AS BIGINT) AS last_input_rows
+FROM silver GROUP BY year, month""",
         ),
         # Gold
         "gold_analytics": with_(SILVER, select=ANALYTICS),

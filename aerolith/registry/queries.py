@@ -415,6 +415,40 @@ def silver_build_result(spark, sf_dir):
     return silver.build_silver(spark, bronze_path, path, order_by=ARRIVAL_ORDER)
 
 
+@query
+def silver_changed_months(spark, sf_dir):
+    """How often each month was written in four builds of changed months only: late rows of one month come before the
+    second, new years before the third, a new layout of Bronze before the fourth, which has nothing to do."""
+    raw = flights_raw(spark, sf_dir)
+    late = (F.col("Year") == SPLIT_YEAR) & (F.col("Month") == 3) & (F.col("l_linenumber") > 2)
+    bronze_path, path = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+
+    def build():
+        return silver.build_silver(spark, bronze_path, path, order_by=ARRIVAL_ORDER, changed_only=True).first()
+
+    bronze.append_batches(spark, raw.filter(~late), bronze_path, max_year=SPLIT_YEAR)
+    build()
+    bronze.append_batches(spark, raw.filter(late), bronze_path, late_rows=True)
+    second = build()
+    bronze.append_batches(spark, raw, bronze_path)
+    build()
+    maintenance.compact(spark, bronze_path)
+    fourth = build()
+    writes = tables.commits(spark, path).groupBy("year", "month").agg(F.count("*").alias("writes"))
+    return (
+        tables.live_batches(spark, path)
+        .join(writes, ["year", "month"])
+        .withColumns(
+            {
+                "late_mode": F.lit(second.written_mode),
+                "late_input_rows": F.lit(second.input_rows).cast("bigint"),
+                "last_mode": F.lit(fourth.written_mode),
+                "last_input_rows": F.lit(fourth.input_rows).cast("bigint"),
+            }
+        )
+    )
+
+
 # Gold -----------------------------------------------------------------------------------------
 
 

@@ -29,6 +29,7 @@ from aerolith.sources.files import path_exists
 APPEND = "append"  # adds a batch
 OVERWRITE = "overwrite"  # supersedes the whole table
 MERGE = "merge"  # supersedes the batch of the same year and month
+LOAD_ID = "load_id"  # partition column of the data folder
 REWRITE = "rewrite"  # like MERGE, same rows in a different layout
 EVOLVE = "evolve"  # changes the schema only
 _BATCH_REPLACING = (MERGE, REWRITE)
@@ -173,21 +174,72 @@ def entry_folder() -> Column:
     return F.array_join(parts, "/")
 
 
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every data file with its folder, size and age; lists names only, opens no file."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(f"{path}/data")
+        .select(
+            "path",
+            F.regexp_extract("path", r"/data/(load_id=.*)/[^/]+$", 1).alias("folder"),
+            F.col("length").alias("bytes"),
+            F.col("modificationTime").alias("modified_at"),
+        )
+    )
+
+
+def require_folders(spark: SparkSession, path: str, entries: DataFrame) -> None:
+    """Fail when a folder of the entries is gone: a scan that prunes folders would not miss it."""
+    wanted = entries.filter("rows > 0").select(entry_folder().alias("folder"))
+    gone = wanted.join(data_files(spark, path).select("folder"), "folder", "left_anti")
+    if first := gone.agg(F.min("folder")).first()[0]:
+        raise FileNotFoundError(f"[PATH_NOT_FOUND] {path}/data/{first} was deleted, by vacuum or otherwise.")
+
+
 def read_entries(
     spark: SparkSession, path: str, entries: DataFrame, schema: T.StructType
 ) -> DataFrame:
     """Rows of the given commit entries, with the partition columns available for pruning.
 
-    Only folder names come to the driver: one per batch, as in any partition listing.
+    All loads are one scan with `load_id` as a partition column. A semi-join with the entries, one row per
+    batch, keeps the live ones: its broadcast side prunes the folders when the query runs. To the driver comes how
+    the entries are partitioned, one row for every way (a table has one unless it was overwritten).
     """
-    folders = [row.folder for row in entries.select(entry_folder().alias("folder")).collect()]
-    if not folders:
+    layouts = [row.partition_by or [] for row in entries.select("partition_by").distinct().collect()]
+    parts = [_read_layout(spark, path, entries, schema, layout) for layout in layouts]
+    if not parts:
         return spark.createDataFrame([], schema)
-    return (
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows
+
+
+def _read_layout(
+    spark: SparkSession, path: str, entries: DataFrame, schema: T.StructType, layout: Sequence[str]
+) -> DataFrame:
+    """Rows of the entries that are partitioned by these columns; folders of other layouts are not listed."""
+    below = f"{quoted_in_glob(layout[0])}=*" if layout else "*.parquet"
+    scanned = (
         spark.read.schema(schema)
         .option("basePath", f"{path}/data")
-        .parquet(*[f"{path}/data/{folder}" for folder in folders])
+        .parquet(f"{path}/data/{LOAD_ID}=*/{below}")
+    )
+    batch = dict(zip(layout, ("year", "month"), strict=False))
+    same = F.coalesce("partition_by", F.array().cast("array<string>")) == F.array(*map(F.lit, layout)).cast("array<string>")
+    live = entries.filter(same).select(
+        F.col("load_id").alias(LOAD_ID), *[F.col(of).alias(name) for name, of in batch.items()]
     )
+    return scanned.join(F.broadcast(live.distinct()), [LOAD_ID, *layout], "left_semi").drop(
+        *([] if LOAD_ID in schema.names else [LOAD_ID])
+    )
+
+
+def quoted_in_glob(name: str) -> str:
+    """A column name as it stands in the folders of its partitions, safe in a path pattern."""
+    return "".join(c if c.isalnum() or c == "_" else "?" for c in name)
 
 
 def read_table(
@@ -196,6 +248,8 @@ def read_table(
     """A table at a version, or only those of its (year, month) batches that `batches` lists."""
     found = snapshot(spark, path, version)
     entries = found.entries
+    if version is not None:
+        require_folders(spark, path, entries)  # what the newest version uses is never vacuumed
     if batches is not None:
         entries = entries.join(batches.select("year", "month"), ["year", "month"], "left_semi")
     return read_entries(spark, path, entries, found.schema).select(*quoted(found.schema.names))
@@ -206,6 +260,28 @@ def live_batches(spark: SparkSession, path: str) -> DataFrame:
     return batch_totals(live_entries(spark, path))
 
 
+def changed_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Live batches with their rows and `changed_version`, the newest version that brought them other rows.
+
+    New layouts of the same rows (compaction, clustering) do not count.
+    """
+    found = find_snapshot(spark, path)
+    if found is None:
+        return spark.createDataFrame([], "year int, month int, rows bigint, changed_version int")
+    changes = (
+        commits(spark, path)
+        .filter((F.col("commit_version") <= found.version) & ~F.col("mode").isin(REWRITE, EVOLVE))
+        .groupBy("year", "month")
+        .agg(F.max("commit_version").alias("changed_version"))
+    )
+    return batch_totals(found.entries).join(changes, ["year", "month"])
+
+
+def last_overwrite(spark: SparkSession, path: str) -> int | None:
+    """The newest version that replaced a table as a whole."""
+    return commits(spark, path).filter(F.col("mode") == OVERWRITE).agg(F.max("commit_version")).first()[0]
+
+
 def batch_totals(entries: DataFrame) -> DataFrame:
     """Rows per (year, month) of commit entries."""
     return (

@@ -3,10 +3,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.operators import bronze, silver
+from aerolith.operators import bronze, maintenance, silver
 from aerolith.plans.inspect import plan_text
 from aerolith.session import materialise
 from aerolith.sources import tables
+from aerolith.sources.files import delete_path
 from tests.conftest import rows_of
 
 ORDER = ["seq"]
@@ -151,6 +152,44 @@ def test_first_build_of_several_batches_appends(spark, flights, folder):
     assert tuple(result) == (2, 2, "append", 1)
 
 
+def test_only_changed_months_are_built_again(spark, flights, folder):
+    bronze_path, path, first = stored(spark, folder, flights({}, {"month": 2}, {"month": 4, "cancelled": 1}), changed_only=True)
+    assert tuple(first) == (3, 2, "append", 1)
+
+    def again(**options):
+        return tuple(silver.build_silver(spark, bronze_path, path, order_by=ORDER, changed_only=True, **options).first())
+
+    assert again() == (0, 0, "skip", 1)  # the month without a usable row is not tried again either
+    bronze.append_batches(spark, flights({"month": 2, "flight_num": "late"}), bronze_path, late_rows=True)
+    assert again() == (2, 2, "merge", 2)
+    bronze.append_batches(spark, flights({"month": 3}), bronze_path)
+    assert again() == (1, 1, "append", 3)
+    maintenance.compact(spark, bronze_path)
+    assert again() == (0, 0, "skip", 3)
+    lineage = silver.silver_lineage(spark, path)
+    assert rows_of(lineage, "month", "bronze_version", "silver_version") == [(1, 0, 1), (2, 1, 1), (2, 3, 2), (3, 4, 3), (4, 2, 1)]
+    assert rows_of(tables.read_table(spark, path), "month", "flight_num") == [(1, "10"), (2, "10"), (2, "late"), (3, "10")]
+
+
+def test_other_recipes_sources_and_overwritten_tables_build_all_months(spark, flights, folder):
+    source = flights({}, {"month": 2})
+    bronze_path, path, _ = stored(spark, folder, source, changed_only=True)
+    build = silver.build_silver
+    other = build(spark, bronze_path, path, order_by=ORDER, changed_only=True, null_safe_key=True).first()
+    assert (other.input_rows, other.written_mode) == (2, "merge")
+    moved = folder("bronze")
+    bronze.append_batches(spark, source, moved)
+    assert build(spark, moved, path, order_by=ORDER, changed_only=True).first().written_mode == "merge"
+    january = materialise(tables.read_table(spark, path).filter("month = 1"))
+    tables.overwrite_table(january, path, silver.PARTITIONS)
+    got = build(spark, bronze_path, path, order_by=ORDER, changed_only=True).first()
+    assert (got.input_rows, got.written_mode) == (2, "merge")
+    assert rows_of(tables.read_table(spark, path), "month") == [(1,), (2,)]
+    # A run that dies before its lineage is written builds its months again.
+    delete_path(spark, f"{path}/lineage")
+    assert build(spark, bronze_path, path, order_by=ORDER, changed_only=True).first().written_mode == "merge"
+
+
 def test_empty_output(spark, flights, folder):
     bronze_path = folder("bronze")
     bronze.append_batches(spark, flights({"cancelled": 1}), bronze_path)

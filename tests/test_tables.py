@@ -47,6 +47,30 @@ def test_filters_reach_partitions_and_files(spark, folder):
     assert rows_of(late) == [("a",)]
 
 
+def test_live_folders_are_picked_while_the_query_runs(spark, folder):
+    """No list of folders: the entries prune load, year and month of one scan."""
+    path = folder()
+    tables.append_load(batch_rows(spark, (2018, 1, "a", 1.0), (2019, 1, "b", 2.0)), path, PARTS)
+    silver.upsert(spark, path, materialise(batch_rows(spark, (2018, 1, "a", 9.0))))
+    table = tables.read_table(spark, path)
+    assert "dynamicpruning" in plan_text(table).lower()
+    assert rows_of(table, "flight_key", "v") == [("a", 9.0), ("b", 2.0)]
+    assert {r.v for r in tables.read_table(spark, path, 0).collect()} == {1.0, 2.0}
+
+
+def test_other_layouts_of_the_past_are_not_in_the_way(spark, folder):
+    path = folder()
+    rows = batch_rows(spark, (2018, 1, "a", 1.0), (2018, 2, "b", 2.0))
+    tables.overwrite_table(rows, path)
+    tables.overwrite_table(rows, path, PARTS)
+    assert rows_of(tables.read_table(spark, path)) == rows_of(rows) == rows_of(tables.read_table(spark, path, 0))
+    tables.overwrite_table(rows.filter("month = 2"), path)
+    assert rows_of(tables.read_table(spark, path), "flight_key") == [("b",)]
+    nothing = folder("nothing")
+    tables.overwrite_table(rows.filter("false"), nothing, PARTS)
+    assert tables.commits(spark, nothing).isEmpty() or tables.read_table(spark, nothing).count() == 0
+
+
 def test_compaction_merges_files_and_keeps_rows(spark, folder):
     path = folder()
     for i in range(4):
