@@ -46,6 +46,7 @@ KEY_BYTES = 100  # of a key in a broadcast table, at most
 MET_BITS = 27  # 16 MB of bits, whatever the corpus
 STAR_ROUNDS = 3
 BOX_GROUPS = 32  # the groups of a count vector, taken together, in which boxes are kept
+MOST = (1 << 15) - 1  # a count of a point in a tree; points with more are left to the whole sets
 BAND = 1.12  # two bands up lie all sizes within the reach of 1 / 0.8
 OUTLINE = (
     StructType()
@@ -130,7 +131,8 @@ def _point_pairs(
         nodes_a, sizes_a, roots_a, counts_a, nodes_b, sizes_b, roots_b, counts_b, strict=True
     ):
         ca, cb = np.reshape(ca, (len(na), -1)), np.reshape(cb, (len(nb), -1))
-        common = np.minimum(ca[:, None, :], cb[None, :, :]).sum(axis=2, dtype=np.int64)
+        common = np.array([np.minimum(point, cb).sum(axis=1, dtype=np.int64) for point in ca])
+        common[(ca >= MOST).any(axis=1)] = common[:, (cb >= MOST).any(axis=1)] = 1 << 40
         small, large = np.minimum(sa[:, None], sb[None, :]), np.maximum(sa[:, None], sb[None, :])
         near = ((100 + PERCENT) * common >= PERCENT * (small + large)) & (100 * small >= PERCENT * large)
         at = np.argwhere(near & (ra[:, None] != rb[None, :]))
@@ -224,23 +226,24 @@ class _Join:
             F.sequence(F.lit(0), F.lit(BOX_GROUPS - 1)),
             lambda i: F.aggregate(F.slice("counts", i * width + 1, width), F.lit(0), lambda total, x: total + x),
         )
-        counts = self.staged.select(F.col("row").alias("node"), together.alias("counts"))
+        fine = F.transform("counts", lambda c: F.least(c, F.lit(MOST)).cast("smallint"))
+        counts = self.staged.select(F.col("row").alias("node"), together.alias("counts"), fine.alias("fine"))
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND)))
         points = crowded.join(counts, "node").withColumn("band", band)
         order = ["token", "band", "root", *[F.col("counts")[i] for i in range(BOX_GROUPS)], "node"]
         packed = points.repartitionByRange(*order).sortWithinPartitions(*order)
         leaf = F.floor(F.monotonically_increasing_id() / CROWD)
-        packed = stored(packed.select("token", "band", leaf.alias("leaf"), "node", "n", "root", "counts"), "packed")
+        packed = stored(packed.select("token", "band", leaf.alias("leaf"), "node", "n", "root", "counts", "fine"), "packed")
         leaves = packed.groupBy("token", "band", "leaf").agg(
             F.array(*[F.max(F.col("counts")[i]) for i in range(BOX_GROUPS)]).alias("box"),
             F.min("n").alias("least"),
             F.max("n").alias("most"),
             F.min("root").alias("low"),
             F.max("root").alias("high"),
-            F.collect_list(F.struct("node", "n", "root", "counts")).alias("points"),
+            F.collect_list(F.struct("node", "n", "root", "fine")).alias("points"),
         )
         leaves = stored(leaves, "leaves")
-        size = packed.count() * (8 * BOX_GROUPS + KEY_BYTES)
+        size = packed.count() * (2 * GROUPS + KEY_BYTES)
         boxes = ("leaf", "box", "least", "most", "low", "high")
 
         def side(name: str, band: Column) -> DataFrame:
@@ -266,7 +269,7 @@ class _Join:
                 F.col("band").alias(f"band_{name}"),
                 F.col("leaf").alias(f"leaf_{name}"),
                 *[F.col(f"points.{f}").alias(f"{f}_{name}") for f in ("node", "n", "root")],
-                F.flatten("points.counts").alias(f"counts_{name}"),
+                F.flatten("points.fine").alias(f"counts_{name}"),
             )
             meeting = meeting.join(broadcast_if_small(content, size), ["token", f"band_{name}", f"leaf_{name}"])
         near = _point_pairs(*[f"{f}_{name}" for name in "ab" for f in ("node", "n", "root", "counts")])

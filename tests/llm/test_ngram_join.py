@@ -93,6 +93,21 @@ def test_crowds_templates_passages_and_chains(spark, monkeypatch, crowd, stars):
     assert report(spark, rows) == wanted and len({c for _, _, c in wanted}) < len(rows) - 40
 
 
+def test_capped_counts_do_not_part_points(monkeypatch):
+    """Where a count is at its cap the summed minima say nothing."""
+    import numpy as np
+    import pandas as pd
+
+    def pairs(most):
+        monkeypatch.setattr(ngram_join, "MOST", most)
+        counts = np.minimum(np.array([[9, 1], [9, 1], [5, 5]]), most).ravel()
+        one = [pd.Series([np.array(x)]) for x in ([1, 2, 3], [10, 10, 10], [1, 2, 3], counts)]
+        return [tuple(p) for p in ngram_join._point_pairs.func(*one, *one)[0]]
+
+    assert set(pairs(100)) == {(1, 2)}
+    assert set(pairs(6)) == {(1, 2), (1, 3), (2, 3)}
+
+
 def test_odd_texts(spark):
     long = " ".join(words(random.Random(5), 120_000, 10**6))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one Two"), (5, "ONE two"), (6, "one two three"), (None, "one two")]
