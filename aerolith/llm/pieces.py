@@ -39,8 +39,9 @@ from aerolith.llm.common import Remembered, column, ship_package, whole_row
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 REMEMBERED_PARTS = 160_000
-REMEMBERED_PAIRS = 100_000
+REMEMBERED_PAIRS = 300_000
 REMEMBERED_LENGTH = 64  # longer parts are not kept
+NONE = -1  # no piece
 COUNTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -66,23 +67,31 @@ class PieceBpe:
         self.bytes_of |= {str(i).encode(): " ⁇ ".encode() for i in ids if model.is_unknown(i)}
         self.text_id = {piece: str(i) for piece, i in self.id_of.items()}
         # A piece that merging its own text does not give can never be in a result.
-        self.automaton = ahocorasick.Automaton()
         self.edges: dict[str, tuple[list, list] | None] = {}
         for piece in self.id_of:
             merges: list[tuple[int, str, str]] = []
             if self.merge(piece, merges) == [piece]:
-                self.automaton.add_word(piece, len(piece))
                 self.edges[piece] = self._edges(piece, merges)
+        # Pieces that can be in a result, by number.
+        self.usable = list(self.edges)
+        self.number = {piece: number for number, piece in enumerate(self.usable)}
+        self.length = list(map(len, self.usable))
+        self.ids = [self.text_id[piece] for piece in self.usable]
+        self.shorter = list(map(self._shorter, self.usable))
+        self.automaton = ahocorasick.Automaton()
+        for piece, number in self.number.items():
+            self.automaton.add_word(piece, number)
         self.automaton.make_automaton()
-        self.shorter = {piece: self._shorter(piece) for piece in self.edges}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # For each piece, as far as asked: of another and its shorter rivals, the first that may follow it.
+        self.follows: list[dict[int, int]] = [{} for _ in self.usable]
+        self.asked = 0
         # Ids of texts with a space mark before them, and of texts as they stand.
         self.marked = Remembered(self._after_space, REMEMBERED_PARTS, REMEMBERED_LENGTH)
         self.bare = Remembered(self._as_it_stands, REMEMBERED_PARTS, REMEMBERED_LENGTH)
 
-    def _shorter(self, piece: str) -> str | None:
-        """The longest other piece that the piece starts with."""
-        return next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.edges), None)
+    def _shorter(self, piece: str) -> int:
+        """The number of the longest other piece that the piece starts with, NONE without one."""
+        return next((self.number[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.number), NONE)
 
     def _edges(self, piece: str, merges: list[tuple[int, str, str]]) -> tuple[list, list] | None:
         """What stands at the left and at the right end of a piece while it is merged, each with the score
@@ -151,65 +160,79 @@ class PieceBpe:
                     return False
         return True
 
-    def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.meet(left, right)
-        return known
-
-    def backtrack(self, part: str) -> list[str]:
-        """Pieces of a part that has only characters of the vocabulary and no run of space marks."""
-        size, shorter = len(part), self.shorter
-        longest = [1] * size
-        for end, length in self.automaton.iter(part):  # the longest match of a place comes last
-            longest[end + 1 - length] = length
-        if longest[0] == size:
-            return [part]
-        known, compatible = self.pairs.get, self.compatible
+    def compatible(self, left: int, right: int) -> int:
+        """The first of `right` and its shorter rivals that may follow `left`."""
+        if self.asked >= REMEMBERED_PAIRS:
+            self.asked = 0
+            for known in self.follows:
+                known.clear()
+        self.asked += 1
+        fits = right
+        while fits != NONE and not self.meet(self.usable[left], self.usable[fits]):
+            fits = self.shorter[fits]
+        self.follows[left][right] = fits
+        return fits
+
+    def backtrack(self, part: str) -> list[int]:
+        """Numbers of the pieces of a part that has only characters of the vocabulary and no run of space marks."""
+        size, length, shorter = len(part), self.length, self.shorter
+        longest = [0] * size
+        for end, number in self.automaton.iter(part):  # the longest match of a place comes last
+            longest[end + 1 - length[number]] = number
+        follows = self.follows
         failed = None
-        pieces: list[str] = []
-        place, piece, last = 0, part[: longest[0]], ""
+        found: list[int] = []
+        place, piece, known = 0, longest[0], None
         while True:
-            end = place + len(piece)
-            if not (failed and failed[end >> 3] >> (end & 7) & 1):
-                fits = known((last, piece)) if last else True
-                if fits or fits is None and compatible(last, piece):
-                    pieces.append(piece)
+            if known is not None:  # not at the start
+                fits = known.get(piece)
+                piece = self.compatible(found[-1], piece) if fits is None else fits
+            if piece != NONE:
+                end = place + length[piece]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    found.append(piece)
                     if end == size:
-                        return pieces
-                    place, last = end, piece
-                    piece = part[end : end + longest[end]]
+                        return found
+                    place, known = end, follows[piece]
+                    piece = longest[end]
                     continue
-            rival = shorter[piece]
-            while rival is None:
+                piece = shorter[piece]
+            while piece == NONE:
                 failed = failed or bytearray((size >> 3) + 1)
                 failed[place >> 3] |= 1 << (place & 7)
-                taken = pieces.pop()
-                place -= len(taken)
-                rival = shorter[taken]
-            last = pieces[-1] if pieces else ""
-            piece = rival
+                taken = found.pop()
+                place -= length[taken]
+                piece = shorter[taken]
+            known = follows[found[-1]] if found else None
 
     def encode_part(self, part: str) -> str:
         """Ids of a part without cuts, joined by commas."""
+        whole = self.number.get(part)
+        if whole is not None:
+            return self.ids[whole]
         if len(part) == 1 and part not in self.characters:
             return ",".join([str(self.byte_ids[b]) for b in part.encode("utf-8", "surrogatepass")])
-        pieces = self.merge(part) if SPACE * 2 in part else self.backtrack(part)
-        return ",".join([self.text_id[p] for p in pieces])
+        if SPACE * 2 in part:
+            return ",".join([self.text_id[p] for p in self.merge(part)])
+        return ",".join(map(self.ids.__getitem__, self.backtrack(part)))
+
+    def uncut(self, text: str) -> bool:
+        """Whether a text need not be cut: letters of the vocabulary alone, and ASCII or not many."""
+        letters = text.isalpha() and (len(text) <= REMEMBERED_LENGTH or text.isascii())
+        return letters and self.characters.issuperset(text)
 
     def cut(self, text: str) -> list[str]:
         """The parts of a text that no piece reaches out of; not all of them where there is nothing but letters."""
-        if text.isalpha() and text.isascii() and self.characters.issuperset(text):
+        if self.uncut(text):
             return [text]
         neighbours = self.neighbours
+        if text[-2:] not in neighbours and self.uncut(text[:-1].removeprefix(SPACE)):
+            return [text[:-1], text[-1]]  # a word and its punctuation
         cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in neighbours]
         return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
     def _after_space(self, text: str) -> str:
-        if text.isalpha() and text.isascii() and self.characters.issuperset(text):
+        if self.uncut(text):
             return self.encode_part(SPACE + text)
         first, *others = self.cut(SPACE + text)
         if not others:
