@@ -16,6 +16,7 @@ Terms and windows depend on the benchmark alone; they are broadcast only while t
 within the limit, and otherwise joined by shuffle. Joins on documents are keyed by row and
 position, so one document or one common passage spreads over many tasks.
 
+Long items take rows in proportion to their words: a place is copied once per window it lies in.
 Null or wordless texts have no words, no hits and no items. Items without words or without id match
 nothing that is listed: a null item_id still marks words as hit but is not counted. Repeated item ids count
 once; repeated documents are reported one by one. Empty tables give empty results, an empty benchmark
@@ -101,12 +102,13 @@ class PositionalIndex:
     def _anchors(self) -> DataFrame:
         """The two rarest places of every window that can occur, each pair once."""
         size = F.least("length", F.lit(WINDOW))
+        first = F.greatest(F.lit(0), F.col("at") - size + 1)  # of the windows that a place lies in
+        last = F.least("at", F.col("length") - size)
         place = F.struct("at", "term", "postings")
         windows = (
-            self.item_terms.groupBy("item", "length")
-            .agg(F.sort_array(F.collect_list(place)).alias("places"))
-            .select("item", "places", size.alias("size"), F.explode(F.sequence(F.lit(1), F.col("length") - size + 1)).alias("start"))
-            .select("item", F.slice("places", F.col("start"), F.col("size")).alias("places"))
+            self.item_terms.select("item", "at", "term", "postings", F.explode(F.sequence(first, last)).alias("start"))
+            .groupBy("item", "start")
+            .agg(F.sort_array(F.collect_list(place)).alias("places"))  # no more than WINDOW
             .filter(~F.exists("places", lambda p: p["postings"].isNull()))
         )
         by_rarity = F.sort_array(
@@ -151,8 +153,8 @@ class PositionalIndex:
         found = stored(self.alignments(), "alignments")
         places = self.item_terms.select("item", F.col("at").alias("place"), "term", "length")
         expected = (
-            found.join(broadcast_if_small(places, self.item_terms.count() * BYTES_PER_TERM), "item")
-            .filter(F.abs(F.col("place") - F.col("at")) < WINDOW)
+            found.withColumn("place", F.explode(F.sequence(F.col("at") - (WINDOW - 1), F.col("at") + (WINDOW - 1))))
+            .join(broadcast_if_small(places, self.item_terms.count() * BYTES_PER_TERM), ["item", "place"])
             .select("row", "item", "shift", "place", "term", "length", (F.col("shift") + F.col("place")).alias("pos"))
             .distinct()
         )

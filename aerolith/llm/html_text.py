@@ -11,7 +11,9 @@ An article with nothing decided is all text; outside an article what has no deci
 no article.
 
 Null or empty html gives an empty text. Pages are taken whole, unclosed and truncated tags are tolerated, and
-repeated pages are treated one by one.
+repeated pages are treated one by one. The time is linear in the page, however broken it is: open elements are found by
+name, an end tag that is missing is looked for once, and after `TOLERATED` tags whose quotes never close
+quotes no longer hide a `>`.
 """
 
 from __future__ import annotations
@@ -71,12 +73,14 @@ ao com da do dos e em foi mais mas na nas no nos não os para pela por quando se
 MAX_LINK_SHARE = 0.35
 SHORT = 70
 LONG = 200
+TOLERATED = 16
 STOP_SHARE = 0.2
 
 TAG = re.compile(
-    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z))""",
+    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z))""",
     re.DOTALL,
 )
+BROKEN_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)()()())", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 WORD = re.compile(r"[^\W\d_]+")
 SPACES = re.compile(r"\s+")
@@ -131,6 +135,17 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     linked = 0
     articles = 0
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of a name
+    articles_at: list[int] = []
+    unended: set[str] = set()  # names of raw elements without another end tag
+    pattern, broken = TAG, 0
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            name = stack.pop().name
+            open_at[name].pop()
+            if name in ARTICLE:
+                articles_at.pop()
 
     def flush() -> None:
         nonlocal linked
@@ -144,7 +159,7 @@ def blocks_of(page: str) -> list[Block]:
 
     place = 0
     while place < len(page):
-        tag = TAG.search(page, place)
+        tag = pattern.search(page, place)
         text = page[place : tag.start() if tag else len(page)]
         if text:
             parts.append(text)
@@ -154,6 +169,9 @@ def blocks_of(page: str) -> list[Block]:
             break
         place = tag.end()
         name = tag[2] or tag[5]
+        if tag[5]:
+            broken += 1
+            pattern = BROKEN_TAG if broken >= TOLERATED else TAG
         if name is None:
             continue  # comment or declaration
         name = name.lower()
@@ -162,12 +180,11 @@ def blocks_of(page: str) -> list[Block]:
         if closing:
             if name in BLOCK:
                 flush()
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if stack[depth].name in ARTICLE and name not in ("body", "html", "article", "main"):
-                    break  # a stray tag inside an article closes nothing around it
+            depths = open_at.get(name)
+            around = name in ("body", "html", "article", "main")
+            # A stray tag inside an article closes nothing around it.
+            if depths and (around or not articles_at or articles_at[-1] <= depths[-1]):
+                close(depths[-1])
             continue
         if name == "br":
             parts.append(" ")
@@ -176,25 +193,29 @@ def blocks_of(page: str) -> list[Block]:
             flush()
             # What opens a block ends an open paragraph, and an item the one before it.
             if stack[-1].name == "p" or (name == stack[-1].name and name in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                stack.pop()
+                close(len(stack) - 1)
             elif any(x.name == "p" for x in stack[-4:]):
-                while stack.pop().name != "p":
-                    pass
+                close(open_at["p"][-1])
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, place)
+            end = None if name in unended else re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, place)
+            if end is None:
+                unended.add(name)
             place = end.end() if end else (len(page) if name in ("script", "style") else place)
             continue
         if name in VOID or attributes.endswith("/"):
             continue
         top = stack[-1]
-        if name == "article" and top.excluded and not any(x.name in ARTICLE for x in stack):
+        if name == "article" and top.excluded and not articles_at:
             # Menus and headers left open end where the article starts.
-            del stack[1:]
+            close(1)
             top = stack[-1]
         article = top.article
         if name in ARTICLE and not top.excluded and not article:
             articles += 1
             article = articles
+        open_at.setdefault(name, []).append(len(stack))
+        if name in ARTICLE:
+            articles_at.append(len(stack))
         stack.append(
             _Open(
                 name,

@@ -15,14 +15,15 @@ Both count tables are whole and stay DataFrames: the parts of each distinct name
 counts of each token, come by join. A name that is not made of known words altogether stays whole.
 
 A null url, or one without `://`, has an empty host and path, fits no rule and is judged by the class priors
-alone: allow. Empty tables give empty results; repeated pages are judged one by one.
+alone: allow. Empty tables give empty results; repeated pages are judged one by one. Urls may be of any length: substrings
+are listed stretch by stretch, and words of more than `LONG_WORD` letters are found by their heads.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -56,6 +57,8 @@ sports story student teacher travel university weather wiki world writing
 """.split()
 )
 COMMON_HOST_WORDS = frozenset("www m com org net example".split())  # say nothing about a site
+LONG_WORD = 32  # letters; longer words are looked up by their head
+STRETCH = 4096  # letters of a name whose substrings are listed at a time
 SEED_COUNT = 50.0  # at least, in the word table and in the class counts
 SMOOTHING = 0.5
 SEPARATORS = re.compile(r"[^a-z]+")
@@ -93,15 +96,20 @@ class Words:
 
     def split(self, name: str) -> list[str]:
         """The likeliest known words that make up a name, or the name itself."""
+        sizes = sorted({len(w) for w in self.logs if len(w) <= LONG_WORD}, reverse=True)
+        ends: dict[int, list[tuple[int, float]]] = {}  # where long words end in the name, and start
+        for word, log in self.logs.items():
+            at = name.find(word) if len(word) > LONG_WORD else -1
+            while at >= 0:
+                ends.setdefault(at + len(word), []).append((at, log))
+                at = name.find(word, at + 1)
         best: list[tuple[float, int]] = [(0.0, 0)]
-        longest = max(map(len, self.logs), default=1)
         for end in range(1, len(name) + 1):
-            first = max(0, end - longest)
             options = [
-                (best[start][0] + self.logs.get(name[start:end], -math.inf), -start)
-                for start in range(first, end)
+                (best[end - n][0] + self.logs.get(name[end - n : end], -math.inf), n - end) for n in sizes if n <= end
             ]
-            score, start = max(options)
+            options += [(best[start][0] + log, -start) for start, log in ends.get(end, ())]
+            score, start = max(options, default=(-math.inf, 0))
             best.append((score, -start))
         if best[-1][0] == -math.inf:
             return [name]
@@ -143,20 +151,51 @@ def known_words(parts: DataFrame) -> DataFrame:
     return counts.select("word", (F.log("n") - F.lit(total)).alias("log"))
 
 
+def substrings(lengths: Sequence[int]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For `mapInPandas`: from name and id to the id with all substrings of these lengths, stretch by stretch."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids: list[int] = []
+        found: list[str] = []
+        reach = max(lengths, default=0)
+
+        def rows() -> pd.DataFrame:
+            made = pd.DataFrame({0: pd.Series(ids, dtype="int64"), 1: pd.Series(found, dtype="object")})
+            ids.clear()
+            found.clear()
+            return made
+
+        for batch in batches:
+            for number, name in zip(batch["id"], batch["name"], strict=True):
+                for first in range(0, len(name), STRETCH):
+                    stretch = name[first : first + STRETCH + reach - 1]
+                    starts = range(min(STRETCH, len(stretch)))
+                    inside = {stretch[s : s + n] for n in lengths for s in starts if s + n <= len(stretch)}
+                    ids.extend([number] * len(inside))
+                    found.extend(inside)
+                    if len(ids) >= STRETCH * 16:
+                        yield rows()
+        yield rows()
+
+    return listed
+
+
 def split_names(found: DataFrame, words: DataFrame) -> DataFrame:
     """`name`, `parts` for all distinct names: their likeliest words."""
-    lengths = sorted(r[0] for r in words.select(F.length("word")).distinct().collect())
-    inside = (
-        found.select("name", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
-        .filter(F.col("size") <= F.length("name"))
-        .select("name", "size", F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)).alias("start"))
-        .select("name", F.col("name").substr(F.col("start"), F.col("size")).alias("word"))
-        .distinct()
-    )
+    sizes = words.select(F.length("word").alias("n")).filter(F.col("n") <= LONG_WORD).distinct()
+    lengths = sorted(r[0] for r in sizes.collect())  # at most LONG_WORD numbers
+    numbered = stored(found.select("name", F.monotonically_increasing_id().alias("id")), "numbered")
+    known = numbered.mapInPandas(substrings(lengths), "id long, word string").join(words, "word")
+    # A long word lies in a name only where its head does.
+    longer = words.filter(F.length("word") > LONG_WORD).withColumn("head", F.substring("word", 1, LONG_WORD))
+    heads = numbered.filter(F.length("name") > LONG_WORD).mapInPandas(substrings([LONG_WORD]), "id long, head string")
+    inside = heads.distinct().join(longer, "head").join(numbered, "id").filter(F.col("name").contains(F.col("word")))
     known = (
-        inside.join(words, "word")
-        .groupBy("name")
-        .agg(F.collect_list(F.struct("word", "log")).alias("known"))
+        known.select("id", "word", "log")
+        .union(inside.select("id", "word", "log"))
+        .groupBy("id")
+        .agg(F.collect_set(F.struct("word", "log")).alias("known"))
+        .join(numbered, "id")
         .select("name", F.transform("known", lambda k: k["word"]).alias("words"), F.transform("known", lambda k: k["log"]).alias("logs"))
     )
 

@@ -13,7 +13,8 @@ No more than one record is held at a time.
 
 Null html counts as an empty payload, a null url leaves the target out. An empty table gives no archive
 and no rows. Archives lie in the shared folder of the cluster (local, HDFS or object store paths that
-pyarrow can open).
+pyarrow can open); a path without scheme lies where Spark would look for it, in the default file system. The columns of
+key, url and body are written, others are not. `report` deletes its archives once they are read.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ from urllib.parse import quote
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import row_bitmaps, ship_package, stored, with_bit
 from aerolith.session import scratch_path
+from aerolith.sources.files import delete_path, hadoop_path
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32 * 1024 * 1024
@@ -51,10 +53,19 @@ RECORD = "record_id string, page_id long, record_type string, refers_to_record s
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path in it."""
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    """File system and path in it. Hadoop's names of S3 are taken for S3."""
+    scheme, found, rest = path.partition(":")
+    if not found or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with the scheme of the file system in which Spark would look for it."""
+    path, file_system = hadoop_path(spark, folder)
+    return file_system.makeQualified(path).toString()
 
 
 def record_id(page_id: int | None, row: int) -> str:
@@ -231,6 +242,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
         revisits.select("*", F.lit(None).cast("string").alias("payload"), F.lit("revisit").alias("record_type"))
     )
     date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    folder = qualified(pages.sparkSession, folder)
     system, where = opened(folder)
     system.create_dir(where, recursive=True)
 
@@ -292,6 +304,7 @@ def report(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     folder = scratch_path(pages.sparkSession, "archives")
     records = stored(read_archives(write_archives(pages, folder), payloads=False), "records")
+    delete_path(pages.sparkSession, folder)
     responses = records.filter("record_type = 'response'")
     common = ("page_id", "payload_bytes", "payload_digest", "record_type")
     revisits = records.filter("record_type = 'revisit'").join(

@@ -88,3 +88,11 @@ def test_no_python_in_the_plan(spark, sf_dir):
 
     plan = registry.op2_benchmark_decontamination(spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_items(spark):
+    draw = random.Random(4)
+    words = [f"w{draw.randint(0, 5000)}" for _ in range(200_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[5000:5010])), (3, " ".join(words[5000:5009]))]
+    got = {r[0]: r for r in found(spark, docs, [(7, " ".join(words))])}
+    assert [got[i][1:4] for i in (1, 2, 3)] == [(200_000, 200_000, 1), (10, 10, 1), (9, 0, 0)]

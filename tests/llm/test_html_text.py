@@ -47,3 +47,14 @@ def test_rows_with_nulls_and_clashing_columns(spark):
     assert sorted((r.text, r.n_chars) for r in html_text.report(pages).collect()) == [("", 0), ("", 0), ("Hi", 2)]
     assert html_text.with_text(pages).filter("doc.text = 't'").count() == 3
     assert html_text.report(pages.limit(0)).count() == 0
+
+
+def test_large_broken_pages_take_linear_time():
+    for unit in ("<div>", "<title>", '<a "x>y" ', "<a", "<", "<p>", "<b><article>", "</span>"):
+        assert isinstance(html_text.main_text(unit * (1_000_000 // len(unit))), str)
+    assert html_text.main_text("<div>" * 100_000 + "</span>" * 100_000 + "deep") == "deep"
+    assert html_text.main_text("<div><article>" + "<b>" * 100_000 + "</div>" * 100_000 + "<p>deep") == "deep"
+
+
+def test_stray_tags_in_an_article_close_nothing_around_it():
+    assert html_text.main_text(f"<div><article><p>{STORY}</div><p>more</article><p>© x") == f"{STORY}\nmore"

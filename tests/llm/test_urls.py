@@ -81,3 +81,31 @@ def test_words_of_the_tail_and_long_words_are_known(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.verdict for r in urls.report(pages).collect()}
     assert [got[i] for i in (3, 4, 5)] == ["block", "block", "allow"]
+
+
+def test_splits_with_long_words_equal_all_substrings():
+    long = "abc" * 20
+    logs = {"a": -3.0, "b": -3.0, "c": -3.0, "abc": -4.0, long: -5.0, long + "a": -20.0, "ca": -1.0}
+
+    def plain(name):
+        best = [(0.0, 0)]
+        for end in range(1, len(name) + 1):
+            best.append(max((best[s][0] + logs.get(name[s:end], float("-inf")), -s) for s in range(end)))
+        words = []
+        while name and best[len(name)][0] > float("-inf"):
+            start = -best[len(name)][1]
+            words.insert(0, name[start:])
+            name = name[:start]
+        return words or [name]
+
+    for name in (long, long + "a", "x" + long, "abcab", long * 3 + "b", "ca" * 40, "x"):
+        assert urls.Words(logs).split(name) == plain(name)
+
+
+def test_long_urls(spark):
+    # A run of the path is a word itself, and one word is likelier than thousands; a host is only split.
+    path = "casino" * 30_000
+    extra = [f"https://plain.net/{path}", f"https://{path[:90_000]}.net/x", f"https://cheap{'ab' * 5000}.net/"]
+    got = urls.report(pages_of(spark, extra)).orderBy("page_id").collect()[len(ROWS) :]
+    assert [r.verdict for r in got] == ["allow", "block", "allow"]
+    assert got[0].path == "/" + path

@@ -83,3 +83,16 @@ def test_payloads_can_be_read_and_empty_tables(spark, folder):
     row = warc.read_archives(warc.write_archives(pages, folder())).first()
     assert (row.page_id, row.url, row.payload) == (1, "u", "<p>é</p>")
     assert warc.report(pages.limit(0)).count() == 0
+
+
+def test_folders_with_and_without_scheme(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(1, "http://a", "x" * 200, 5)], "page_id long, url string, html string, row int")
+    for folder in (f"{tmp_path}/plain", f"file:{tmp_path}/one", f"file://{tmp_path}/three"):
+        manifest = warc.write_archives(pages, folder)
+        assert manifest.first().path.startswith("file:/")
+        assert [r.page_id for r in warc.read_archives(manifest).collect()] == [1]
+    asked = []
+    monkeypatch.setattr(warc.fs, "FileSystem", type("Asked", (), {"from_uri": staticmethod(asked.append)}))
+    for path in ("s3a://bucket/x", "s3n://bucket/x", "s3://bucket/x", "hdfs://name:8020/x"):
+        warc.opened(path)
+    assert asked == ["s3://bucket/x"] * 3 + ["hdfs://name:8020/x"]
