@@ -106,6 +106,19 @@ def with_bit(staged: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
 
 
+_DROPS: list[Callable[[], None]] = []
+
+
+def only_mine(drop: Callable[[], None]) -> None:
+    """In a worker: forget what the operator before remembers, so that a reused worker holds the caches of one.
+
+    `drop` empties the caches of the caller.
+    """
+    while _DROPS and _DROPS[-1] != drop:
+        _DROPS.pop()()
+    _DROPS[:] = [drop]
+
+
 class Remembered(dict):
     """Results of a function, the recently used ones kept: about `limit` in two generations."""
 

@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, ship_package, stored, whole_row
+from aerolith.llm.common import column, only_mine, ship_package, stored, whole_row
 
 VOCABULARY = "piece_bpe_32k.model"
 UNDECIDED = "und"
@@ -41,6 +41,7 @@ UNKNOWN = 1e-7  # probability of a character outside the vocabulary, in every la
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"
 SUMMED_LENGTH = 32  # longer words are summed in logarithms, one by one
+WORDS_AT_ONCE = 4096  # summed side by side
 REMEMBERED_WORDS = 200_000
 BATCH = 256  # texts whose new words are summed together
 MIN_SCORE = 0.5
@@ -182,10 +183,10 @@ class Model:
         fresh = [w for w in words if w not in places] if again else words
         vocab = vocabulary(self.vocabulary_name)
         short = [w for w in fresh if len(w) < SUMMED_LENGTH]
-        if short:
-            lattice = _Lattice(vocab, short)
-            sums = lattice.forward(self.chance)
-            rows.append(np.log(sums[np.arange(len(short)), lattice.last]))
+        for first in range(0, len(short), WORDS_AT_ONCE):
+            part = short[first : first + WORDS_AT_ONCE]
+            lattice = _Lattice(vocab, part)
+            rows.append(np.log(lattice.forward(self.chance)[np.arange(len(part)), lattice.last]))
         long = [w for w in fresh if len(w) >= SUMMED_LENGTH]
         rows += [_long_word(vocab, w, self.chance)[None] for w in long]
         first = len(self.places)
@@ -336,6 +337,7 @@ def predicted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     @F.pandas_udf("lang_pred string, score double")
     def guess(texts: pd.Series) -> pd.DataFrame:
         key, *parts = sent.value
+        only_mine(_MODELS.clear)
         if key not in _MODELS:
             _MODELS.clear()
             _MODELS[key] = Model(*parts)

@@ -34,7 +34,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import Remembered, column, ship_package, whole_row
+from aerolith.llm.common import Remembered, column, only_mine, ship_package, whole_row
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -292,6 +292,7 @@ def sha256(text: str) -> str:
 
 
 def round_trip(texts: pd.Series, model: str) -> pd.DataFrame:
+    only_mine(_LOADED.clear)
     bpe, rows = load(model), []
     for text in texts:
         ids = bpe.encode(text or "")
