@@ -218,18 +218,21 @@ def silver_frame(
     return dedupe_keep_last(rows, [*PARTITIONS, "flight_key"], order_by).select(*SILVER_COLUMNS)
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], *, null_matches: bool = False
+) -> DataFrame:
     """Target with the source merged in: equal keys take the source row, the rest is added.
 
-    A null key equals nothing, so such rows stay on both sides. Columns only the target has keep
-    their value on update and are null on insert.
+    A null key equals nothing, so such rows stay on both sides; with `null_matches` it equals a null key. Columns only
+    the target has keep their value on update and are null on insert.
     """
     key_hash = F.xxhash64(*keys)  # leads the sort of the join, as in dedupe_keep_last
     t = target.withColumn("_key_hash", key_hash).alias("t")
     s = source.withColumns({"_key_hash": key_hash, "_in_source": F.lit(True)}).alias("s")
     same = F.col("t._key_hash") == F.col("s._key_hash")
     for key in keys:
-        same = same & (F.col(f"t.`{key}`") == F.col(f"s.`{key}`"))
+        left, right = F.col(f"t.`{key}`"), F.col(f"s.`{key}`")
+        same = same & (left.eqNullSafe(right) if null_matches else left == right)
     from_source = F.col("s._in_source")
     columns = [
         F.when(from_source, F.col(f"s.`{name}`")).otherwise(F.col(f"t.`{name}`")).alias(name)
@@ -241,16 +244,22 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def upsert(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str] = ("flight_key",)
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str] = ("flight_key",),
+    *,
+    null_matches: bool = False,
+    load_id: str | None = None,
 ) -> DataFrame:
     """Merge rows into a table, rewriting only the (year, month) batches they fall in.
 
     `source` is read twice and has to be stable (a staged frame or a table). Keys are compared within
-    their batch, which changes nothing as flight keys carry or hash year and month. Returns the rows
-    per batch of the source.
+    their batch, which changes nothing as flight keys carry or hash year and month. `null_matches` merges rows with a
+    null key like others (`merge_rows`). A `load_id` names the load. Returns the rows per batch of the source.
     """
     known_key = F.lit(True)
-    for key in keys:
+    for key in [] if null_matches else keys:
         known_key = known_key & F.col(key).isNotNull()
     per_key = source.groupBy(*PARTITIONS, *keys).agg(F.count("*").alias("rows"))
     touched = materialise(
@@ -268,9 +277,11 @@ def upsert(
     entries = current.entries.join(touched.select(*PARTITIONS), list(PARTITIONS), "left_semi")
     # Files from before a new column read as null there.
     target = tables.read_entries(spark, path, entries, schema)
-    merged = merge_rows(target.select(*schema.names), source, [*PARTITIONS, *keys])
+    merged = merge_rows(
+        target.select(*schema.names), source, [*PARTITIONS, *keys], null_matches=null_matches
+    )
     merged = tables.fit_schema(merged, schema)
-    load_id = tables.write_load(merged, path, PARTITIONS)
+    load_id = tables.write_load(merged, path, PARTITIONS, load_id=load_id)
     tables.commit(
         spark,
         path,
@@ -285,14 +296,16 @@ def upsert(
     return touched
 
 
-def append_new_batches(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+def append_new_batches(
+    spark: SparkSession, path: str, rows: DataFrame, *, load_id: str | None = None
+) -> DataFrame:
     """Add batches the table does not have: the first write creates it. Returns rows per batch."""
     current = tables.find_snapshot(spark, path)
     schema = rows.schema
     if current is not None:
         schema = tables.widened_schema(current.schema, schema)
         rows = tables.fit_schema(rows, schema)
-    load_id = tables.write_load(rows, path, PARTITIONS)
+    load_id = tables.write_load(rows, path, PARTITIONS, load_id=load_id)
     return tables.commit(
         spark,
         path,

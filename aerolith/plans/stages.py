@@ -91,7 +91,7 @@ def run_layers(
             ).count()
     columns = [
         F.lit(loaded[name]).cast("bigint").alias(name)
-        for name in ("source_rows", "skipped_rows", "rejected_rows")
+        for name in ("source_rows", "skipped_rows", "rejected_rows", "malformed_rows")
     ]
     for name, path in paths.items():
         live = tables.live_entries(spark, path).agg(F.sum("rows")).first()[0]

@@ -258,14 +258,18 @@ FROM flights_raw GROUP BY Year, Month"""
   (SELECT string_agg(CAST(y AS VARCHAR), ',' ORDER BY y)
    FROM (SELECT DISTINCT Year AS y FROM flights_raw WHERE Year > 1997)) AS years_written,
   count(*) AS source_rows, count(*) FILTER (Year > 1997) AS written_rows,
-  count(*) FILTER (Year <= 1997) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows,
+  count(*) FILTER (Year <= 1997) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows, CAST(0 AS BIGINT) AS malformed_rows,
   count(DISTINCT Year * 100 + Month) AS versions FROM flights_raw"""
         ),
         "bronze_reconcile": with_(
             select="""SELECT count(*) AS source_rows, count(*) AS written_rows,
-  CAST(0 AS BIGINT) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows,
+  CAST(0 AS BIGINT) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows, CAST(0 AS BIGINT) AS malformed_rows,
   count(DISTINCT Year * 100 + Month) AS versions,
   TRUE AS rows_match, TRUE AS has_version, TRUE AS versions_cover_years FROM flights_raw"""
+        ),
+        "bronze_quarantine": with_(
+            select="""SELECT CASE l_linenumber WHEN 4 THEN 'short' WHEN 5 THEN 'long' ELSE 'sound' END AS kind,
+  Year AS year, Month AS month, count(*) AS rows FROM flights_raw GROUP BY 1, 2, 3"""
         ),
         # Normalisation
         "resolve_columns": _normal("SELECT * FROM norm"),
@@ -370,6 +374,16 @@ FROM norm"""
 UNION ALL
 SELECT * FROM target t WHERE year > 1997 OR flight_key IS NULL
   OR NOT EXISTS (SELECT 1 FROM source s WHERE s.flight_key = t.flight_key)""",
+        ),
+        "silver_stream": with_(
+            later_delays("late_raw", 200),
+            silver_ctes("target", "late_raw"),
+            silver_ctes("source"),
+            select="""SELECT * FROM source WHERE year <= 1997
+UNION ALL
+SELECT * FROM target t WHERE NOT EXISTS (
+  SELECT 1 FROM source s WHERE s.year <= 1997 AND s.year = t.year AND s.month = t.month
+    AND s.flight_key IS NOT DISTINCT FROM t.flight_key)""",
         ),
         "silver_build_result": with_(
             SILVER,
@@ -602,7 +616,7 @@ FROM scores, (SELECT avg(arr_delay) AS mean FROM scores)""",
             FEATURES,
             f"mart AS ({ANALYTICS})",
             select="""SELECT (SELECT count(*) FROM flights_raw) AS source_rows,
-  CAST(0 AS BIGINT) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows,
+  CAST(0 AS BIGINT) AS skipped_rows, CAST(0 AS BIGINT) AS rejected_rows, CAST(0 AS BIGINT) AS malformed_rows,
   (SELECT count(*) FROM flights_raw) AS bronze_rows,
   (SELECT CAST(count(DISTINCT Year * 100 + Month) - 1 AS INT) FROM flights_raw) AS bronze_version,
   (SELECT count(*) FROM silver) AS silver_rows,

@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith import functions as fn
 from aerolith.ml import encoding, features, importance, metrics, models, runs, training
@@ -20,6 +21,7 @@ from aerolith.session import materialise, scratch_path
 from aerolith.sources import files, tables
 from aerolith.sources.columns import COLUMN_NAMES
 from aerolith.streaming.bronze_stream import stream_bronze
+from aerolith.streaming.silver_stream import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,6 +166,34 @@ def bronze_reset(spark, sf_dir):
     return batches.batch_counts(bronze.read_bronze(spark, path))
 
 
+@query
+def bronze_quarantine(spark, sf_dir):
+    """Rows per month of a CSV source loaded twice, some of whose records have too few or too many values."""
+    raw = flights_raw(spark, sf_dir)
+    source, path = scratch_path(spark, "flights.csv"), scratch_path(spark, "bronze")
+    number = F.col("l_linenumber")
+    for lines in (
+        raw.filter(~number.isin(4, 5)),
+        raw.filter(number == 4).select("Year", "Month", "DayofMonth"),
+        raw.filter(number == 5).select("*", F.lit("more"), F.lit("of it")),
+    ):
+        lines.write.mode("append").option("header", True).csv(source)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])
+    for _ in range(2):
+        scanned = files.scan_csv(spark, source, schema, malformed=True)
+        bronze.append_batches(spark, files.with_ingest_order(scanned, "csv"), path)
+    values = F.split("record", ",")
+    put_aside = bronze.read_quarantine(spark, path).select(
+        F.when(F.size(values) < len(raw.columns), "short").otherwise("long").alias("kind"),
+        values[0].cast("int").alias("year"),
+        values[1].cast("int").alias("month"),
+    )
+    loaded = bronze.read_bronze(spark, path).select(
+        F.lit("sound").alias("kind"), F.col("Year").alias("year"), F.col("Month").cast("int").alias("month")
+    )
+    return loaded.unionByName(put_aside).groupBy("kind", "year", "month").agg(F.count("*").alias("rows"))
+
+
 @query
 def stream_load(spark, sf_dir):
     """Two deliveries that share most months, and a call that finds nothing new."""
@@ -405,6 +435,20 @@ def silver_upsert(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query
+def silver_stream(spark, sf_dir):
+    """Three deliveries: all flights with delays too high, the true delays of some years, and those once more."""
+    folder = scratch_path(spark, "arrivals.parquet")
+    path, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "checkpoint")
+    raw = flights_raw(spark, sf_dir)
+    late = raw.withColumn("arr_delay", F.col("arr_delay") + 200)
+    corrected = raw.filter(F.col("Year") <= SPLIT_YEAR)
+    for arriving in (late, corrected, corrected):
+        arriving.orderBy(*ARRIVAL_ORDER).write.mode("append").parquet(folder)
+        stream_silver(spark, folder, path, checkpoint, raw.schema).awaitTermination()
+    return tables.read_table(spark, path)
+
+
 @query
 def silver_build_result(spark, sf_dir):
     """A rerun after more Bronze arrived: old batches merge, new ones are added."""

@@ -57,6 +57,11 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COMMIT_SCHEMA).parquet(folder)
 
 
+def is_committed(spark: SparkSession, path: str, load_id: str) -> bool:
+    """Whether a load of this name has become part of the table."""
+    return not commits(spark, path).filter(F.col(LOAD_ID) == load_id).isEmpty()
+
+
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """Newest version, counted from 0; None when there is no table."""
     return commits(spark, path).agg(F.max("commit_version")).first()[0]

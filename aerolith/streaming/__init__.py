@@ -1 +1 @@
-"""Loading Bronze from a folder that files keep arriving in."""
+"""Loading Bronze and Silver from a folder that files keep arriving in."""

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aerolith.operators.bronze import append_batches, check_load
-from aerolith.sources.files import source_format
+from aerolith.streaming.arrivals import on_arrival
 
 
 def stream_bronze(
@@ -28,26 +26,13 @@ def stream_bronze(
     has their month already. The load is named after checkpoint and micro-batch: one that is
     repeated after a failure finds its commit and writes nothing, or replaces what was not committed.
     Rows without a usable year or month fail the stream once the others are written; the next call goes on.
+    Malformed records of CSV files go to the table's quarantine.
     """
-    kind = file_format or source_format(folder)
-    reader = spark.readStream.format(kind).schema(schema)
-    if kind == "csv":
-        reader = reader.option("header", True)
-
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
-    def load(rows: DataFrame, batch_id: int) -> None:
-        if rows.isEmpty():
-            return
+    def load(rows: DataFrame, load_id: str) -> None:
         result = append_batches(
-            rows.sparkSession, rows, path, max_year=max_year, late_rows=True, load_id=f"s{stream}-{batch_id}"
+            rows.sparkSession, rows, path, max_year=max_year, late_rows=True, load_id=load_id
         )
         check_load(result)
 
-    return (
-        reader.load(folder)
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return on_arrival(spark, folder, checkpoint, schema, load, file_format=file_format)

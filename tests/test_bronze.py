@@ -2,6 +2,7 @@ import pytest
 
 from aerolith.operators import bronze, maintenance
 from aerolith.sources import tables
+from aerolith.sources.files import scan_source
 from tests.conftest import rows_of
 
 
@@ -104,3 +105,57 @@ def test_awkward_source_names(spark, flights, folder):
     maintenance.z_order(spark, path, ["origin", "month"])
     assert rows_of(bronze.read_bronze(spark, path)) == before
     assert len(before) == 4
+
+
+def csv_source(tmp_path, *lines):
+    path = tmp_path / "flights.csv"
+    path.write_text("\n".join(("year,month,origin,note", *lines)) + "\n")
+    return str(path)
+
+
+def load_result(spark, source, path):
+    return bronze.append_batches(spark, scan_source(spark, source, ingest_order=True), path)
+
+
+def load_csv(spark, source, path):
+    return load_result(spark, source, path).first()
+
+
+def test_malformed_records_are_put_aside_and_counted(spark, tmp_path, folder):
+    broken = ['2018,1', '2018,1,jfk,ok,extra,more', '2018,2,"open,ok', "junk", "junk"]
+    lines = ["2018,1,jfk,ok", *broken, "", '2018,2,"a,b",', ",,lax,undated"]
+    source, path = csv_source(tmp_path, *lines), folder()
+    row = load_csv(spark, source, path)
+    counted = (row.source_rows, row.written_rows, row.rejected_rows, row.malformed_rows)
+    assert counted == (8, 2, 1, 5)  # a blank line is no record
+    kept = bronze.read_quarantine(spark, path)
+    assert rows_of(kept, "record") == sorted((text,) for text in broken)
+    assert kept.filter("ingest_file LIKE '%flights.csv' AND ingest_row IS NOT NULL").count() == 5
+    table = bronze.read_bronze(spark, path)
+    assert rows_of(table, "year", "month", "origin", "note") == [(2018, "1", "jfk", "ok"), (2018, "2", "a,b", None)]
+    assert "ingest_malformed" not in table.columns
+
+
+def test_malformed_records_of_a_repeated_source_are_kept_once(spark, tmp_path, folder):
+    path = folder()
+    load_csv(spark, csv_source(tmp_path, "2018,1,jfk,ok", "short", "short"), path)
+    source = csv_source(tmp_path, "2018,1,jfk,ok", "short", "short", "2018,2,jfk,ok", "new,one")
+    row = load_csv(spark, source, path)
+    assert (row.source_rows, row.written_rows, row.skipped_rows, row.malformed_rows) == (5, 1, 1, 3)
+    bronze.check_load(load_result(spark, source, folder()))
+    assert rows_of(bronze.read_quarantine(spark, path), "record") == [("new,one",), ("short",), ("short",)]
+
+
+def test_source_of_malformed_records_alone(spark, tmp_path, folder):
+    path = folder()
+    with pytest.raises(ValueError, match="no row with a usable year"):
+        load_csv(spark, csv_source(tmp_path, "a", "b,c"), path)
+    assert rows_of(bronze.read_quarantine(spark, path), "record") == [("a",), ("b,c",)]
+    assert bronze.read_quarantine(spark, folder()).isEmpty()
+
+
+def test_malformed_records_pass_the_year_bound(spark, tmp_path, folder):
+    path = folder()
+    source = scan_source(spark, csv_source(tmp_path, "2018,1,jfk,ok", "2020,1,jfk,ok", "2020,1"), ingest_order=True)
+    row = bronze.append_batches(spark, source, path, max_year=2018).first()
+    assert (row.source_rows, row.written_rows, row.malformed_rows) == (2, 1, 1)
