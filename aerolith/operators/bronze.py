@@ -44,7 +44,7 @@ def batch_status(source: DataFrame, loaded: DataFrame) -> DataFrame:
     `loaded` lists the batches (`year`, `month`) a table already has. Rows without a usable year or
     month belong to no batch and are rejected; malformed records are put aside.
     """
-    known = loaded.select("year", "month", F.lit(True).alias("_known"))
+    known = F.broadcast(loaded.select("year", "month", F.lit(True).alias("_known")))  # one row per batch
     return (
         with_batch_columns(source)
         .groupBy(
@@ -105,8 +105,9 @@ def append_batches(
     )
     dated = F.col("batch_year").isNotNull() & F.col("batch_month").isNotNull()
     seen = Observation()
+    # One row per batch, broadcast: a shuffle would bring all rows without a batch together in one task.
     fresh = (
-        batched.join(done, list(BATCH_COLUMNS), "left")
+        batched.join(F.broadcast(done), list(BATCH_COLUMNS), "left")
         .observe(
             seen,
             F.count(F.lit(1)).alias("source"),
@@ -170,7 +171,7 @@ def _set_aside(spark: SparkSession, path: str, load_id: str, written: T.StructTy
         F.col(INGEST_MALFORMED).alias("record"),
         *[F.col(name) if placed else F.lit(None).alias(name) for name in INGEST_ORDER],
     )
-    if once and placed:
+    if once and placed and path_exists(spark, f"{path}/quarantine"):
         before = read_quarantine(spark, path).filter(F.col(tables.LOAD_ID) != load_id)
         records = records.join(before, ["record", INGEST_FILE], "left_anti")
     records = records.select("record", *[F.col(n).cast("string" if n == INGEST_FILE else "bigint") for n in INGEST_ORDER])

@@ -159,3 +159,19 @@ def test_malformed_records_pass_the_year_bound(spark, tmp_path, folder):
     source = scan_source(spark, csv_source(tmp_path, "2018,1,jfk,ok", "2020,1,jfk,ok", "2020,1"), ingest_order=True)
     row = bronze.append_batches(spark, source, path, max_year=2018).first()
     assert (row.source_rows, row.written_rows, row.malformed_rows) == (2, 1, 1)
+
+
+def test_rows_without_a_batch_do_not_meet_in_one_task(spark, flights, folder, monkeypatch):
+    """The batches a table has are looked up without a shuffle, which would send all null batches to one task."""
+    plans, write = [], bronze.tables.write_load
+
+    def watched(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return write(rows, *args, **options)
+
+    monkeypatch.setattr(bronze.tables, "write_load", watched)
+    path = folder()
+    for _ in range(2):
+        bronze.append_batches(spark, flights({"month": None}, {}), path)
+    bronze.batch_status(flights({}), bronze.tables.live_batches(spark, path))
+    assert plans and all("BroadcastHashJoin" in plan and "SortMergeJoin" not in plan for plan in plans)
