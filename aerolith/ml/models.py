@@ -27,6 +27,7 @@ TINY_PENALTY = 1e-5
 EARLY_STOP_ROWS = 10_000
 EARLY_STOP_GAIN = 1e-7
 WATCHING = "_watching"
+TASK_ROWS = 100_000  # training rows of one task, beyond which they are dealt to more tasks
 
 
 def linear_regression(train_rows: int, rounds: int):
@@ -102,6 +103,10 @@ class DelayModel:
         data = prepared.select(
             *columns, F.col(target).cast("double").alias(target), watching.alias(WATCHING)
         )
+        if train_rows > TASK_ROWS:
+            # Trees keep a number per slot of every row; a scan split of well-compressed files would hold too many rows.
+            parallel = prepared.sparkSession.sparkContext.defaultParallelism
+            data = data.repartition(max(parallel, -(-train_rows // TASK_ROWS)))
         fitted = pipeline.fit(data)
         if name == "logistic_regression":
             # Its training summary holds the session, which cannot be sent to tasks; a loaded model has none.

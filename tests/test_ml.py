@@ -288,3 +288,21 @@ def test_feature_frame_fills_and_prunes(spark, feature_df):
     assert row.dep_delay == 0.0
     assert gold.feature_frame(silver).columns == list(gold.FEATURE_COLUMNS)
     assert gold.feature_frame(silver.withColumn("arr_delay", F.lit(None).cast("double"))).isEmpty()
+
+
+def test_training_rows_are_dealt_to_more_tasks(feature_df, monkeypatch):
+    """However many rows a scan split holds, a task learns from a bounded number of them."""
+    parts, fit = [], models.Pipeline.fit
+
+    def watched(pipeline, data):
+        parts.append(data.rdd.getNumPartitions())
+        return fit(pipeline, data)
+
+    monkeypatch.setattr(models.Pipeline, "fit", watched)
+    monkeypatch.setattr(models, "TASK_ROWS", 20, raising=False)
+    rows = feature_df.coalesce(1)
+    encoder = encoding.FeatureEncoder.fit(rows)
+    prepared = materialise(encoder.prepare(rows))
+    n = prepared.count()
+    models.DelayModel.fit("gb_classifier", prepared, encoder, train_rows=n, rounds=1)
+    assert parts == [-(-n // 20)]
