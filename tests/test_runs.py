@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from aerolith.operators import bronze
 from aerolith.plans import inspect, stages
+from aerolith.registry import queries
 from aerolith.session import scan_bytes_for, shuffle_partitions_for, size_for
 from aerolith.sources import tables
 from aerolith.streaming.bronze_stream import stream_bronze
@@ -170,3 +171,11 @@ def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions_for(100 * 10**12, 1000) == 50_000
     assert scan_bytes_for(10**12) == 128 * 1024 * 1024
     assert scan_bytes_for(100 * 10**12) == 500_000_000
+
+
+@pytest.mark.parametrize("name", ["bronze_append", "bronze_idempotent_rerun"])
+def test_tables_behind_raw_flights_are_joined_once(spark, sf_dir, monkeypatch, name):
+    made, make = [], queries.flights_raw
+    monkeypatch.setattr(queries, "flights_raw", lambda *args: made.append(args) or make(*args))
+    assert queries.QUERIES[name](spark, sf_dir).count() > 0
+    assert len(made) == 1
