@@ -250,23 +250,28 @@ def upsert(
     keys: Sequence[str] = ("flight_key",),
     *,
     null_matches: bool = False,
+    deduplicated: bool = False,
     load_id: str | None = None,
 ) -> DataFrame:
     """Merge rows into a table, rewriting only the (year, month) batches they fall in.
 
     `source` is read twice and has to be stable (a staged frame or a table). Keys are compared within
     their batch, which changes nothing as flight keys carry or hash year and month. `null_matches` merges rows with a
-    null key like others (`merge_rows`). A `load_id` names the load. Returns the rows per batch of the source.
+    null key like others (`merge_rows`). Keys that repeat inside a batch are refused; `deduplicated` says that the source
+    comes from `silver_frame`, which leaves none, and saves the shuffle of all keys that looks for them. A `load_id`
+    names the load. Returns the rows per batch of the source.
     """
     known_key = F.lit(True)
     for key in [] if null_matches else keys:
         known_key = known_key & F.col(key).isNotNull()
-    per_key = source.groupBy(*PARTITIONS, *keys).agg(F.count("*").alias("rows"))
-    touched = materialise(
-        per_key.groupBy(*PARTITIONS).agg(
+    if deduplicated:
+        per_batch = source.groupBy(*PARTITIONS).agg(F.count("*").alias("rows"), F.lit(0).alias("repeated"))
+    else:
+        per_key = source.groupBy(*PARTITIONS, *keys).agg(F.count("*").alias("rows"))
+        per_batch = per_key.groupBy(*PARTITIONS).agg(
             F.sum("rows").alias("rows"), F.count_if(known_key & (F.col("rows") > 1)).alias("repeated")
         )
-    )
+    touched = materialise(per_batch)
     if touched.isEmpty():
         return touched.drop("repeated")
     if repeated := touched.agg(F.sum("repeated")).first()[0]:
@@ -407,7 +412,7 @@ def build_silver(
     if planned.known:
         staged, folder = stage(silver_of(todo.filter(F.col("known"))))
         try:
-            merged = written(upsert(spark, silver_path, staged))
+            merged = written(upsert(spark, silver_path, staged, deduplicated=True))
         finally:
             delete_path(spark, folder)
         output_rows += merged.rows

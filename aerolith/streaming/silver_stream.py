@@ -65,7 +65,7 @@ def merge_arrival(
         if tables.latest_version(spark, path) is None:
             append_new_batches(spark, path, staged, load_id=load_id)
         else:
-            upsert(spark, path, staged, null_matches=True, load_id=load_id)
+            upsert(spark, path, staged, null_matches=True, deduplicated=True, load_id=load_id)
     finally:
         delete_path(spark, folder)
     return True

@@ -235,3 +235,13 @@ def test_upsert_updates_inserts_and_leaves_other_batches(spark, flights, folder)
     again = materialise(build(corrected))
     silver.upsert(spark, path, again)
     assert rows_of(tables.read_table(spark, path), "flight_num", "month", "arr_delay") == expected
+
+
+def test_upsert_of_deduplicated_rows_gives_the_same_table(spark, flights, folder):
+    corrected = flights({"flight_num": "2", "arr_delay": 99.0}, {"flight_num": "4"}, {"dest": None})
+    got = []
+    for options in ({}, {"deduplicated": True}):
+        _, path, _ = stored(spark, folder, flights({"flight_num": "1"}, {"flight_num": "2"}, {"dest": None}))
+        touched = silver.upsert(spark, path, materialise(build(corrected)), **options)
+        got.append((rows_of(tables.read_table(spark, path)), rows_of(touched, "year", "month", "rows")))
+    assert got[0] == got[1]
