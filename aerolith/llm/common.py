@@ -64,7 +64,7 @@ def noting(folders: list[str]) -> Iterator[None]:
     try:
         yield
     finally:
-        _NOTED.remove(folders)
+        _NOTED[:] = [noted for noted in _NOTED if noted is not folders]  # another list may hold the same names
 
 
 def drop_unread(folders: list[str], reader: DataFrame) -> None:
@@ -77,6 +77,25 @@ def drop_unread(folders: list[str], reader: DataFrame) -> None:
     folders[:] = [folder for folder in folders if folder in read]
 
 
+# Shuffles go with the write that they served, and Python holds few rows at a time.
+SMALL_BATCH = 512
+_CLEANUP, _BATCH = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def lean(spark: SparkSession) -> Iterator[None]:
+    """Inside the block, for tables that are `stored` there, disk and Python memory hold what one write needs."""
+    before = {name: spark.conf.get(name) for name in (_CLEANUP, _BATCH)}
+    batch = int(before[_BATCH])
+    spark.conf.set(_CLEANUP, "true")
+    spark.conf.set(_BATCH, str(min(batch, SMALL_BATCH) if batch > 0 else SMALL_BATCH))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast a side whose measured size is within the limit; else leave the join to Spark."""
     return F.broadcast(df) if size <= limit else df

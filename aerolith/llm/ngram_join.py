@@ -33,7 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
-from aerolith.llm.common import broadcast_if_small, column, row_bitmaps, ship_package, stored, with_bit
+from aerolith.llm.common import (
+    broadcast_if_small,
+    column,
+    drop_unread,
+    lean,
+    noting,
+    row_bitmaps,
+    ship_package,
+    stored,
+    with_bit,
+)
 from aerolith.llm.components import roots
 
 SHINGLE_WORDS = 5
@@ -280,8 +290,11 @@ class _Join:
         )
 
     def classes(self, nodes: DataFrame) -> DataFrame:
-        """`node`, `root` of the nodes that have a link."""
-        postings, links, tree = self.postings(nodes), None, None
+        """`node`, `root` of the nodes that have a link. Working tables go as soon as nothing reads them any more."""
+        made: list[str] = []
+        with noting(made):
+            postings, links, tree = self.postings(nodes), None, None
+        drop_unread(made, postings)
         for turn in range(STAR_ROUNDS + 1):
             now = postings.withColumn("root", F.col("node"))
             if tree is not None:
@@ -290,13 +303,16 @@ class _Join:
             mixed = now.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
             least = 1 if last else CROWD if turn else 2
             mixed = mixed.filter(F.col("low") < F.col("high")).filter(F.col("size") > least)
-            now = stored(now.join(mixed.select("token", "size"), "token"), "open")
+            with noting(made):
+                now = stored(now.join(mixed.select("token", "size"), "token"), "open")
             if turn and not last and now.isEmpty():
                 continue
-            pairs = self._all_pairs(now) if last else _star_pairs(now, turn)
-            found = self.verified(pairs)
-            links = found if links is None else links.union(found)
-            tree = stored(roots(links), "roots")
+            with noting(made):
+                found = self.verified(self._all_pairs(now) if last else _star_pairs(now, turn))
+                links = found if links is None else links.union(found)
+                tree = stored(roots(links), "roots")
+            kept = tree.select("node") if last else postings.select("node").union(links.select("a")).union(tree.select("node"))
+            drop_unread(made, kept)
         return tree
 
     def _all_pairs(self, now: DataFrame) -> DataFrame:
@@ -333,7 +349,15 @@ def _star_pairs(now: DataFrame, turn: int) -> DataFrame:
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two stored tables that meet in `same`. Rows: `id`, `row`, `text`, `same`, `n`, `counts`, `first`. Sets with
     tokens: `same`, `node` (the row of its first text) and `component_id`."""
-    ship_package(docs.sparkSession)
+    spark, made = docs.sparkSession, []
+    ship_package(spark)
+    with lean(spark), noting(made):
+        staged, classes = _joined(docs, key, text)
+    drop_unread(made, staged.select("row").union(classes.select("node")))
+    return staged, classes
+
+
+def _joined(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     outlined = docs.select(
         column(key).alias("id"),
         F.monotonically_increasing_id().alias("row"),

@@ -1,10 +1,11 @@
+import os
 import random
 import re
 from itertools import combinations
 
 import pytest
 
-from aerolith.llm import ngram_join, registry
+from aerolith.llm import common, ngram_join, registry
 from tests.conftest import rows_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -129,3 +130,27 @@ def test_entries_are_as_many_as_the_overlap_allows(spark, n):
     assert ngram_join.entries_of(n) == min(n, n - least + ngram_join.SHARED)
     row = spark.range(1).select(ngram_join._entries(ngram_join.F.lit(n).cast("long")).alias("p")).first()
     assert row.p == ngram_join.entries_of(n)
+
+
+def test_working_tables_and_shuffles_go_once_read(spark, monkeypatch, tmp_path):
+    """While the join runs, no more lies on disk than its next step reads; Python gets few rows at a time."""
+    made, lying, settings = [], [], set()
+
+    def noted(session, name):
+        settings.add((session.conf.get(common._CLEANUP), session.conf.get(common._BATCH)))
+        lying.append({path.rpartition("/")[2] for path in made if os.path.exists(path)})
+        made.append(str(tmp_path / f"aerolith-{len(made)}" / name))
+        return made[-1]
+
+    before = spark.conf.get(common._CLEANUP), spark.conf.get(common._BATCH)
+    monkeypatch.setattr(common, "scratch_path", noted)
+    rows = crowds(3)
+    assert report(spark, rows) == plain(rows)
+    assert settings == {("true", str(common.SMALL_BATCH))}
+    assert (spark.conf.get(common._CLEANUP), spark.conf.get(common._BATCH)) == before
+    names = [path.rpartition("/")[2] for path in made]
+    opened = lying[names.index("open")]
+    assert "postings" in opened and not opened & {"shared", "short", "entered", "met", "wanted"}
+    assert not lying[-1] & {"postings", "open", "near", "members", "links", "packed", "leaves"}
+    left = {path.rpartition("/")[2] for path in made if os.path.exists(path)}
+    assert left == {"outlines", "classes"}
