@@ -36,12 +36,18 @@ def permutation_importance(
     `score` adds `predicted`; quality is R2 for delays and accuracy for the late flag. All rows of the test
     part are shuffled and scored, for all features in one job. A shuffle stays inside blocks of rows named by
     the first digits of their tickets, so no task holds more than a block: within a block, in order of
-    tickets, each row takes the feature's value of the row a fixed number of places further on.
+    tickets, each row takes the feature's value of the row a fixed number of places further on. Where `test` is
+    prepared, a feature's slot moves with its value, so that `score` need not look up any again.
     """
-    rows = test.select(*FEATURES, F.col(target).alias(target), ticket(target).alias("ticket"))
+    goes_with = {name: [c for c in (name, f"{name}_slot") if c in test.columns] for name in FEATURES}
+    moving = [(name, c) for name, columns in goes_with.items() for c in columns]
+    rows = test.select(*[c for _, c in moving], F.col(target).alias(target), ticket(target).alias("ticket"))
     digits = block_digits(test.count())
-    member = F.struct("ticket", *FEATURES, target)
-    blocks = rows.groupBy(F.substring("ticket", 1, digits).alias("block")).agg(
+    member = F.struct("ticket", *FEATURES, target, *[c for name, c in moving if c != name])
+    # Few bytes, much to score: a fixed number of tasks, else Spark would merge them by size.
+    tasks = int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("block", F.substring("ticket", 1, digits)).repartition(tasks, "block")
+    blocks = rows.groupBy("block").agg(
         F.sort_array(F.collect_list(member)).alias("members")
     )
     trials = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("places"))] + [
@@ -60,10 +66,8 @@ def permutation_importance(
         "trial.feature",
         "trial.places",
         *[
-            F.when(F.col("trial.feature") == name, F.col(f"pair.other.{name}"))
-            .otherwise(F.col(f"pair.own.{name}"))
-            .alias(name)
-            for name in FEATURES
+            F.when(F.col("trial.feature") == name, F.col(f"pair.other.{c}")).otherwise(F.col(f"pair.own.{c}")).alias(c)
+            for name, c in moving
         ],
         F.col(f"pair.own.{target}").alias(target),
     )

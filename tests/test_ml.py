@@ -306,3 +306,24 @@ def test_training_rows_are_dealt_to_more_tasks(feature_df, monkeypatch):
     n = prepared.count()
     models.DelayModel.fit("gb_classifier", prepared, encoder, train_rows=n, rounds=1)
     assert parts == [-(-n // 20)]
+
+
+def test_importance_of_prepared_rows_looks_up_no_slot_again(spark, feature_df, folder, monkeypatch):
+    """Test rows are prepared once; their shuffled copies are scored as they are, with the same result."""
+    train, test = ranking.time_split(feature_df)
+    encoder = encoding.FeatureEncoder.fit(train)
+    assert encoding.RARE in encoder.slots["route"]
+    model = models.DelayModel.fit("linear_regression", encoder.prepare(train), encoder, train_rows=train.count())
+    prepared = materialise(encoder.prepare(test))
+    again = importance.permutation_importance(model.score, prepared.select(test.columns), model.target).collect()
+    once = importance.permutation_importance(model.score_prepared, prepared, model.target).collect()
+    assert {r.feature for r in once} == set(features.FEATURES)
+    wanted = {r.feature: r.importance for r in again}
+    assert {r.feature: r.importance for r in once} == pytest.approx(wanted, abs=1e-12)
+    assert abs(wanted["route"]) > 0
+
+    path, calls, prepare = folder("features"), [], encoding.FeatureEncoder.prepare
+    tables.overwrite_table(feature_df, path, ("year", "month"))
+    monkeypatch.setattr(encoding.FeatureEncoder, "prepare", lambda *a: calls.append(a) or prepare(*a))
+    logged = training.train(spark, path, folder("runs"), models=["linear_regression"], experiment="once")
+    assert logged.count() == 1 and len(calls) == 2  # training rows, test rows
