@@ -108,19 +108,40 @@ def row_bitmaps(rows: DataFrame) -> DataFrame:
     )
 
 
+BITMAP_BYTES, PIECE_BYTES, WORD_BYTES = 4096, 256, 8
+
+
+def _bit_words(bitmaps: DataFrame) -> DataFrame:
+    """Bitmaps in pieces of `PIECE_BYTES`, as 64-bit words with the first byte on top: `bucket` (of the piece), `bits`."""
+    pieces = BITMAP_BYTES // PIECE_BYTES
+    at = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("at")
+    words = F.transform(
+        F.sequence(F.lit(0), F.lit(PIECE_BYTES // WORD_BYTES - 1)),
+        lambda i: F.conv(
+            F.hex(F.substring("bits", F.col("at") * PIECE_BYTES + i * WORD_BYTES + 1, F.lit(WORD_BYTES))), 16, -10
+        ).cast("long"),
+    )
+    return bitmaps.select("bucket", "bits", at).select(
+        (F.col("bucket") * pieces + F.col("at")).alias("bucket"), words.alias("bits")
+    )
+
+
 def with_bit(staged: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Adds `bit`, 1 for rows that are in the bitmaps. `bitmaps` must be stored.
 
     One bit per row is broadcast while all of them fit in the limit (500 million rows); beyond that
-    rows and bitmaps are joined by shuffle.
+    rows and bitmaps are joined by shuffle. Words are looked up in place: a whole bitmap as binary would be copied
+    for each row.
     """
     position = F.bitmap_bit_position("row")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(position / 8).cast("int") + 1, 1)), 16, 10)
-    bit = F.getbit(byte.cast("int"), (position % 8).cast("int"))
+    byte = F.floor(position / 8)
+    piece = F.bitmap_bucket_number("row") * (BITMAP_BYTES // PIECE_BYTES) + F.floor(byte / PIECE_BYTES)
+    word = F.get("bits", F.floor(byte % PIECE_BYTES / WORD_BYTES).cast("int"))
+    place = (WORD_BYTES - 1 - byte % WORD_BYTES) * 8 + position % 8
     return (
-        staged.withColumn("bucket", F.bitmap_bucket_number("row"))
-        .join(broadcast_if_small(bitmaps, 4096 * bitmaps.count()), "bucket", "left")
-        .withColumn("bit", F.coalesce(bit, F.lit(0)))
+        staged.withColumn("bucket", piece)
+        .join(broadcast_if_small(_bit_words(bitmaps), BITMAP_BYTES * bitmaps.count()), "bucket", "left")
+        .withColumn("bit", F.coalesce(F.getbit(word, place.cast("int")), F.lit(0)))
         .drop("bucket", "bits")
     )
 

@@ -154,3 +154,19 @@ def test_working_tables_and_shuffles_go_once_read(spark, monkeypatch, tmp_path):
     assert not lying[-1] & {"postings", "open", "near", "members", "links", "packed", "leaves"}
     left = {path.rpartition("/")[2] for path in made if os.path.exists(path)}
     assert left == {"outlines", "classes"}
+
+
+def test_bits_are_looked_up_in_place(spark, monkeypatch, tmp_path):
+    """Rows meet 64-bit words of a piece of a bitmap; a whole one as binary would be copied for each row."""
+    sides, plainly = [], common.broadcast_if_small
+    monkeypatch.setattr(common, "broadcast_if_small", lambda df, size: sides.append(df) or plainly(df, size))
+    edges = [e + d for e in (0, 64, 2048, 32768, 65536, 1 << 26) for d in (-1, 0, 1, 7, 8) if e + d >= 0]
+    marked = {row for row in edges if row % 3 != 1}
+    path = str(tmp_path / "marks")
+    common.row_bitmaps(spark.createDataFrame([(row,) for row in marked], "row long")).write.parquet(path)
+    asked = spark.createDataFrame([(row, "x") for row in [*edges, 5_000_000, None]], "row long, text string")
+    found = common.with_bit(asked, spark.read.parquet(path))
+    assert found.columns == ["row", "text", "bit"]
+    assert {r.row: r.bit for r in found.collect()} == {row: int(row in marked) for row in [*edges, 5_000_000, None]}
+    assert sides[0].schema["bits"].dataType.simpleString() == "array<bigint>"
+    assert {len(r.bits) for r in sides[0].collect()} == {32}
