@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aerolith.ml.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from aerolith.ml.trees import Layout
 from aerolith.operators.ranking import with_running_totals
 from aerolith.session import materialise
 
@@ -175,6 +176,10 @@ class FeatureEncoder:
     def prepare(self, df: DataFrame) -> DataFrame:
         return self.with_slots(self.impute(df))
 
+    def layout(self) -> Layout:
+        """The features of the model vector in their order."""
+        return Layout(list(NUMERIC_FEATURES), {name: self.slots[name] or [RARE] for name in CATEGORICAL_FEATURES})
+
     def vector_stages(self) -> list[Transformer | OneHotEncoder]:
         """Pipeline stages from imputed columns and slots to `features`.
 

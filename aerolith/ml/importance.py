@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.ml import trees
 from aerolith.ml.features import DELAY_TARGET, FEATURES
-from aerolith.ml.metrics import accuracy, r_squared
+from aerolith.ml.metrics import accuracy, r_squared, r_squared_of
+from aerolith.ml.trees import BoostedTerms, LinearTerms
 from aerolith.session import materialise
 
 REPEATS = 5  # fixed value: shuffles per feature
@@ -29,7 +31,11 @@ def block_digits(rows: int) -> int:
 
 
 def permutation_importance(
-    score: Callable[[DataFrame], DataFrame], test: DataFrame, target: str, repeats: int = REPEATS
+    score: Callable[[DataFrame], DataFrame],
+    test: DataFrame,
+    target: str,
+    repeats: int = REPEATS,
+    terms: LinearTerms | BoostedTerms | None = None,
 ) -> DataFrame:
     """Mean loss of quality when one feature is shuffled: `feature`, `importance`, largest first.
 
@@ -37,25 +43,68 @@ def permutation_importance(
     part are shuffled and scored, for all features in one job. A shuffle stays inside blocks of rows named by
     the first digits of their tickets, so no task holds more than a block: within a block, in order of
     tickets, each row takes the feature's value of the row a fixed number of places further on. Where `test` is
-    prepared, a feature's slot moves with its value, so that `score` need not look up any again.
+    prepared, a feature's slot moves with its value, so that `score` need not look up any again. Given the `terms` of
+    a model, prepared rows are scored as arrays, with the same shuffles: what a feature has no part in is computed
+    once for all of them.
     """
+    trials = [("", 0)] + [(name, 1 + i * repeats + k) for i, name in enumerate(FEATURES) for k in range(repeats)]
+    scores = _scored(score, test, target, trials) if terms is None else _scored_arrays(terms, test, target, trials)
+    scores = materialise(scores)
+    baseline = scores.filter("feature = ''").first()
+    return (
+        scores.filter("feature <> ''")
+        .groupBy("feature")
+        .agg((F.lit(baseline.score if baseline else None).cast("double") - F.avg("score")).alias("importance"))
+        .orderBy(F.abs("importance").desc(), "feature")
+    )
+
+
+def _in_blocks(rows: DataFrame, digits: int) -> DataFrame:
+    """Rows with the block of their ticket, dealt to tasks by it."""
+    # Few bytes, much to score: a fixed number of tasks, else Spark would merge them by size.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("block", F.substring("ticket", 1, digits)).repartition(tasks, "block")
+
+
+def _scored_arrays(
+    terms: LinearTerms | BoostedTerms, test: DataFrame, target: str, trials: list[tuple[str, int]]
+) -> DataFrame:
+    """`feature`, `places`, `score` of every trial, where a model's terms do the scoring."""
+    numbers = [F.col(name).cast("double").alias(name) for name in terms.layout.numbers]
+    slots = [f"{name}_slot" for name in terms.layout.slots]
+    # Tickets follow from the values as they are; the model takes numbers.
+    ordered = (
+        _in_blocks(test.withColumn("ticket", ticket(target)), block_digits(test.count()))
+        .sortWithinPartitions("block", "ticket", *FEATURES, target)
+        .select("block", *numbers, *slots, F.col(target).cast("double").alias(target))
+    )
+    sums = ordered.mapInArrow(
+        lambda batches: trees.block_sums(batches, terms, target, trials),
+        "feature string, places int, rows bigint, score double",
+    )
+    share = F.sum("score") / F.sum("rows")
+    totals = sums.groupBy("feature", "places")
+    if target != DELAY_TARGET:
+        return totals.agg(share.alias("score"))
+    # The spread of the delays is the same in all trials.
+    spread = test.agg(F.var_pop(F.col(target).cast("double"))).first()[0]
+    return totals.agg(r_squared_of(share, F.lit(spread).cast("double")).alias("score"))
+
+
+def _scored(
+    score: Callable[[DataFrame], DataFrame], test: DataFrame, target: str, trials: list[tuple[str, int]]
+) -> DataFrame:
+    """`feature`, `places`, `score` of every trial, where a function adds `predicted` to the shuffled rows."""
     goes_with = {name: [c for c in (name, f"{name}_slot") if c in test.columns] for name in FEATURES}
     moving = [(name, c) for name, columns in goes_with.items() for c in columns]
     rows = test.select(*[c for _, c in moving], F.col(target).alias(target), ticket(target).alias("ticket"))
-    digits = block_digits(test.count())
     member = F.struct("ticket", *FEATURES, target, *[c for name, c in moving if c != name])
-    # Few bytes, much to score: a fixed number of tasks, else Spark would merge them by size.
-    tasks = int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("block", F.substring("ticket", 1, digits)).repartition(tasks, "block")
+    rows = _in_blocks(rows, block_digits(test.count()))
     blocks = rows.groupBy("block").agg(
         F.sort_array(F.collect_list(member)).alias("members")
     )
-    trials = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("places"))] + [
-        F.struct(F.lit(name).alias("feature"), F.lit(1 + i * repeats + k).alias("places"))
-        for i, name in enumerate(FEATURES)
-        for k in range(repeats)
-    ]
-    tried = blocks.select("members", F.explode(F.array(*trials)).alias("trial"))
+    listed = [F.struct(F.lit(name).alias("feature"), F.lit(n).alias("places")) for name, n in trials]
+    tried = blocks.select("members", F.explode(F.array(*listed)).alias("trial"))
     # The rows of a trial beside themselves moved on by its number of places, round the end of the block.
     places = F.col("trial.places") % F.size("members")
     moved = F.concat(
@@ -73,13 +122,4 @@ def permutation_importance(
     )
     actual, predicted = F.col(target).cast("double"), F.col("predicted").cast("double")
     quality = r_squared if target == DELAY_TARGET else accuracy
-    scores = materialise(
-        score(shuffled).groupBy("feature", "places").agg(quality(actual, predicted).alias("score"))
-    )
-    baseline = scores.filter("feature = ''").first()
-    return (
-        scores.filter("feature <> ''")
-        .groupBy("feature")
-        .agg((F.lit(baseline.score if baseline else None).cast("double") - F.avg("score")).alias("importance"))
-        .orderBy(F.abs("importance").desc(), "feature")
-    )
+    return score(shuffled).groupBy("feature", "places").agg(quality(actual, predicted).alias("score"))

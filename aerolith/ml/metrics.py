@@ -17,8 +17,11 @@ def predicted_label(probability: Column, threshold: float = THRESHOLD) -> Column
 
 def r_squared(actual: Column, predicted: Column) -> Column:
     """Share of variance explained; with a constant target 1 for perfect predictions, else 0."""
-    error = F.avg((actual - predicted) * (actual - predicted))
-    variance = F.var_pop(actual)
+    return r_squared_of(F.avg((actual - predicted) * (actual - predicted)), F.var_pop(actual))
+
+
+def r_squared_of(error: Column, variance: Column) -> Column:
+    """The same from the mean squared error and the variance."""
     constant = F.when(error == 0.0, 1.0).otherwise(0.0)
     return F.when(variance == 0.0, constant).otherwise(1.0 - error / variance)
 

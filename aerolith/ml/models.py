@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.ml.boosting import BoostedClassifier, BoostedRegressor
 from aerolith.ml.encoding import FeatureEncoder
 from aerolith.ml.features import DELAY_TARGET, FEATURES, LATE_TARGET
+from aerolith.ml.trees import BoostedTerms, LinearTerms
 from aerolith.session import scratch_path
 from aerolith.sources.files import delete_path
 
@@ -44,7 +46,7 @@ def boosted_regressor(train_rows: int, rounds: int):
     watched = {}
     if train_rows > EARLY_STOP_ROWS:
         watched = {"validationIndicatorCol": WATCHING, "validationTol": EARLY_STOP_GAIN}
-    return GBTRegressor(
+    return BoostedRegressor(
         labelCol=DELAY_TARGET,
         maxIter=rounds,
         stepSize=LEARNING_RATE,
@@ -67,7 +69,7 @@ def logistic_regression(train_rows: int, rounds: int):
 
 
 def boosted_classifier(train_rows: int, rounds: int):
-    return GBTClassifier(
+    return BoostedClassifier(
         labelCol=LATE_TARGET, maxIter=rounds, stepSize=LEARNING_RATE, maxDepth=3, seed=SEED
     )
 
@@ -97,6 +99,8 @@ class DelayModel:
         """Fit a named model on rows the encoder has prepared."""
         target = DELAY_TARGET if name in REGRESSORS else LATE_TARGET
         estimator = (REGRESSORS | CLASSIFIERS)[name](train_rows, rounds)
+        if isinstance(estimator, BoostedClassifier | BoostedRegressor):
+            estimator.layout = encoder.layout()
         pipeline = Pipeline(stages=[*encoder.vector_stages(), estimator])
         columns = [c for c in prepared.columns if c in FEATURES or c.endswith("_slot")]
         watching = F.pmod(F.xxhash64(F.lit(SEED), *FEATURES, target), F.lit(10)) == 0
@@ -104,7 +108,7 @@ class DelayModel:
             *columns, F.col(target).cast("double").alias(target), watching.alias(WATCHING)
         )
         if train_rows > TASK_ROWS:
-            # Trees keep a number per slot of every row; a scan split of well-compressed files would hold too many rows.
+            # A scan split of well-compressed files would hold too many rows.
             parallel = prepared.sparkSession.sparkContext.defaultParallelism
             data = data.repartition(max(parallel, -(-train_rows // TASK_ROWS)))
         fitted = pipeline.fit(data)
@@ -129,6 +133,14 @@ class DelayModel:
             F.when(probability >= 0.5, 1).otherwise(0).cast("int").alias("predicted"),
         )
 
+    def terms(self) -> LinearTerms | BoostedTerms | None:
+        """The model for arrays of prepared rows; None for boosted trees that were loaded."""
+        fitted = self.pipeline.stages[-1]
+        if isinstance(fitted, LinearRegressionModel | LogisticRegressionModel):
+            slope = None if self.target == DELAY_TARGET else 1.0
+            return LinearTerms(self.encoder.layout(), fitted.coefficients.toArray(), fitted.intercept, slope)
+        return getattr(fitted, "terms", None)
+
     def score(self, features: DataFrame) -> DataFrame:
         """Score rows of the feature table."""
         return self.score_prepared(self.encoder.prepare(features))

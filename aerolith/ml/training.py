@@ -77,7 +77,9 @@ def train(
             }
             if kind == "classification":
                 params["threshold_minutes"] = int(LATE_MINUTES)
-            importances = permutation_importance(model.score_prepared, test, model.target).collect()  # one row per feature
+            importances = permutation_importance(
+                model.score_prepared, test, model.target, terms=model.terms()
+            ).collect()  # one row per feature
             run_id = uuid.uuid4().hex
             model_path = f"{runs_path}/models/{run_id}"
             model.save(model_path)

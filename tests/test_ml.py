@@ -4,10 +4,14 @@ import random
 import statistics
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from aerolith.ml import encoding, features, importance, metrics, models, runs, training
+from aerolith.ml import boosting, encoding, features, importance, metrics, models, runs, training, trees
 from aerolith.operators import gold, ranking
 from aerolith.session import materialise
 from aerolith.sources import tables
@@ -327,3 +331,103 @@ def test_importance_of_prepared_rows_looks_up_no_slot_again(spark, feature_df, f
     monkeypatch.setattr(encoding.FeatureEncoder, "prepare", lambda *a: calls.append(a) or prepare(*a))
     logged = training.train(spark, path, folder("runs"), models=["linear_regression"], experiment="once")
     assert logged.count() == 1 and len(calls) == 2  # training rows, test rows
+
+
+def _spark_boosting(estimator, prepared, encoder):
+    """Predictions of Spark's own boosting with the same settings."""
+    own = (GBTRegressor if isinstance(estimator, GBTRegressor) else GBTClassifier)()
+    for param, value in estimator.extractParamMap().items():
+        if estimator.isSet(param):
+            own.set(own.getParam(param.name), value)
+    return Pipeline(stages=[*encoder.vector_stages(), own]).fit(prepared).transform(prepared)
+
+
+@pytest.mark.parametrize("held", [0, 131_072])
+@pytest.mark.parametrize("name", ["hgb_regressor", "gb_classifier"])
+def test_boosting_gives_the_trees_of_spark(spark, feature_df, monkeypatch, name, held, tmp_path):
+    """With few values per column, where Spark samples nothing; counted by tasks and by the driver."""
+    monkeypatch.setattr(boosting, "HELD_ROWS", held)
+    monkeypatch.setattr(boosting, "REBASE_ROUNDS", 2)
+    monkeypatch.setattr(models, "EARLY_STOP_ROWS", 100)
+    encoder = encoding.FeatureEncoder.fit(feature_df)
+    prepared = materialise(encoder.prepare(feature_df))
+    n = prepared.count()
+    model = models.DelayModel.fit(name, prepared, encoder, train_rows=n, rounds=5)
+    watching = F.pmod(F.xxhash64(F.lit(models.SEED), *features.FEATURES, model.target), F.lit(10)) == 0
+    rows = prepared.withColumns({models.WATCHING: watching, model.target: F.col(model.target).cast("double")})
+    estimator = (models.REGRESSORS | models.CLASSIFIERS)[name](n, 5)
+    wanted = _spark_boosting(estimator, rows, encoder).select("flight_key", F.col("prediction").alias("wanted"))
+    wanted = {r.flight_key: r.wanted for r in wanted.collect()}
+    got = {r.flight_key: float(r.predicted) for r in model.score_prepared(prepared).collect()}
+    assert got == pytest.approx(wanted, abs=1e-9) and len(set(got.values())) > 1
+    model.save(str(tmp_path / "model"))
+    again = models.DelayModel.load(spark, str(tmp_path / "model"), model.target)
+    assert {r.flight_key: float(r.predicted) for r in again.score(feature_df).collect()} == got
+
+
+def test_boosting_ends_where_watching_rows_gain_no_more(spark, feature_df, monkeypatch):
+    monkeypatch.setattr(models, "EARLY_STOP_ROWS", 100)
+    noise = feature_df.withColumn("arr_delay", F.rand(3))
+    encoder = encoding.FeatureEncoder.fit(noise)
+    prepared = materialise(encoder.prepare(noise))
+    model = models.DelayModel.fit("hgb_regressor", prepared, encoder, train_rows=600, rounds=40)
+    assert 1 <= model.pipeline.stages[-1].getNumTrees < 40
+
+
+def test_numbers_are_split_between_values_or_even_stretches(spark):
+    rows = [(float(i % 3), float(i), 7.0, None if i % 2 else 0.5) for i in range(1000)]
+    df = spark.createDataFrame(rows, "few double, many double, one double, holes double").repartition(3)
+    got = boosting.number_thresholds(df, ["few", "many", "one", "holes"], 10)
+    assert list(got["few"]) == [0.5, 1.5] and not len(got["one"]) and not len(got["holes"])
+    assert list(got["many"]) == [99.5 + 100 * i for i in range(9)]
+
+
+def test_boosted_rows_stay_small():
+    """A training row is a byte per feature, a label and a prediction, where Spark keeps a number per slot."""
+    layout = trees.Layout(["a"], {"c": ["x", "y"]})
+    n = trees.CHUNK_ROWS + 10
+    batch = pa.RecordBatch.from_pydict(
+        {"a": [float(i % 5) for i in range(n)], "c_slot": [("x", "y", None)[i % 3] for i in range(n)], "late": [i % 2 for i in range(n)]}
+    )
+    chunks = list(trees.chunks_of(iter([batch]), layout, [np.array([0.5, 2.5])], "late", None, "logistic"))
+    assert [len(y) for _, y, _, _ in chunks] == [trees.CHUNK_ROWS, 10]
+    bins, y, predicted, n_train = chunks[1]
+    start = trees.CHUNK_ROWS
+    assert bins.tolist() == [[(0, 1, 1, 2, 2)[i % 5] for i in range(start, n)], [i % 3 for i in range(start, n)]]
+    assert y.tolist() == [2 * (i % 2) - 1 for i in range(start, n)] and n_train == 10
+    assert bins.nbytes + y.nbytes + predicted.nbytes == 10 * (2 + 1 + 8)
+    hole = pa.RecordBatch.from_pydict({"a": [None, 1.0], "c_slot": ["x", "x"], "late": [0, 1]})
+    with pytest.raises(ValueError, match="Feature a"):
+        list(trees.chunks_of(iter([hole]), layout, [np.array([0.5])], "late", None, "logistic"))
+
+
+@pytest.mark.parametrize("name", ["linear_regression", "logistic_regression", "hgb_regressor", "gb_classifier"])
+def test_importance_of_arrays_equals_that_of_scored_copies(spark, feature_df, monkeypatch, name):
+    """Blocks of 50 rows, some cut by the batches in which they come; a number that is null is filled before."""
+    monkeypatch.setattr(importance, "BLOCK_ROWS", 50)
+    holes = feature_df.withColumn("hour", F.when(F.col("hour") > 2, F.col("hour")))
+    train, test = ranking.time_split(holes, 0.4)
+    encoder = encoding.FeatureEncoder.fit(train)
+    model = models.DelayModel.fit(name, encoder.prepare(train), encoder, train_rows=train.count(), rounds=4)
+    prepared = materialise(encoder.prepare(test))
+    copies = importance.permutation_importance(model.score_prepared, prepared, model.target).collect()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        arrays = importance.permutation_importance(None, prepared, model.target, terms=model.terms()).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    wanted = {r.feature: r.importance for r in copies}
+    assert {r.feature: r.importance for r in arrays} == pytest.approx(wanted, abs=1e-12)
+    assert any(wanted.values())
+    nothing = importance.permutation_importance(None, prepared.limit(0), model.target, terms=model.terms())
+    assert nothing.count() == 0
+
+
+def test_training_scores_no_shuffled_copies(spark, feature_df, folder, monkeypatch):
+    path, scored = folder("features"), []
+    tables.overwrite_table(feature_df, path, ("year", "month"))
+    score = models.DelayModel.score_prepared
+    monkeypatch.setattr(models.DelayModel, "score_prepared", lambda *a: scored.append(a) or score(*a))
+    logged = training.train(spark, path, folder("runs"), models=["gb_classifier"], experiment="arrays", rounds=1)
+    assert logged.count() == 1 and len(scored) == 1  # the test rows, once
